@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _OCTET = r"0{0,2}(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})"
+_PLAIN_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_PLAIN_IPV4 = rf"^{_PLAIN_OCTET}\.{_PLAIN_OCTET}\.{_PLAIN_OCTET}\.{_PLAIN_OCTET}$"
 _IPV4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
 _IPV4_TAIL = rf"^([0-9a-f:]*:)({_OCTET})\.({_OCTET})\.({_OCTET})\.({_OCTET})$"
 _EIGHT_GROUPS = r"^[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){7}$"
@@ -89,5 +91,6 @@ def _canonical_ipv6(text: Column) -> Column:
 
 def canonical_ip(text: Column) -> Column:
     """IPv6 text form of an address; IPv4 becomes ``::ffff:a.b.c.d``; NULL when it is no address."""
-    ipv4 = F.when(text.rlike(_IPV4), F.concat(F.lit("::ffff:"), F.regexp_replace(text, r"\b0{1,2}(?=\d)", "")))
+    zero_padded = F.when(text.rlike(_IPV4), F.regexp_replace(text, r"\b0{1,2}(?=\d)", ""))
+    ipv4 = F.concat(F.lit("::ffff:"), F.when(text.rlike(_PLAIN_IPV4), text).otherwise(zero_padded))
     return F.when(F.contains(text, F.lit(":")), _canonical_ipv6(F.lower(text))).otherwise(ipv4)

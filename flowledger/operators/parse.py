@@ -33,28 +33,21 @@ PATTERNS = {
         ('USERNAME="', r'USERNAME="([^"]+)"'),
         ("in:<", r"in:<([^>]+)>"),
     ),
-    "source_ip": (
-        ('ISADDR="', r'ISADDR="([^"]+)"'),
-        ("->", r"(?<!\d)(\d+\.\d+\.\d+\.\d+):\d+\s*->"),
-    ),
-    "destination_ip": (
-        ('IDADDR="', r'IDADDR="([^"]+)"'),
-        ("->", r"->\s*(\d+\.\d+\.\d+\.\d+):\d+"),
-    ),
-    "source_port": (
-        ('ISPORT="', r'ISPORT="([^"]+)"'),
-        ("->", r"\b\d+\.\d+\.\d+\.\d+:(\d+)\s*->"),
-    ),
-    "destination_port": (
-        ('IDPORT="', r'IDPORT="([^"]+)"'),
-        ("->", r"->\s*\d+\.\d+\.\d+\.\d+:(\d+)"),
-    ),
+    "source_ip": (('ISADDR="', r'ISADDR="([^"]+)"'),),
+    "destination_ip": (('IDADDR="', r'IDADDR="([^"]+)"'),),
+    "source_port": (('ISPORT="', r'ISPORT="([^"]+)"'),),
+    "destination_port": (('IDPORT="', r'IDPORT="([^"]+)"'),),
     "protocol": (
         ('PROTO="', r'PROTO="([^"]+)"'),
         ("proto", r"proto\s+(\w+)"),
     ),
     "rat_type": (('IATYP="', r'IATYP="([^"]+)"'),),
 }
+# Both ends of a tracked connection, ``address:port -> address:port``. A source glued to a word still
+# gives its address but not its port, hence the optional word character in front.
+SOURCE_END = r"(?<!\d)([A-Za-z_]?\d+\.\d+\.\d+\.\d+:\d+)\s*->"
+DESTINATION_END = r"->\s*(\d+\.\d+\.\d+\.\d+:\d+)"
+GLUED_SOURCE_PORT = r"\b\d+\.\d+\.\d+\.\d+:(\d+)\s*->"
 JSON_NAMES = {"timestamp": "ISODATE"}
 DEFAULT_SERVICE = "nat_session"
 UNSET_IP = "::"
@@ -91,6 +84,21 @@ def _chain(field: str) -> Column:
     return F.coalesce(_json(JSON_NAMES.get(field, field)), *later)
 
 
+def _end(pattern: str) -> Column:
+    """``address:port`` of one end of a tracked connection, ``''`` in lines without an arrow."""
+    raw = F.col("raw_message")
+    return F.when(F.contains(raw, F.lit("->")), F.regexp_extract(raw, pattern, 1)).otherwise("")
+
+
+def _end_address(end: str) -> Column:
+    return F.when(F.col(end) != "", F.regexp_replace(F.substring_index(end, ":", 1), "^[A-Za-z_]", ""))
+
+
+def _end_port(end: str) -> Column:
+    glued = F.regexp_extract("raw_message", GLUED_SOURCE_PORT, 1)
+    return F.when(F.col(end).rlike("^[A-Za-z_]"), glued).otherwise(F.substring_index(end, ":", -1))
+
+
 def _status(mode: str) -> Column:
     """JSON status, else by the message kind.
 
@@ -110,20 +118,25 @@ def _status(mode: str) -> Column:
 
 def _checked(lines: DataFrame) -> DataFrame:
     """Lines with the fields that decide whether a line is kept: subscriber, time and both addresses."""
-    texts = _with_json(lines).select(
-        "raw_message",
-        "ingest_ts",
-        "json",
-        _chain("subscriber_id").alias("subscriber_id"),
-        _chain("timestamp").alias("time_text"),
-        _chain("source_ip").alias("source_text"),
-        _chain("destination_ip").alias("destination_text"),
+    line = ("raw_message", "ingest_ts", "json")
+    ends = ("source_end", "destination_end")
+    texts = (
+        _with_json(lines)
+        .select(*line, _end(SOURCE_END).alias("source_end"), _end(DESTINATION_END).alias("destination_end"))
+        .select(
+            *line,
+            *ends,
+            _chain("subscriber_id").alias("subscriber_id"),
+            _chain("timestamp").alias("time_text"),
+            F.coalesce(_chain("source_ip"), _end_address("source_end"), F.lit(UNSET_IP)).alias("source_text"),
+            F.coalesce(_chain("destination_ip"), _end_address("destination_end"), F.lit(UNSET_IP)).alias(
+                "destination_text"
+            ),
+        )
     )
-    address = lambda text: F.when(F.col(text).isNull(), F.lit(UNSET_IP)).otherwise(canonical_ip(F.col(text)))
     values = texts.select(
-        "raw_message",
-        "ingest_ts",
-        "json",
+        *line,
+        *ends,
         "source_text",
         "destination_text",
         F.struct(
@@ -131,14 +144,14 @@ def _checked(lines: DataFrame) -> DataFrame:
             F.when(F.col("time_text").isNull(), F.date_trunc("second", "ingest_ts"))
             .otherwise(best_effort_timestamp(F.col("time_text")))
             .alias("timestamp"),
-            address("source_text").alias("source_ip"),
-            address("destination_text").alias("destination_ip"),
+            canonical_ip(F.col("source_text")).alias("source_ip"),
+            canonical_ip(F.col("destination_text")).alias("destination_ip"),
         ).alias("checked"),
     )
     # Same reason as in _with_json: report filters on these fields must not recompute them.
-    return values.select(
-        "raw_message", "ingest_ts", "json", "source_text", "destination_text", F.inline(F.array("checked"))
-    ).filter(F.col("subscriber_id").isNotNull())
+    return values.select(*line, *ends, "source_text", "destination_text", F.inline(F.array("checked"))).filter(
+        F.col("subscriber_id").isNotNull()
+    )
 
 
 def _with_raw_lines(lines: DataFrame, strip_header: str | None) -> DataFrame:
@@ -167,8 +180,8 @@ def parse_records(
     )
     ports = kept.select(
         "*",
-        _chain("source_port").alias("source_port_text"),
-        _chain("destination_port").alias("destination_port_text"),
+        F.coalesce(_chain("source_port"), _end_port("source_end")).alias("source_port_text"),
+        F.coalesce(_chain("destination_port"), _end_port("destination_end")).alias("destination_port_text"),
         number("bytes_in").alias("bytes_in"),
         number("bytes_out").alias("bytes_out"),
     )
