@@ -117,41 +117,35 @@ def _status(mode: str) -> Column:
 
 
 def _checked(lines: DataFrame) -> DataFrame:
-    """Lines with the fields that decide whether a line is kept: subscriber, time and both addresses."""
-    line = ("raw_message", "ingest_ts", "json")
-    ends = ("source_end", "destination_end")
-    texts = (
-        _with_json(lines)
-        .select(*line, _end(SOURCE_END).alias("source_end"), _end(DESTINATION_END).alias("destination_end"))
-        .select(
-            *line,
-            *ends,
-            _chain("subscriber_id").alias("subscriber_id"),
-            _chain("timestamp").alias("time_text"),
-            F.coalesce(_chain("source_ip"), _end_address("source_end"), F.lit(UNSET_IP)).alias("source_text"),
-            F.coalesce(_chain("destination_ip"), _end_address("destination_end"), F.lit(UNSET_IP)).alias(
-                "destination_text"
-            ),
-        )
+    """Lines of a subscriber with time and both addresses; ``reason`` says why an address could not be read."""
+    line = ("raw_message", "ingest_ts", "json", "source_end", "destination_end")
+    ends = _with_json(lines).select(
+        "*", _end(SOURCE_END).alias("source_end"), _end(DESTINATION_END).alias("destination_end")
+    )
+    texts = ends.select(
+        *line,
+        _chain("subscriber_id").alias("subscriber_id"),
+        _chain("timestamp").alias("time_text"),
+        F.coalesce(_chain("source_ip"), _end_address("source_end"), F.lit(UNSET_IP)).alias("source_text"),
+        F.coalesce(_chain("destination_ip"), _end_address("destination_end"), F.lit(UNSET_IP)).alias("destination_text"),
     )
     values = texts.select(
         *line,
-        *ends,
+        "subscriber_id",
         "source_text",
         "destination_text",
-        F.struct(
-            "subscriber_id",
-            F.when(F.col("time_text").isNull(), F.date_trunc("second", "ingest_ts"))
-            .otherwise(best_effort_timestamp(F.col("time_text")))
-            .alias("timestamp"),
-            canonical_ip(F.col("source_text")).alias("source_ip"),
-            canonical_ip(F.col("destination_text")).alias("destination_ip"),
-        ).alias("checked"),
+        F.when(F.col("time_text").isNull(), F.date_trunc("second", "ingest_ts"))
+        .otherwise(best_effort_timestamp(F.col("time_text")))
+        .alias("timestamp"),
+        canonical_ip(F.col("source_text")).alias("source_ip"),
+        canonical_ip(F.col("destination_text")).alias("destination_ip"),
     )
-    # Same reason as in _with_json: report filters on these fields must not recompute them.
-    return values.select(*line, *ends, "source_text", "destination_text", F.inline(F.array("checked"))).filter(
-        F.col("subscriber_id").isNotNull()
+    reason = F.when(F.col("source_ip").isNull(), F.concat(F.lit("source_ip: "), "source_text")).when(
+        F.col("destination_ip").isNull(), F.concat(F.lit("destination_ip: "), "destination_text")
     )
+    checked = F.struct("subscriber_id", "timestamp", "source_ip", "destination_ip", reason.alias("reason"))
+    # Same reason as in _with_json: report filters on these fields must not compute them a second time.
+    return values.select(*line, F.inline(F.array(checked))).filter(F.col("subscriber_id").isNotNull())
 
 
 def _with_raw_lines(lines: DataFrame, strip_header: str | None) -> DataFrame:
@@ -162,23 +156,14 @@ def _with_raw_lines(lines: DataFrame, strip_header: str | None) -> DataFrame:
     return lines.select(raw.alias("raw_message"), ingested.alias("ingest_ts"))
 
 
-def parse_records(
-    lines: DataFrame,
-    status_mode: str = "substring",
-    strip_header: str | None = None,
-    with_protocol_name: bool = False,
-) -> DataFrame:
-    """Typed session records of raw lines (``raw_message``, ``ingest_ts``).
+def parse_lines(lines: DataFrame, status_mode: str = "substring", strip_header: str | None = None) -> DataFrame:
+    """All lines that name a subscriber: record columns, ``ingest_ts``, and ``reason`` where a line is no record.
 
-    Lines without a subscriber are no records. Lines with an unreadable address are left to :func:`quarantine`.
     ``ingest_ts`` stands in for the missing time of a line and is the load time, so a replay gives equal rows.
     """
     json = lambda key: F.col(f"json.{key}")
     number = lambda field: unsigned_or_zero(json(field), INT64)
-    kept = _checked(_with_raw_lines(lines, strip_header)).filter(
-        F.col("source_ip").isNotNull() & F.col("destination_ip").isNotNull()
-    )
-    ports = kept.select(
+    counted = _checked(_with_raw_lines(lines, strip_header)).select(
         "*",
         F.coalesce(_chain("source_port"), _end_port("source_end")).alias("source_port_text"),
         F.coalesce(_chain("destination_port"), _end_port("destination_end")).alias("destination_port_text"),
@@ -202,27 +187,39 @@ def parse_records(
         "status": _status(status_mode),
         "parsed_at": F.date_trunc("second", "ingest_ts"),
     }
-    records = ports.select(
-        *[columns[name].alias(name) if name in columns else F.col(name) for name in schema.RECORDS.names]
+    return counted.select(
+        *[columns[name].alias(name) if name in columns else F.col(name) for name in schema.RECORDS.names],
+        "ingest_ts",
+        "reason",
     )
-    if with_protocol_name:
-        names = F.create_map(*[F.lit(x) for pair in PROTOCOL_NAMES.items() for x in pair])
-        records = records.withColumn("protocol_name", F.coalesce(F.get(names, F.col("protocol")), F.col("protocol")))
-    return records
+
+
+def records_in(parsed: DataFrame) -> DataFrame:
+    """The session records among parsed lines."""
+    return parsed.filter(F.col("reason").isNull()).select(*schema.RECORDS.names)
+
+
+def quarantine_in(parsed: DataFrame) -> DataFrame:
+    """The lines among parsed lines that could not become records, with the reason."""
+    return parsed.filter(F.col("reason").isNotNull()).select("raw_message", "ingest_ts", "reason")
+
+
+def parse_records(lines: DataFrame, status_mode: str = "substring", strip_header: str | None = None) -> DataFrame:
+    """Typed session records of raw lines (``raw_message``, ``ingest_ts``).
+
+    Lines without a subscriber are no records. Lines with an unreadable address are left to :func:`quarantine`.
+    """
+    return records_in(parse_lines(lines, status_mode, strip_header))
 
 
 def quarantine(lines: DataFrame, strip_header: str | None = None) -> DataFrame:
     """Lines that name a subscriber but cannot become records, with the reason."""
-    source_bad = F.col("source_ip").isNull()
-    destination_bad = F.col("destination_ip").isNull()
-    return (
-        _checked(_with_raw_lines(lines, strip_header))
-        .filter(source_bad | destination_bad)
-        .select(
-            "raw_message",
-            "ingest_ts",
-            F.when(source_bad, F.concat(F.lit("source_ip: "), "source_text"))
-            .otherwise(F.concat(F.lit("destination_ip: "), "destination_text"))
-            .alias("reason"),
-        )
-    )
+    return quarantine_in(parse_lines(lines, strip_header=strip_header))
+
+
+def with_protocol_name(records: DataFrame) -> DataFrame:
+    """Adds ``protocol_name``: known protocol numbers by name, everything else as it is."""
+    name = F.col("protocol")
+    for number, known in PROTOCOL_NAMES.items():
+        name = F.when(F.col("protocol") == number, known).otherwise(name)
+    return records.withColumn("protocol_name", name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,7 +25,9 @@ def lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_lines(read_events(configure(spark), sf_dir))
 
 
+@lru_cache(maxsize=16)
 def records_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsing plan, built once per session and folder (a plan, no data)."""
     return parse_records(lines_of(spark, sf_dir))
 
 

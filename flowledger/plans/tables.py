@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from flowledger.operators.rollups import ROLLUPS, build
+from flowledger.operators.rollups import ROLLUPS, Rollup, build
 
 
 class Tables:
@@ -16,16 +16,16 @@ class Tables:
     rows and measures it needs are computed or read.
     """
 
-    def __init__(self, records: DataFrame, rollups: Mapping[str, DataFrame]):
+    def __init__(self, records: DataFrame, rollup_of: Callable[[Rollup], DataFrame]):
         self.records = records
-        self._rollups = dict(rollups)
+        self._rollup_of = rollup_of
 
     @classmethod
     def from_records(cls, records: DataFrame, approx: bool = False) -> Tables:
-        return cls(records, {name: build(records, rollup, approx) for name, rollup in ROLLUPS.items()})
+        return cls(records, lambda rollup: build(records, rollup, approx))
 
     def rollup(self, name: str) -> DataFrame:
-        return self._rollups[name]
+        return self._rollup_of(ROLLUPS[name])
 
     @property
     def daily(self) -> DataFrame:
@@ -50,5 +50,5 @@ class Tables:
     def register_views(self, prefix: str = "") -> None:
         """Temporary views of all six tables for ad-hoc ``spark.sql`` queries."""
         self.records.createOrReplaceTempView(f"{prefix}records")
-        for name, table in self._rollups.items():
-            table.createOrReplaceTempView(f"{prefix}{name}")
+        for name in ROLLUPS:
+            self.rollup(name).createOrReplaceTempView(f"{prefix}{name}")
