@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from flowledger.plans.event_lines import INGEST_TS, LINE_SQL
+from flowledger.plans.field_queries import PORT_TEXT_SQL
 
 AS_OF = "2024-01-30 22:00:00"
 START = "2024-01-30 00:00:00"
 END = "2024-01-30 23:59:59"
+RETENTION_NOW = "2024-04-15 12:00:00"
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 TODAY = f"CAST({NOW} AS DATE)"
@@ -231,14 +233,85 @@ def select_sql(table: str, select: str) -> str:
     return with_records(select) if table == "records" else with_rollup(table, select)
 
 
+_SECOND = "date_trunc('second', ts)"
+_DAY_START = "date_trunc('day', ts)"
+TIMES_SELECT = f"""SELECT event_id, CAST(CASE event_id % 8
+    WHEN 0 THEN {_SECOND}
+    WHEN 1 THEN {_SECOND}
+    WHEN 2 THEN {_SECOND} - INTERVAL 5 HOUR
+    WHEN 3 THEN {_DAY_START}
+    WHEN 4 THEN {_DAY_START} + INTERVAL 86398 SECOND
+    WHEN 5 THEN {_DAY_START} + INTERVAL 36672 SECOND
+    WHEN 6 THEN make_timestamp((1700000000 + event_id) * 1000000)
+    ELSE TIMESTAMP '1970-01-01 00:00:00' END AS TIMESTAMP) AS timestamp FROM events"""
+ADDRESSES_SELECT = """SELECT event_id, CASE event_id % 8
+    WHEN 0 THEN '::ffff:10.0.' || CAST(user_id % 250 AS VARCHAR) || '.' || CAST(event_id % 250 AS VARCHAR)
+    WHEN 1 THEN '2001:db8::' || lower(hex(1 + event_id % 65535))
+    WHEN 2 THEN '2001:db8::1:0:0:' || lower(hex(1 + event_id % 65535))
+    WHEN 3 THEN '::ffff:192.0.2.' || CAST(event_id % 250 AS VARCHAR)
+    WHEN 4 THEN 'fe80::' || lower(hex(1 + user_id)) || ':0:0:1'
+    WHEN 5 THEN '::ffff:10.1.0.' || CAST(event_id % 250 AS VARCHAR)
+    ELSE NULL END AS ip FROM events"""
+PORTS_SELECT = f"""SELECT event_id, CAST(CASE WHEN regexp_full_match(p, '[0-9]{{1,9}}') AND TRY_CAST(p AS BIGINT) <= 65535
+    THEN TRY_CAST(p AS BIGINT) ELSE 0 END AS INTEGER) AS port FROM (SELECT event_id, {PORT_TEXT_SQL} AS p FROM events)"""
+SPLIT_SELECT = f"""WITH {RAW} SELECT raw_message FROM raw
+    UNION ALL SELECT 'device up ' || CAST(event_id AS VARCHAR) FROM raw"""
+_GARBLED = f"""lines AS (SELECT event_id, {LINE_SQL} AS raw_message FROM events),
+    raw AS (SELECT event_id, regexp_replace(raw_message, '203\\.0\\.113\\.', '203.0.913.', 'g') AS raw_message FROM lines)"""
+QUARANTINE_SELECT = f"""WITH {_GARBLED}, {PARSED} SELECT raw_message, 'destination_ip: ' || destination_text AS reason
+    FROM parsed WHERE subscriber_id <> '' AND destination_text LIKE '203.0.913.%'"""
+BY_KIND_SELECT = """SELECT CASE WHEN json_extract_string(j, '$.status') <> '' THEN json_extract_string(j, '$.status')
+    WHEN regexp_matches(raw_message, '\\bSADD\\b') THEN 'active'
+    WHEN regexp_matches(raw_message, '\\bSDEL\\b') THEN 'success' ELSE '' END AS status, count(*) AS sessions
+    FROM (SELECT *, nullif(regexp_extract(raw_message, '\\{.*\\}', 0), '')::JSON AS j FROM records) GROUP BY 1"""
+PROTOCOL_SELECT = """SELECT protocol, CASE protocol WHEN '6' THEN 'tcp' WHEN '17' THEN 'udp' WHEN '1' THEN 'icmp'
+    WHEN '47' THEN 'gre' ELSE protocol END AS protocol_name, count(*) AS sessions FROM records GROUP BY ALL"""
+HEADER_SELECT = "SELECT collector_id, count(*) AS sessions, CAST(sum(bytes_total) AS BIGINT) AS total_bytes FROM records GROUP BY 1"
+BUCKET_SELECT = "SELECT time_bucket(INTERVAL 15 MINUTE, timestamp) AS t, count(*) AS sessions FROM records GROUP BY 1"
+RETAINED_SELECT = f"""SELECT CAST(timestamp AS DATE) AS day, count(*) AS sessions FROM records
+    WHERE timestamp > TIMESTAMP '{RETENTION_NOW}' - INTERVAL 90 DAY GROUP BY 1"""
+MONTH_SELECT = "SELECT strftime(timestamp, '%Y%m') AS yyyymm, count(*) AS sessions FROM records GROUP BY 1"
+ADHOC_SELECT = """SELECT service_type, count(*) AS sessions, CAST(sum(bytes_total) AS BIGINT) AS total_bytes
+    FROM records GROUP BY 1"""
+
+
+def _live(unit: str, measures: str) -> str:
+    closed = "(SELECT max(timestamp) - INTERVAL 10 MINUTE FROM records)"
+    return (
+        f"SELECT * FROM (SELECT date_trunc('{unit}', timestamp) AS t, {measures} FROM records GROUP BY 1)"
+        f" WHERE t + INTERVAL 1 {unit} <= {closed}"
+    )
+
+
 _RECORD_COLUMNS = "* EXCLUDE (event_id)"
 
 
 def all_sql() -> dict[str, str]:
     """SQL by query name."""
-    sql = {"P_records": with_records(f"SELECT {_RECORD_COLUMNS} FROM records")}
+    records = with_records(f"SELECT {_RECORD_COLUMNS} FROM records")
+    sql = {"P_records": records, "W1_streamed_records": records}
     for number, name in enumerate(ROLLUP_SQL, start=1):
         sql[f"R{number}_{name}"] = with_records(ROLLUP_SQL[name])
+        sql[f"R6_merged_{name}"] = with_records(ROLLUP_SQL[name])
+        sql[f"W2_streamed_{name}"] = with_records(ROLLUP_SQL[name])
     for name, (table, select) in {**REPORT_SELECTS, **VIEW_SELECTS}.items():
         sql[name] = select_sql(table, select)
-    return sql
+    return {
+        **sql,
+        "S2_split_lines": SPLIT_SELECT,
+        "P_quarantine": QUARANTINE_SELECT,
+        "P_status_by_message_kind": with_records(BY_KIND_SELECT),
+        "P_strip_header": with_records(HEADER_SELECT),
+        "P_protocol_name": with_records(PROTOCOL_SELECT),
+        "X5_best_effort_timestamp": TIMES_SELECT,
+        "X6_canonical_ip": ADDRESSES_SELECT,
+        "X7_unsigned_or_zero": PORTS_SELECT,
+        "X11_fifteen_minute_buckets": with_records(BUCKET_SELECT),
+        "X15_records_per_month": with_records(MONTH_SELECT),
+        "W5_retained_per_day": with_records(RETAINED_SELECT),
+        "W7_live_per_second": with_records(_live("second", f"count(*) AS sessions, {_s('bytes_total', 'bytes')}")),
+        "W7_live_per_minute": with_records(
+            _live("minute", f"{_s('bytes_in', 'downstream')}, {_s('bytes_out', 'upstream')}")
+        ),
+        "E3_adhoc_sql": with_records(ADHOC_SELECT),
+    }

@@ -7,11 +7,11 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from flowledger.oracle import AS_OF, END, START
+from flowledger.oracle import AS_OF, END, RETENTION_NOW, START
 from flowledger.functions.timestamps import Clock
 from flowledger.operators.parse import parse_records
-from flowledger.operators.rollups import ROLLUPS
-from flowledger.plans import views
+from flowledger.operators.rollups import HOURLY, ROLLUPS, Rollup
+from flowledger.plans import field_queries, stored_queries, views
 from flowledger.plans.event_lines import event_lines, read_events
 from flowledger.plans.reports import REPORTS
 from flowledger.plans.tables import Tables
@@ -71,5 +71,56 @@ VIEW_QUERIES: dict[str, Query] = {
 }
 
 
+def _of_events(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_times(plan(read_events(configure(spark), sf_dir)))
+
+
+def _of_records(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_times(plan(records_of(spark, sf_dir)))
+
+
+def _stored(plan: Callable[[SparkSession, str], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_times(plan(spark, sf_dir))
+
+
+def _streamed_rollup(rollup: Rollup) -> Query:
+    return _stored(lambda spark, sf_dir: stored_queries.streamed_rollup(spark, sf_dir, rollup))
+
+
+def _merged_rollup(rollup: Rollup) -> Query:
+    return _of_records(lambda records: stored_queries.merged_halves(records, rollup))
+
+
+FIELD_QUERIES: dict[str, Query] = {
+    "S2_split_lines": _of_events(field_queries.lines_of_messages),
+    "P_quarantine": _of_events(field_queries.quarantined_lines),
+    "P_status_by_message_kind": _of_events(field_queries.records_by_message_kind),
+    "P_strip_header": _of_events(field_queries.records_behind_header),
+    "P_protocol_name": _of_records(field_queries.sessions_per_protocol_name),
+    "X5_best_effort_timestamp": _of_events(field_queries.times),
+    "X6_canonical_ip": _of_events(field_queries.addresses),
+    "X7_unsigned_or_zero": _of_events(field_queries.ports),
+    "X11_fifteen_minute_buckets": _of_records(field_queries.sessions_per_bucket),
+}
+STORED_QUERIES: dict[str, Query] = {
+    "W1_streamed_records": _stored(stored_queries.streamed_records),
+    **{f"W2_streamed_{name}": _streamed_rollup(rollup) for name, rollup in ROLLUPS.items()},
+    **{f"R6_merged_{name}": _merged_rollup(rollup) for name, rollup in ROLLUPS.items()},
+    "R6_merged_sketches_hourly_traffic": _of_records(lambda records: stored_queries.merged_sketches(records, HOURLY)),
+    "W5_retained_per_day": _of_records(lambda records: stored_queries.retained_per_day(records, RETENTION_NOW)),
+    "W7_live_per_second": _stored(lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=True)),
+    "W7_live_per_minute": _stored(lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=False)),
+    "X15_records_per_month": _stored(stored_queries.records_per_month),
+    "E3_adhoc_sql": _of_tables(lambda tables, clock: stored_queries.adhoc_sql(tables)),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**RECORD_QUERIES, **ROLLUP_QUERIES, **REPORT_QUERIES, **VIEW_QUERIES}
+    return {
+        **RECORD_QUERIES,
+        **ROLLUP_QUERIES,
+        **REPORT_QUERIES,
+        **VIEW_QUERIES,
+        **FIELD_QUERIES,
+        **STORED_QUERIES,
+    }
