@@ -9,11 +9,12 @@ from flowledger.operators.rollups import Rollup
 
 
 def retained(table: DataFrame, column: str, days: int, now: Column) -> DataFrame:
-    """Rows younger than ``days``; the bound is on the bare column, so it reaches the scan."""
-    rows = table.filter(F.col(column) > now - F.make_dt_interval(F.lit(days)))
-    return rows.filter(F.col("day") >= F.to_date(now - F.make_dt_interval(F.lit(days)))) if (
-        "day" in table.columns and column != "day"
-    ) else rows
+    """Rows younger than ``days``; bounds are on bare columns, so they reach the scan and prune partitions."""
+    oldest = now - F.make_dt_interval(F.lit(days))
+    if column == "day":
+        return table.filter(F.col("day") > F.to_date(oldest))
+    rows = table.filter(F.col(column) > oldest)
+    return rows.filter(F.col("day") >= F.to_date(oldest)) if "day" in table.columns else rows
 
 
 def retained_records(records: DataFrame, now: Column) -> DataFrame:

@@ -114,7 +114,8 @@ class Store:
         return Tables(self.records(), self.rollup)
 
     def quarantined(self) -> DataFrame:
-        columns = schema.RAW_LINES.add("reason", _STRING).add("batch_id", _BIGINT)
+        extra = [T.StructField("reason", _STRING), T.StructField("batch_id", _BIGINT)]
+        columns = T.StructType([*schema.RAW_LINES.fields, *extra])
         return self._read(self.path("quarantine"), columns)
 
     # Writing
