@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def extract(text: Column, pattern: str, group: int = 1, hint: str | None = None) -> Column:
+def extract(text: Column, pattern: str, group: int = 1) -> Column:
     """First match of ``pattern`` (NULL without one).
 
-    ``hint`` is a literal every match contains; lines without it skip the regular expression.
     ``regexp_extract`` signals "no match" by ``''``, which has to be compared and so makes the chain run each
     pattern twice; taking element 0 of all matches runs it once.
     """
-    found = F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
-    return found if hint is None else F.when(F.contains(text, F.lit(hint)), found)
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
 
 
 def outer_object(text: Column) -> Column:

@@ -18,36 +18,23 @@ UINT16 = 65535
 UINT32 = 4294967295
 INT64 = 9223372036854775807
 
-# For each field, (literal in every match, pattern) after the JSON key, in order of priority.
-# Look-behinds only stop a search from restarting inside a word or number it has already rejected.
+# For each field, the patterns after the JSON key, in order of priority: key/value pair, then
+# connection-tracking text.
+# The look-behinds only stop a search from restarting inside a word or number it has already rejected; behind the
+# first digit instead of in front of it they are not tried at every character.
 PATTERNS = {
-    "timestamp": (
-        ("time='", r"time='([^']+)'"),
-        ("T", r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})"),
-    ),
-    "collector_id": (
-        (None, r"^\S+\s+\S+\s+(\S+)"),
-        ("forward:", r"(?<!\S)(\S+:\s+\S+)\s+forward:"),
-    ),
-    "subscriber_id": (
-        ('USERNAME="', r'USERNAME="([^"]+)"'),
-        ("in:<", r"in:<([^>]+)>"),
-    ),
-    "source_ip": (('ISADDR="', r'ISADDR="([^"]+)"'),),
-    "destination_ip": (('IDADDR="', r'IDADDR="([^"]+)"'),),
-    "source_port": (('ISPORT="', r'ISPORT="([^"]+)"'),),
-    "destination_port": (('IDPORT="', r'IDPORT="([^"]+)"'),),
-    "protocol": (
-        ('PROTO="', r'PROTO="([^"]+)"'),
-        ("proto", r"proto\s+(\w+)"),
-    ),
-    "rat_type": (('IATYP="', r'IATYP="([^"]+)"'),),
+    "timestamp": (r"time='([^']+)'", r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})"),
+    "collector_id": (r"^\S+\s+\S+\s+(\S+)", r"(?<!\S)(\S+:\s+\S+)\s+forward:"),
+    "subscriber_id": (r'USERNAME="([^"]+)"', r"in:<([^>]+)>"),
+    "source_ip": (r'ISADDR="([^"]+)"', r"(\d(?<!\d\d)\d*\.\d+\.\d+\.\d+):\d+\s*->"),
+    "destination_ip": (r'IDADDR="([^"]+)"', r"->\s*(\d+\.\d+\.\d+\.\d+):\d+"),
+    "source_port": (r'ISPORT="([^"]+)"', r"\d(?<!\w\d)\d*\.\d+\.\d+\.\d+:(\d+)\s*->"),
+    "destination_port": (r'IDPORT="([^"]+)"', r"->\s*\d+\.\d+\.\d+\.\d+:(\d+)"),
+    "protocol": (r'PROTO="([^"]+)"', r"proto\s+(\w+)"),
+    "rat_type": (r'IATYP="([^"]+)"',),
 }
-# Both ends of a tracked connection, ``address:port -> address:port``. A source glued to a word still
-# gives its address but not its port, hence the optional word character in front.
-SOURCE_END = r"(?<!\d)([A-Za-z_]?\d+\.\d+\.\d+\.\d+:\d+)\s*->"
-DESTINATION_END = r"->\s*(\d+\.\d+\.\d+\.\d+:\d+)"
-GLUED_SOURCE_PORT = r"\b\d+\.\d+\.\d+\.\d+:(\d+)\s*->"
+# Texts without which no pattern holding them can match; looked for once per line.
+MARKS = {"has_pairs": '="', "has_arrow": "->"}
 JSON_NAMES = {"timestamp": "ISODATE"}
 DEFAULT_SERVICE = "nat_session"
 UNSET_IP = "::"
@@ -61,16 +48,18 @@ STATUS_MODES = ("substring", "msgid")
 
 
 def _with_json(lines: DataFrame) -> DataFrame:
-    """Adds column ``json`` (struct of texts, NULL without a well-formed object)."""
-    text = outer_object(F.col("raw_message"))
+    """Adds ``json`` (struct of texts, NULL without a well-formed object) and the marks found in the line."""
+    raw = F.col("raw_message")
     # Read as a one-element array: leftovers behind the object make the array malformed or longer.
-    objects = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema.JSON_OBJECT), _STRICT_JSON
+    listed = F.concat(F.lit("["), outer_object(raw), F.lit("]"))
+    objects = F.from_json(F.col("listed"), T.ArrayType(schema.JSON_OBJECT), _STRICT_JSON)
+    marks = [F.contains(raw, F.lit(text)).alias(mark) for mark, text in MARKS.items()]
+    parsed = lines.select("*", *marks, listed.alias("listed")).select(
+        *lines.columns, *MARKS, F.when(F.col("listed").isNotNull(), objects).alias("objects")
     )
-    parsed = lines.withColumn("objects", objects)
     # A generator keeps later filters above it; pushed below, they would parse the JSON a second time.
     one = F.when(F.size("objects") == 1, F.transform("objects", lambda o: F.struct(o.alias("json"))))
-    return parsed.select(*lines.columns, F.inline_outer(one))
+    return parsed.select(*lines.columns, *MARKS, F.inline_outer(one))
 
 
 def _json(key: str) -> Column:
@@ -79,24 +68,14 @@ def _json(key: str) -> Column:
 
 def _chain(field: str) -> Column:
     """First non-empty value of a field over the formats, NULL if there is none."""
-    raw = F.col("raw_message")
-    later = [extract(raw, pattern, 1, hint) for hint, pattern in PATTERNS.get(field, ())]
-    return F.coalesce(_json(JSON_NAMES.get(field, field)), *later)
-
-
-def _end(pattern: str) -> Column:
-    """``address:port`` of one end of a tracked connection, ``''`` in lines without an arrow."""
-    raw = F.col("raw_message")
-    return F.when(F.contains(raw, F.lit("->")), F.regexp_extract(raw, pattern, 1)).otherwise("")
-
-
-def _end_address(end: str) -> Column:
-    return F.when(F.col(end) != "", F.regexp_replace(F.substring_index(end, ":", 1), "^[A-Za-z_]", ""))
-
-
-def _end_port(end: str) -> Column:
-    glued = F.regexp_extract("raw_message", GLUED_SOURCE_PORT, 1)
-    return F.when(F.col(end).rlike("^[A-Za-z_]"), glued).otherwise(F.substring_index(end, ":", -1))
+    found = []
+    for pattern in PATTERNS[field]:
+        value = extract(F.col("raw_message"), pattern)
+        for mark, text in MARKS.items():
+            if text in pattern:
+                value = F.when(F.col(mark), value)
+        found.append(value)
+    return F.coalesce(_json(JSON_NAMES.get(field, field)), *found)
 
 
 def _status(mode: str) -> Column:
@@ -118,16 +97,13 @@ def _status(mode: str) -> Column:
 
 def _checked(lines: DataFrame) -> DataFrame:
     """Lines of a subscriber with time and both addresses; ``reason`` says why an address could not be read."""
-    line = ("raw_message", "ingest_ts", "json", "source_end", "destination_end")
-    ends = _with_json(lines).select(
-        "*", _end(SOURCE_END).alias("source_end"), _end(DESTINATION_END).alias("destination_end")
-    )
-    texts = ends.select(
+    line = ("raw_message", "ingest_ts", "json", *MARKS)
+    texts = _with_json(lines).select(
         *line,
         _chain("subscriber_id").alias("subscriber_id"),
         _chain("timestamp").alias("time_text"),
-        F.coalesce(_chain("source_ip"), _end_address("source_end"), F.lit(UNSET_IP)).alias("source_text"),
-        F.coalesce(_chain("destination_ip"), _end_address("destination_end"), F.lit(UNSET_IP)).alias("destination_text"),
+        F.coalesce(_chain("source_ip"), F.lit(UNSET_IP)).alias("source_text"),
+        F.coalesce(_chain("destination_ip"), F.lit(UNSET_IP)).alias("destination_text"),
     )
     values = texts.select(
         *line,
@@ -165,8 +141,8 @@ def parse_lines(lines: DataFrame, status_mode: str = "substring", strip_header:
     number = lambda field: unsigned_or_zero(json(field), INT64)
     counted = _checked(_with_raw_lines(lines, strip_header)).select(
         "*",
-        F.coalesce(_chain("source_port"), _end_port("source_end")).alias("source_port_text"),
-        F.coalesce(_chain("destination_port"), _end_port("destination_end")).alias("destination_port_text"),
+        _chain("source_port").alias("source_port_text"),
+        _chain("destination_port").alias("destination_port_text"),
         number("bytes_in").alias("bytes_in"),
         number("bytes_out").alias("bytes_out"),
     )

@@ -16,19 +16,20 @@ from flowledger.plans.event_lines import event_lines, read_events
 from flowledger.plans.reports import REPORTS
 from flowledger.plans.tables import Tables
 from flowledger.session import configure
+from flowledger.sources.lines import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 CLOCK = Clock(AS_OF, START, END)
 
 
-def lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_lines(read_events(configure(spark), sf_dir))
+def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_events(configure(spark), sf_dir))
 
 
 @lru_cache(maxsize=16)
 def records_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parsing plan, built once per session and folder (a plan, no data)."""
-    return parse_records(lines_of(spark, sf_dir))
+    return parse_records(event_lines(events_of(spark, sf_dir)))
 
 
 def tables_of(spark: SparkSession, sf_dir: str) -> Tables:
@@ -72,7 +73,7 @@ VIEW_QUERIES: dict[str, Query] = {
 
 
 def _of_events(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain_times(plan(read_events(configure(spark), sf_dir)))
+    return lambda spark, sf_dir: plain_times(plan(events_of(spark, sf_dir)))
 
 
 def _of_records(plan: Callable[[DataFrame], DataFrame]) -> Query:

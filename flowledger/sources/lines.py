@@ -53,3 +53,13 @@ def read_files(spark: SparkSession, path: str, stream: bool = False, max_files:
         F.col("value").alias("raw_message"), F.col("_metadata.file_modification_time").alias("ingest_ts")
     )
     return lines.filter(F.col("raw_message") != "")
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Rows over all cores when the source comes in fewer pieces than there are cores, else the table as it is.
+
+    Parsing costs far more than moving a line once, so a handful of large pieces is worth a shuffle; inputs with
+    pieces enough for every core, as large ones have, are not shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from flowledger.operators.parse import parse_lines, quarantine_in, records_in
+from flowledger.sources.lines import spread
 from flowledger.sources.store import Store
 
 
@@ -16,7 +17,7 @@ def write_batch(store: Store, lines: DataFrame, batch_id: int, status_mode: str
     The parsed batch is kept on the executors while its outputs are written. Lost blocks are recomputed from the
     source, whose lines and load times do not change.
     """
-    parsed = parse_lines(lines, status_mode=status_mode).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = parse_lines(spread(lines), status_mode=status_mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records = records_in(parsed)
         store.write_records(records, batch_id)

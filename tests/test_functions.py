@@ -92,9 +92,9 @@ def test_unsigned_or_zero(spark):
 def test_extract_and_outer_object(spark):
     frame = spark.createDataFrame([('a {"x":{"y":1}} b k="v" k="w"',), ("} {",), ("none",)], "text string")
     got = frame.select(
-        outer_object(F.col("text")), extract(F.col("text"), 'k="([^"]+)"'), extract(F.col("text"), 'k="([^"]+)"', 1, "zz")
+        outer_object(F.col("text")), extract(F.col("text"), 'k="([^"]+)"'), extract(F.col("text"), "^n", 0)
     ).collect()
-    assert [tuple(r) for r in got] == [('{"x":{"y":1}}', "v", None), (None, None, None), (None, None, None)]
+    assert [tuple(r) for r in got] == [('{"x":{"y":1}}', "v", None), (None, None, None), (None, None, "n")]
 
 
 def test_safe_div(spark):
