@@ -173,6 +173,14 @@ class Store:
                 found.append(dt.date.fromisoformat(name.removeprefix("day=")))
         return sorted(found)
 
+    def next_batch(self) -> int:
+        """The first batch number no stored record uses, read from folder names."""
+        used = [-1]
+        for day in self.days(self.records_path):
+            for name in _child_folders(self.spark, f"{self.records_path}/day={day.isoformat()}"):
+                used.append(int(name.removeprefix("batch_id=")))
+        return max(used) + 1
+
     def apply_retention(self, as_of: dt.date) -> dict[str, list[dt.date]]:
         """Drops whole days older than each table's retention; the day exactly at the limit stays."""
         limits = {self.records_path: schema.RECORD_RETENTION_DAYS}

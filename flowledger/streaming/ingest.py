@@ -34,14 +34,17 @@ def ingest(
     status_mode: str = "substring",
     available_now: bool = False,
     every: str = "30 seconds",
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Starts the ingestion stream. The checkpoint holds the position in the source.
 
+    Batches are numbered per checkpoint; ``first_batch`` is added so that a new checkpoint does not reuse the numbers of
+    batches that are already stored (:meth:`Store.next_batch`).
     Late lines are never dropped: whenever a line arrives, it is added to the day and hour it belongs to.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (
-        lines.writeStream.foreachBatch(lambda batch, batch_id: write_batch(store, batch, batch_id, status_mode))
+        lines.writeStream.foreachBatch(lambda batch, batch_id: write_batch(store, batch, first_batch + batch_id, status_mode))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

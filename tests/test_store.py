@@ -16,7 +16,7 @@ from flowledger.plans.event_lines import INGEST_TS, event_lines, read_events
 from flowledger.plans.queries import CLOCK
 from flowledger.plans.reports import REPORTS
 from flowledger.plans.tables import Tables
-from flowledger.sources.lines import read_files, read_topic, split_lines
+from flowledger.sources.lines import read_files, read_topic, split_lines, spread
 from flowledger.sources.store import COMPACTED, Store
 from flowledger.streaming.ingest import ingest, write_batch
 from tests.compare import spark_rows
@@ -64,6 +64,7 @@ def test_batches_late_lines_and_replay(store, lines):
 def test_layout(store):
     assert [str(day) for day in store.days(store.records_path)] == list(DAYS)
     assert set(os.listdir(f"{store.records_path}/day={DAYS[1]}")) == {"batch_id=0", "batch_id=1"}
+    assert store.next_batch() == 2
     assert {row.yyyymm for row in store.records().select("yyyymm").distinct().collect()} == {"202401"}
 
 
@@ -173,6 +174,25 @@ def test_split_lines(spark):
     assert sorted(r.raw_message for r in split_lines(messages).collect()) == ["a", "b", "c"]
 
 
+def test_new_checkpoint_goes_on_counting(spark, tmp_path):
+    store, fixed = Store(spark, f"{tmp_path}/tables"), F.lit(INGEST_TS).cast("timestamp")
+    assert store.next_batch() == 0
+    for run in range(2):
+        source = f"{tmp_path}/in{run}"
+        spark.createDataFrame([(f"2024-01-30T10:00:00 in:<u{run}>",)], "v string").write.text(source)
+        stream = read_files(spark, source, stream=True).withColumn("ingest_ts", fixed)
+        first = store.next_batch()
+        ingest(store, stream, f"{tmp_path}/c{run}", available_now=True, first_batch=first).awaitTermination()
+    assert sorted(r.subscriber_id for r in store.records().collect()) == ["u0", "u1"]
+
+
+def test_spread(spark):
+    few = spark.range(10).coalesce(1)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(10).repartition(spark.sparkContext.defaultParallelism + 1)
+    assert spread(many) is many
+
+
 def test_topic_reader_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic(spark, "broker:9092", topic="sessions")
