@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowledger.session import shared_folder
 
@@ -79,3 +79,17 @@ def runs_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.zeros(0, np.int64)
     return np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)
+
+
+def numbered(frame: DataFrame, order: list[Column], name: str = "number") -> DataFrame:
+    """The rows with their place (from 0) in the given order.
+
+    Rows are dealt to partitions by range and numbered there; each partition then adds the rows before it. The joined
+    side has one row per partition, so its size is bounded by the number of shuffle partitions.
+    """
+    low = (1 << 33) - 1
+    placed = staged(frame.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(name, 33)
+    counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("rows_before"))
+    return placed.join(F.broadcast(before), part == F.col("part")).withColumn(name, F.col(name).bitwiseAND(low) + F.col("rows_before")).drop("part", "rows_before")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import bpe, secrets
+from flowledger.llm import bpe, mixing, secrets, simhash
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,22 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.component_report(table(spark, sf_dir, "documents"))
+
+
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op4_secret_scan": secret_scan,
+    "op5_simhash_near_dedup": simhash_near_dedup,
+    "op6_mix_sources": mix_sources,
     "op7_bpe_encode": bpe_encode,
 }
 
