@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import bpe, mixing, secrets, simhash
+from flowledger.llm import bpe, mixing, order_minhash, secrets, sharding, simhash
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def order_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,8 @@ def bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_order_minhash": order_minhash_fingerprints,
+    "op3_shard_documents": shard_documents,
     "op4_secret_scan": secret_scan,
     "op5_simhash_near_dedup": simhash_near_dedup,
     "op6_mix_sources": mix_sources,
