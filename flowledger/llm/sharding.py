@@ -6,8 +6,9 @@ greedy pass fills no more than the wanted number of shards is found by binary se
 The driver never holds the groups. It works on cells, ranges of the hash with their total size; a greedy pass that may
 cut anywhere inside a cell gives a lower bound of the capacity, one that cuts at cell borders only an upper bound. While
 they differ, just the cells in which a cut can fall are summed again at finer resolution. When they meet, the capacity
-is exactly the one a pass over all single groups would find. A group above the fair share fills a shard of its own
-first, and the others are spread over the remaining shards.
+is exactly the one a pass over all single groups would find. The greedy pass itself would leave what is missing to the
+last shard; the cuts are made inside the same capacity, each as near to an even share as it allows. A group above the
+fair share fills a shard of its own first, and the others are spread over the remaining shards.
 
 A null text has no bytes, CRC 0, and is a group of its own. Repeated rows are rows of one group. Fewer groups than
 shards leave shards empty. Empty tables give no rows.
@@ -66,6 +67,27 @@ class Cells:
             found.append(at)
         return at >= total, found
 
+    def even_cuts(self, capacity: int, shards: int) -> list[int]:
+        """Positions where the shards but the last end: cell borders with no shard above the capacity.
+
+        Each shard ends as near to an even share of what is left as the capacity of those behind it allows.
+        """
+        borders, total = np.r_[0, self.ends], int(self.ends[-1])
+        earliest = [total]
+        for _ in range(shards - 1):
+            earliest.append(int(borders[np.searchsorted(borders, max(earliest[-1] - capacity, 0))]))
+        found, at = [], 0
+        for left in range(shards - 1, 0, -1):
+            first = int(np.searchsorted(borders, max(earliest[left], at)))
+            last = int(np.searchsorted(borders, at + capacity, "right")) - 1
+            ideal = at + (total - at) / (left + 1)
+            k = int(np.searchsorted(borders, ideal))
+            if k > 0 and (k == len(borders) or ideal - borders[k - 1] <= borders[k] - ideal):
+                k -= 1
+            at = int(borders[min(max(k, first), last)])
+            found.append(at)
+        return found
+
     def least(self, shards: int, loose: bool) -> int:
         """Smallest capacity that suffices, by binary search."""
         total = int(self.ends[-1])
@@ -98,8 +120,8 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
         cells = Cells.of(frame)
         low, high = cells.least(shards, loose=True), cells.least(shards, loose=False)
         if low == high:
-            ends = cells.cuts(high, shards, loose=False)[1]
-            return high, [int(cells.start[np.searchsorted(cells.begins, end)]) for end in ends[:-1]]
+            ends = [end for end in cells.even_cuts(high, shards) if end < cells.ends[-1]]
+            return high, [int(cells.start[np.searchsorted(cells.begins, end)]) for end in ends]
         firsts, lasts = cells.cuts(low, shards, loose=False)[1], cells.cuts(high, shards, loose=True)[1]
         open_ = np.zeros(len(cells.start), bool)
         for first, last in zip(firsts + [firsts[-1] if firsts else 0] * (len(lasts) - len(firsts)), lasts):
