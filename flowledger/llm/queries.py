@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import bpe, chat, mixing, order_minhash, secrets, sharding, simhash
+from flowledger.llm import bpe, chat, language, mixing, order_minhash, secrets, sharding, simhash
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_report(table(spark, sf_dir, "documents"))
 
 
+def language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 def chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(chat.with_probe(table(spark, sf_dir, "conversations")))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash_near_dedup": simhash_near_dedup,
     "op6_mix_sources": mix_sources,
     "op7_bpe_encode": bpe_encode,
+    "op8_language_id": language_spans,
     "op9_chat_windows": chat_windows,
 }
 
