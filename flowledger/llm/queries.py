@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import bpe, chat, language, mixing, order_minhash, secrets, sharding, simhash
+from flowledger.llm import bpe, chat, language, mixing, order_minhash, secrets, sharding, simhash, toxicity
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_order_minhash": order_minhash_fingerprints,
     "op3_shard_documents": shard_documents,
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op7_bpe_encode": bpe_encode,
     "op8_language_id": language_spans,
     "op9_chat_windows": chat_windows,
+    "op10_toxicity": toxicity_scores,
 }
 
 SQL: dict[str, str] = {"op9_chat_windows": chat.report_sql()}
