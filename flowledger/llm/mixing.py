@@ -58,6 +58,7 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     edge = budgets.filter("budget > 0").select("source", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("before"), "budget")
     while shift > 0:
         above, shift = shift, max(shift - CELL_BITS, 0)
+        edge = edge.select("source", "at", "before", "budget")
         part = rows.alias("r").join(edge.alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")) & (_cell(above) == F.col("at")))
         cells = part.groupBy("r.source", _cell(shift).alias("cell"), "before", "budget").agg(
             F.sum("size").alias("size"), F.min("h").alias("low"), F.max("h").alias("high")
