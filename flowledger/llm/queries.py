@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import bpe, chat, language, mixing, order_minhash, secrets, sharding, simhash, toxicity
+from flowledger.llm import bpe, chat, language, mixing, order_minhash, permutation_index, secrets, sharding, simhash, toxicity
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def order_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest_report(table(spark, sf_dir, "embeddings"))
+
+
 def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_order_minhash": order_minhash_fingerprints,
+    "op2_permutation_index": nearest_vectors,
     "op3_shard_documents": shard_documents,
     "op4_secret_scan": secret_scan,
     "op5_simhash_near_dedup": simhash_near_dedup,
