@@ -8,8 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowledger.llm import bpe, secrets
-from flowledger.llm.common import staged, table
+from flowledger.llm import bpe, language, mixing, secrets, simhash
+from flowledger.llm.common import fresh_name, staged, table
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID, learned from the rows that name a language: texts without one (no letter) go, the others bear it."""
+    found = fresh_name(docs, "found")
+    marked = docs.withColumn(found, language.language(F.col("text"), language.learn(docs)))
+    return marked.filter(F.col(f"{found}.lang") != language.UNKNOWN).withColumn("lang", F.col(f"{found}.lang")).drop(found)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup: of each group of near copies the document with the smallest doc_id stays."""
+    return simhash.without_near_duplicates(docs)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,13 +29,21 @@ def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.withColumn("text", secrets.without_secrets(F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing to target weights: documents the mix leaves out go, those it takes twice come twice."""
+    return mixing.mixed(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: doc_id, ids and the text they decode to."""
-    return bpe.encode_documents(docs)
+    """BPE: doc_id, ids, and their number."""
+    return bpe.encode_documents(docs).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [
-    ("secret_scan", remove_secrets),
+    ("language", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("secrets", remove_secrets),
+    ("mix", mix_sources),
     ("bpe", encode),
 ]
 

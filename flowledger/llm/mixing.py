@@ -76,28 +76,57 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return edge.select("source", (F.col("low") + taken.cast("long")).alias("below"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies of every row of ``docs`` (doc_id, source, text).
+def document_hash() -> Column:
+    return F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 64 - HASH_BITS)
 
-    ``copies`` says how often the mix takes the document (0 to ``repeats``); a source's sizes times copies come within
-    half a document of its target.
+
+def sizes_of(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size in words, and hash of every row."""
+    return staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), document_hash().alias("h")), "sizes")
+
+
+def mix_rule(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """One row per source of ``rows`` (source, size, h): source, source_size, target, whole, below.
+
+    A document is taken ``whole`` times, and once more if its hash is under ``below``.
     """
-    key = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 64 - HASH_BITS)
-    rows = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("h")), "sizes")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeats)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     planned = staged(targets.select("*", whole.alias("whole")).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
     limits = thresholds(rows, planned.select("source", "budget"))
     p, l = planned.alias("p"), limits.alias("l")
-    rule = p.join(l, F.col("p.source").eqNullSafe(F.col("l.source")), "left").select("p.*", F.coalesce("l.below", F.lit(0)).alias("below"))
-    copies = F.col("whole") + (F.col("h") < F.col("below")).cast("int")
+    found = p.join(l, F.col("p.source").eqNullSafe(F.col("l.source")), "left")
+    return staged(found.select("p.source", "source_size", "target", "whole", F.coalesce("l.below", F.lit(0)).alias("below")), "rule")
+
+
+def _copies(h: Column) -> Column:
+    return F.col("t.whole") + (h < F.col("t.below")).cast("int")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies of every row of ``docs`` (doc_id, source, text).
+
+    ``copies`` says how often the mix takes the document (0 to ``repeats``); a source's sizes times copies come within
+    half a document of its target.
+    """
+    rows = sizes_of(docs)
+    rule = mix_rule(rows, weights, share, repeats).alias("t")
     return (
         rows.alias("r")
-        .join(rule.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
-        .select("doc_id", "r.source", "size", "source_size", "target", copies.alias("copies"))
+        .join(rule, F.col("r.source").eqNullSafe(F.col("t.source")))
+        .select("doc_id", "r.source", "size", "source_size", "target", _copies(F.col("h")).alias("copies"))
     )
 
 
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it. Texts meet one rule per source, in a join
+    that Spark broadcasts while the rules are small."""
+    rule = mix_rule(sizes_of(docs), weights, share, repeats).alias("t")
+    hashed = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "source", document_hash().alias("h")).alias("d")
+    joined = hashed.join(rule, F.col("d.source").eqNullSafe(F.col("t.source")))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(1), _copies(F.col("d.h"))))).select("row.*")
+
+
 def mix_report(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, and the words the mix takes of each document, repeats counted."""
     taken = F.col("size") * F.col("copies")
