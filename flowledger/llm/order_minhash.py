@@ -25,11 +25,11 @@ from flowledger.llm.common import code_points
 K = 8  # code points of a k-mer
 TUPLE = 2  # k-mers of a lane
 LANES = 64
+BLOCK = 1 << 18  # hashes computed at a time, so that they stay in the processor's cache
 LANE_DIGITS = 4  # hex digits kept of a lane's hash
 
 _rng = np.random.default_rng(20260)
 MULTIPLY = _rng.integers(1, 1 << 31, LANES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-ADD = _rng.integers(0, 1 << 32, LANES, dtype=np.uint32)
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,18 +66,24 @@ def lanes(text: str, k: int = K, size: int = TUPLE) -> np.ndarray:
     if not n:
         return np.zeros(LANES, np.uint16)
     chosen = np.zeros((LANES, size), np.int64)
+    wanted = min(size, n)
     # a lane's smallest hashes lie below this limit nearly always; where too few do, the lane looks at all of them
-    limit = np.uint32(min((size + 8) / n, 0.999999) * 2**32)
-    for lane in range(LANES):
-        ranks = kmers * MULTIPLY[lane] + ADD[lane]
-        low = np.flatnonzero(ranks < limit) if n > 64 else np.arange(n)
-        if len(low) < min(size, n):
-            low = np.arange(n)
-        # equal hashes are told apart by their place in the text
-        first = low[np.argsort(ranks[low], kind="stable")[:size]]
-        first.sort()
-        chosen[lane, : len(first)] = first
-        chosen[lane, len(first) :] = first[-1]
+    limit = np.uint32((size + 8) / n * 2**32) if n > 64 else np.uint32(2**32 - 1)
+    block = max(BLOCK // n, 1)
+    for first in range(0, LANES, block):
+        factors = MULTIPLY[first : first + block]
+        ranks = (factors[:, None] * kmers).ravel()
+        low = np.flatnonzero(ranks <= limit)
+        lane = low // n
+        counts = np.bincount(lane, minlength=len(factors))
+        order = np.argsort(lane << 32 | ranks[low], kind="stable")  # equal hashes are told apart by their place
+        starts = np.cumsum(counts) - counts
+        for k in range(wanted):
+            chosen[first : first + block, k] = (low - lane * n)[order[np.minimum(starts + k, len(low) - 1)]]
+        for short in np.flatnonzero(counts < wanted):
+            chosen[first + short, :wanted] = np.argsort(factors[short] * kmers, kind="stable")[:wanted]
+    chosen[:, wanted:] = chosen[:, wanted - 1 : wanted]
+    chosen.sort(axis=1)
     hashes = np.zeros(LANES, np.uint64)
     for column in chosen.T:
         hashes = _mixed(hashes * _G + kmers[column] + np.uint64(1))
