@@ -30,3 +30,10 @@ def unsigned_or_zero(text: Column, largest: int) -> Column:
     """BIGINT value of a decimal text in ``0..largest``, else 0."""
     number = F.when(F.length(text) > 0, text).try_cast("bigint")
     return F.coalesce(F.when(number.between(0, largest), number), F.lit(0).cast("bigint"))
+
+
+def counter(text: Column) -> Column:
+    """BIGINT value of an unsigned 64-bit counter: NULL where it is valid but beyond 2^63 - 1, 0 where it is no counter."""
+    large = text.rlike(r"^\d{19,20}$") & (text.try_cast("decimal(20,0)") <= F.lit(str(2**64 - 1)).cast("decimal(20,0)"))
+    unknown = F.coalesce(text.try_cast("bigint").isNull() & large, F.lit(False))
+    return F.when(~unknown, unsigned_or_zero(text, 2**63 - 1))

@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowledger import schema
 from flowledger.functions.ip import canonical_ip
-from flowledger.functions.text import extract, not_empty, outer_object, unsigned_or_zero
+from flowledger.functions.text import counter, extract, not_empty, outer_object, unsigned_or_zero
 from flowledger.functions.timestamps import best_effort_timestamp
 
 UINT16 = 65535
 UINT32 = 4294967295
-INT64 = 9223372036854775807
 
 # For each field, the patterns after the JSON key, in order of priority: key/value pair, then
 # connection-tracking text.
@@ -138,7 +137,7 @@ def parse_lines(lines: DataFrame, status_mode: str = "substring", strip_header:
     ``ingest_ts`` stands in for the missing time of a line and is the load time, so a replay gives equal rows.
     """
     json = lambda key: F.col(f"json.{key}")
-    number = lambda field: unsigned_or_zero(json(field), INT64)
+    number = lambda field: counter(json(field))
     counted = _checked(_with_raw_lines(lines, strip_header)).select(
         "*",
         _chain("source_port").alias("source_port_text"),
@@ -156,7 +155,7 @@ def parse_lines(lines: DataFrame, status_mode: str = "substring", strip_header:
         "service_type": F.coalesce(_json("service_type"), F.lit(DEFAULT_SERVICE)),
         "apn": F.coalesce(json("apn"), F.lit("")),
         "rat_type": F.coalesce(_chain("rat_type"), F.lit("")),
-        "bytes_total": F.coalesce(F.try_add("bytes_in", "bytes_out"), F.lit(0).cast("bigint")),
+        "bytes_total": F.try_add("bytes_in", "bytes_out"),
         "packets_in": number("packets_in"),
         "packets_out": number("packets_out"),
         "duration_seconds": unsigned_or_zero(json("duration_seconds"), UINT32),

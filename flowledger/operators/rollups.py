@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowledger.functions.numeric import safe_div
+from flowledger.functions.numeric import safe_div, try_total
 
 _TRAFFIC_SUMS = {
     "total_bytes_in": "bytes_in",
@@ -142,10 +142,10 @@ def _finished(table: DataFrame, rollup: Rollup) -> DataFrame:
 
 
 def _additive(rollup: Rollup) -> list[Column]:
-    # try_sum: counters that add up beyond 64 bits give NULL instead of failing the whole job
+    # counters that add up beyond 64 bits give NULL, in one go or merged, instead of failing the whole job
     return [
         F.count(F.lit(1)).alias(SESSIONS),
-        *[F.try_sum(F.expr(value)).alias(name) for name, value in rollup.sums.items()],
+        *[try_total(F.expr(value)).alias(name) for name, value in rollup.sums.items()],
         *[F.max(F.expr(value)).alias(name) for name, value in rollup.maxima.items()],
     ]
 
@@ -191,7 +191,7 @@ def merge_measures(parts: DataFrame, rollup: Rollup) -> DataFrame:
     sketches = [f"{name}_sketch" for name in rollup.uniques if f"{name}_sketch" in parts.columns]
     return parts.groupBy(*rollup.group_keys).agg(
         F.sum(SESSIONS).alias(SESSIONS),
-        *[F.try_sum(name).alias(name) for name in rollup.sums],
+        *[try_total(name).alias(name) for name in rollup.sums],
         *[F.max(name).alias(name) for name in rollup.maxima],
         *[F.hll_union_agg(name).alias(name) for name in sketches],
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from flowledger.plans.event_lines import INGEST_TS, LINE_SQL
+from flowledger.plans.event_lines import INGEST_TS, LARGE_LINE_SQL, LINE_SQL
 from flowledger.plans.field_queries import PORT_TEXT_SQL
 
 AS_OF = "2024-01-30 22:00:00"
 START = "2024-01-30 00:00:00"
 END = "2024-01-30 23:59:59"
+RETENTION_EDGE = "2024-01-15 12:00:00"  # a retention that ends here cuts the data in two
 RETENTION_NOW = "2024-04-15 12:00:00"
 
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -40,6 +41,7 @@ def _number(key: str) -> str:
     return f"coalesce(TRY_CAST(nullif({_json(key)}, '') AS BIGINT), 0)"
 
 
+# Patterns and keys of the line formats.
 _TEXTS = {
     "time_text": _first(_json("ISODATE"), _re(r"time='([^']+)'"), _re(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2})")),
     "collector_id": _first(_json("collector_id"), _re(r"^\S+\s+\S+\s+(\S+)"), _re(r"(\S+:\s+\S+)\s+forward:")),
@@ -97,6 +99,7 @@ _DURATION = _s("duration_seconds", "total_duration_sec")
 _AVG_DURATION = "avg(duration_seconds) AS avg_duration_sec"
 _DAY = "CAST(timestamp AS DATE) AS day"
 
+# Keys and measures of the rollup tables.
 ROLLUP_SQL = {
     "daily_aggregation": f"""SELECT {_DAY}, subscriber_id, service_type, apn, rat_type, {_N}, {_BYTES}, {_PACKETS},
       {_AVG_DURATION}, max(duration_seconds) AS max_duration_sec, {_DURATION}, {_ERR},
@@ -162,7 +165,7 @@ _TODAY_BYTES = f"SELECT CAST(coalesce(sum(bytes_total), 0) AS BIGINT) AS total F
 _PER_SECOND = f"FROM records WHERE {_RANGE} GROUP BY 1 ORDER BY 1"
 _SUB_KEYS = "subscriber_id, service_type, rat_type"
 
-# report -> (table it reads, SELECT)
+# The reports. report -> (table it reads, SELECT)
 REPORT_SELECTS: dict[str, tuple[str, str]] = {
     "Q01_logs_per_second": ("records", f"SELECT date_trunc('second', timestamp) AS t, count(*) AS c {_PER_SECOND}"),
     "Q02_bytes_per_second": ("records", f"SELECT date_trunc('second', timestamp) AS t, {_s('bytes_total', 'bytes')} {_PER_SECOND}"),
@@ -283,13 +286,32 @@ def _live(unit: str, measures: str) -> str:
     )
 
 
+LARGE_SELECT = f"""WITH raw AS (SELECT ts, user_id, event_id, {LARGE_LINE_SQL} AS raw_message FROM events),
+    counters AS (SELECT CAST(ts AS DATE) AS day, 'cust' || CAST(user_id % 40 AS VARCHAR) AS subscriber_id,
+      CAST(json_extract_string(raw_message, '$.bytes_in') AS HUGEINT) AS bytes_in,
+      CAST(json_extract_string(raw_message, '$.bytes_out') AS HUGEINT) AS bytes_out FROM raw)
+    SELECT day, subscriber_id, count(*) AS session_count, TRY_CAST(sum(bytes_in) AS BIGINT) AS total_bytes_in,
+      TRY_CAST(sum(bytes_out) AS BIGINT) AS total_bytes_out, TRY_CAST(sum(bytes_in + bytes_out) AS BIGINT) AS total_bytes
+    FROM counters GROUP BY ALL"""
+
+
+def _retained(name: str) -> str:
+    edge = f"TIMESTAMP '{RETENTION_EDGE}'"
+    bucket = "hour > " + edge if name == _H else f"day > CAST({edge} AS DATE)"
+    return with_rollup(name, f"SELECT * FROM {name} WHERE {bucket}")
+
+
+_SKETCHED = "* EXCLUDE (unique_subscribers, unique_destinations), true AS unique_subscribers_close, true AS unique_destinations_close"
 _RECORD_COLUMNS = "* EXCLUDE (event_id)"
 
 
 def all_sql() -> dict[str, str]:
     """SQL by query name."""
     records = with_records(f"SELECT {_RECORD_COLUMNS} FROM records")
-    sql = {"P_records": records, "W1_streamed_records": records}
+    same_records = ("P_records", "W1_streamed_records", "W1_replay_after_compaction", "W6_new_checkpoint")
+    sql = dict.fromkeys(same_records, records)
+    sql |= {f"stored_{name}": select_sql(table, select) for name, (table, select) in REPORT_SELECTS.items()}
+    sql |= {f"W5_retained_{name}": _retained(name) for name in ROLLUP_SQL}
     for number, name in enumerate(ROLLUP_SQL, start=1):
         sql[f"R{number}_{name}"] = with_records(ROLLUP_SQL[name])
         sql[f"R6_merged_{name}"] = with_records(ROLLUP_SQL[name])
@@ -313,5 +335,9 @@ def all_sql() -> dict[str, str]:
         "W7_live_per_minute": with_records(
             _live("minute", f"{_s('bytes_in', 'downstream')}, {_s('bytes_out', 'upstream')}")
         ),
+        "W7_live_with_fast_clock": with_records(_live("second", f"count(*) AS sessions, {_s('bytes_total', 'bytes')}")),
+        "P_quarantine_stored": QUARANTINE_SELECT,
+        "A2_large_counters": LARGE_SELECT,
+        "R6_merged_sketches_hourly_traffic": with_rollup(_H, f"SELECT {_SKETCHED} FROM {_H}"),
         "E3_adhoc_sql": with_records(ADHOC_SELECT),
     }

@@ -74,11 +74,13 @@ def lines_of_messages(events: DataFrame) -> DataFrame:
     return split_lines(messages).select("raw_message")
 
 
+def garbled_lines(events: DataFrame) -> DataFrame:
+    """Lines whose destinations in one network cannot be read."""
+    return event_lines(events).withColumn("raw_message", F.regexp_replace("raw_message", r"203\.0\.113\.", "203.0.913."))
+
+
 def quarantined_lines(events: DataFrame) -> DataFrame:
-    """Lines whose destinations in one network were garbled."""
-    lines = event_lines(events)
-    garbled = lines.withColumn("raw_message", F.regexp_replace("raw_message", r"203\.0\.113\.", "203.0.913."))
-    return quarantine(garbled).select("raw_message", "reason")
+    return quarantine(garbled_lines(events)).select("raw_message", "reason")
 
 
 def records_by_message_kind(events: DataFrame) -> DataFrame:

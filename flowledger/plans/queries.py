@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -16,19 +15,17 @@ from flowledger.plans.event_lines import event_lines, read_events
 from flowledger.plans.reports import REPORTS
 from flowledger.plans.tables import Tables
 from flowledger.session import configure
-from flowledger.sources.lines import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 CLOCK = Clock(AS_OF, START, END)
 
 
 def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_events(configure(spark), sf_dir))
+    # parsing costs far more than moving a row once, so the rows of a single file are dealt over all cores
+    return read_events(configure(spark), sf_dir).repartition(spark.sparkContext.defaultParallelism)
 
 
-@lru_cache(maxsize=16)
 def records_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parsing plan, built once per session and folder (a plan, no data)."""
     return parse_records(event_lines(events_of(spark, sf_dir)))
 
 
@@ -88,6 +85,14 @@ def _streamed_rollup(rollup: Rollup) -> Query:
     return _stored(lambda spark, sf_dir: stored_queries.streamed_rollup(spark, sf_dir, rollup))
 
 
+def _stored_report(name: str) -> Query:
+    return _stored(lambda spark, sf_dir: REPORTS[name](stored_queries.streamed_store(spark, sf_dir).tables(), CLOCK))
+
+
+def _retained_rollup(rollup: Rollup) -> Query:
+    return _stored(lambda spark, sf_dir: stored_queries.retained_stored_rollup(spark, sf_dir, rollup))
+
+
 def _merged_rollup(rollup: Rollup) -> Query:
     return _of_records(lambda records: stored_queries.merged_halves(records, rollup))
 
@@ -111,6 +116,15 @@ STORED_QUERIES: dict[str, Query] = {
     "W5_retained_per_day": _of_records(lambda records: stored_queries.retained_per_day(records, RETENTION_NOW)),
     "W7_live_per_second": _stored(lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=True)),
     "W7_live_per_minute": _stored(lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=False)),
+    "W7_live_with_fast_clock": _stored(
+        lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=True, fast_clocks=True)
+    ),
+    "W1_replay_after_compaction": _stored(stored_queries.streamed_records),
+    "W6_new_checkpoint": _stored(stored_queries.records_of_two_streams),
+    "P_quarantine_stored": _stored(stored_queries.stored_quarantine),
+    "A2_large_counters": _of_events(stored_queries.large_counters),
+    **{f"W5_retained_{name}": _retained_rollup(rollup) for name, rollup in ROLLUPS.items()},
+    **{f"stored_{name}": _stored_report(name) for name in REPORTS},
     "X15_records_per_month": _stored(stored_queries.records_per_month),
     "E3_adhoc_sql": _of_tables(lambda tables, clock: stored_queries.adhoc_sql(tables)),
 }

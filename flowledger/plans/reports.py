@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowledger.functions.numeric import gib, mib, peak, safe_div, total
+from flowledger.functions.numeric import gib, mib, peak, safe_div, total, try_total
 from flowledger.functions.timestamps import Clock, bucket, hour_text, since, within
 from flowledger.plans.tables import Tables
 
@@ -28,11 +28,11 @@ def report(name: str) -> Callable[[Report], Report]:
 
 
 def _gb(column: str = "total_bytes", name: str = "gb") -> Column:
-    return gib(F.sum(column)).alias(name)
+    return gib(try_total(column)).alias(name)
 
 
 def _sum(column: str, name: str) -> Column:
-    return F.sum(column).alias(name)
+    return try_total(column).alias(name)
 
 
 def _top(table: DataFrame, measure: str, keys: list[str], count: int) -> DataFrame:
@@ -120,7 +120,7 @@ def top_subscribers(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q10_collectors")
 def collectors(tables: Tables, clock: Clock) -> DataFrame:
-    return tables.records.select("collector_id").distinct().orderBy("collector_id")
+    return tables.collectors.orderBy("collector_id")
 
 
 # Bandwidth
@@ -180,7 +180,7 @@ def service_bandwidth_daily(tables: Tables, clock: Clock) -> DataFrame:
 @report("Q17_service_throughput_7d")
 def service_throughput(tables: Tables, clock: Clock) -> DataFrame:
     timed = _last_days(tables.applications, clock, 7).filter(F.col("total_duration_sec") > 0)
-    rate = safe_div(F.sum("total_bytes"), F.sum("total_duration_sec"))
+    rate = safe_div(try_total("total_bytes"), try_total("total_duration_sec"))
     return timed.groupBy("day", "service_type").agg(rate.alias("throughput")).orderBy("day", "service_type")
 
 
@@ -197,7 +197,7 @@ def peak_hourly_bandwidth(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q20_avg_bandwidth_per_service")
 def average_bandwidth_per_service(tables: Tables, clock: Clock) -> DataFrame:
-    share = safe_div(F.sum("total_bytes"), F.count_distinct("service_type"))
+    share = safe_div(try_total("total_bytes"), F.count_distinct("service_type"))
     return _today(tables.applications, clock).agg(mib(share).alias("avg_mb"))
 
 
@@ -252,7 +252,7 @@ def protocol_application_matrix(tables: Tables, clock: Clock) -> DataFrame:
             _gb("total_bytes_out", "gb_out"),
             _sum("session_count", "sessions"),
             _sum("unique_subscribers", "users"),
-            safe_div(F.sum("total_bytes"), F.sum("total_duration_sec")).alias("avg_throughput"),
+            safe_div(try_total("total_bytes"), try_total("total_duration_sec")).alias("avg_throughput"),
         )
     )
     return _top(ranked, "gb", keys, 20)
@@ -274,8 +274,8 @@ def unique_protocols(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q29_tcp_bandwidth_share")
 def tcp_bandwidth_share(tables: Tables, clock: Clock) -> DataFrame:
-    tcp = F.sum(F.when(F.col("protocol") == "tcp", F.col("total_bytes")).otherwise(0))
-    share = safe_div(tcp, F.sum("total_bytes"))
+    tcp = try_total(F.when(F.col("protocol") == "tcp", F.col("total_bytes")).otherwise(0))
+    share = safe_div(tcp, try_total("total_bytes"))
     return _today(tables.applications, clock).agg((share * 100).alias("tcp_pct"))
 
 
@@ -345,7 +345,7 @@ def subscribers_month(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q36_avg_usage_per_subscriber_7d")
 def average_usage_per_subscriber(tables: Tables, clock: Clock) -> DataFrame:
-    share = safe_div(F.sum("total_bytes"), F.count_distinct("subscriber_id"))
+    share = safe_div(try_total("total_bytes"), F.count_distinct("subscriber_id"))
     return _last_days(tables.subscribers, clock, 7).agg(share.alias("avg_bytes"))
 
 
@@ -390,14 +390,14 @@ def hourly_pattern(tables: Tables, clock: Clock) -> DataFrame:
 def traffic_by_rat(tables: Tables, clock: Clock) -> DataFrame:
     last_day = since(tables.hourly, "hour", clock.ago("1 DAY"))
     by_rat = last_day.groupBy(bucket("hour", "hour").alias("t"), "rat_type")
-    return by_rat.agg(mib(F.sum("total_bytes")).alias("mb")).orderBy("t", "rat_type")
+    return by_rat.agg(mib(try_total("total_bytes")).alias("mb")).orderBy("t", "rat_type")
 
 
 @report("Q44_peak_hour_heatmap_7d")
 def peak_hour_heatmap(tables: Tables, clock: Clock) -> DataFrame:
     week = since(tables.hourly, "hour", clock.ago("7 DAY"))
     by_hour = week.groupBy(bucket("hour", "hour").alias("t"), hour_text("hour").alias("h"))
-    return by_hour.agg(mib(F.sum("total_bytes")).alias("mb")).orderBy("t", "h")
+    return by_hour.agg(mib(try_total("total_bytes")).alias("mb")).orderBy("t", "h")
 
 
 @report("Q45_daily_traffic_trend_30d")
@@ -414,7 +414,7 @@ def sessions_in_range(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q47_avg_bytes_per_session")
 def average_bytes_per_session(tables: Tables, clock: Clock) -> DataFrame:
-    share = safe_div(F.sum("bytes_total"), F.count(F.lit(1)))
+    share = safe_div(try_total("bytes_total"), F.count(F.lit(1)))
     return _in_range(tables, clock).agg(share.alias("avg_bytes"))
 
 
@@ -427,4 +427,4 @@ def peak_bandwidth(tables: Tables, clock: Clock) -> DataFrame:
 @report("Q49_latest_records")
 def latest_records(tables: Tables, clock: Clock) -> DataFrame:
     shown = ["subscriber_id", "source_ip", "destination_ip", "protocol"]
-    return tables.records.orderBy(F.desc("timestamp"), *shown).limit(5).select(*shown)
+    return tables.latest(5).orderBy(F.desc("timestamp"), *shown).limit(5).select(*shown)

@@ -2,41 +2,65 @@
 
 from __future__ import annotations
 
-import uuid
-from functools import lru_cache
+import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowledger import schema
-from flowledger.operators.parse import parse_records
+from flowledger.oracle import AS_OF, RETENTION_EDGE
+from flowledger.operators.parse import parse_records, quarantine
 from flowledger.operators.retention import retained_records
-from flowledger.operators.rollups import ROLLUPS, Rollup, measures_part, members_part, merge_parts, merge_rollups
-from flowledger.plans.event_lines import event_lines, read_events
+from flowledger.operators.rollups import SUBSCRIBERS, Rollup, build, measures_part, members_part, merge_parts, merge_rollups
+from flowledger.plans.event_lines import INGEST_TS, LARGE_LINE_SQL, event_lines, read_events
+from flowledger.plans.field_queries import garbled_lines
 from flowledger.plans.tables import Tables
-from flowledger.session import configure, shared_folder
+from flowledger.session import configure, new_folder
 from flowledger.sources.store import Store
-from flowledger.streaming.ingest import ingest
+from flowledger.streaming.ingest import ingest, write_batch
 from flowledger.streaming.live import live_per_minute, live_per_second, write_rates
 
+SKETCH_ERROR = 0.05  # three times the standard error of a sketch with 2 ** 12 registers
+PARTS = 4  # micro-batches the events come in
+COMPACTED_DAY = dt.date.fromisoformat(AS_OF[:10])
+_STORES: dict[tuple, Store] = {}
 
-def _new_folder(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
+def _state_of(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table: what was derived from other files is not used again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
-def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw lines of ``events`` as a stream of files."""
-    columns = read_events(configure(spark), sf_dir).schema
-    # the wild card lets the file source take a single file as well as a folder of files
-    events = spark.readStream.schema(columns).parquet(f"{sf_dir}/events.parquet*")
-    return event_lines(events).select("raw_message", "ingest_ts")
+
+def _lines_in_files(spark: SparkSession, lines: DataFrame, part: Column, folder: str) -> DataFrame:
+    """A stream that takes one part of the lines in each micro-batch, in the order of the parts."""
+    for number in range(PARTS):
+        lines.filter(part == number).select("raw_message", "ingest_ts").coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(schema.RAW_LINES).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-@lru_cache(maxsize=4)
 def streamed_store(spark: SparkSession, sf_dir: str) -> Store:
-    """All events ingested by the stream, once per session and folder."""
-    folder = _new_folder(spark, "store")
-    store = Store(spark, f"{folder}/tables")
-    ingest(store, line_stream(spark, sf_dir), f"{folder}/checkpoint", available_now=True).awaitTermination()
+    """All events ingested in several micro-batches, each of which has late lines for every day; one day compacted, and
+    all batches delivered once more behind it. Built once for the same input files."""
+    events = read_events(configure(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, f"{sf_dir}/events.parquet"))
+    if key not in _STORES:
+        folder, lines, part = new_folder(spark, "store"), event_lines(events), F.col("event_id") % PARTS
+        store = Store(spark, f"{folder}/tables")
+        stream = _lines_in_files(spark, lines, part, f"{folder}/lines")
+        ingest(store, stream, f"{folder}/checkpoint", available_now=True, min_partitions=PARTS).awaitTermination()
+        store.compact(COMPACTED_DAY)
+        first = store.first_batch(f"{folder}/checkpoint")
+        for number in range(PARTS):
+            write_batch(store, lines.filter(part == number), first + number)
+        _STORES[key] = store
+    return _STORES[key]
+
+
+def ingested_at_once(spark: SparkSession, sf_dir: str) -> Store:
+    """All events in one batch of a new store."""
+    store = Store(spark, f"{new_folder(spark, 'store')}/tables")
+    write_batch(store, event_lines(read_events(configure(spark), sf_dir)), 0, min_partitions=spark.sparkContext.defaultParallelism)
     return store
 
 
@@ -44,6 +68,30 @@ def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streamed_store(spark, sf_dir).records().select(*schema.RECORDS.names)
 
 
+def records_of_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events through one stream, the others through a second one with a checkpoint of its own."""
+    folder, lines = new_folder(spark, "store"), event_lines(read_events(configure(spark), sf_dir))
+    store = Store(spark, f"{folder}/tables")
+    for half in range(2):
+        source = f"{folder}/lines{half}"
+        lines.filter(F.col("event_id") % 2 == half).select("raw_message", "ingest_ts").write.parquet(source)
+        stream = spark.readStream.schema(schema.RAW_LINES).parquet(source)
+        ingest(store, stream, f"{folder}/checkpoint{half}", available_now=True, min_partitions=PARTS).awaitTermination()
+    return store.records().select(*schema.RECORDS.names)
+
+
+def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined lines of three batches: one of unreadable lines only, one delivered twice."""
+    lines = garbled_lines(read_events(configure(spark), sf_dir))
+    store = Store(spark, f"{new_folder(spark, 'store')}/tables")
+    unreadable = lines.join(quarantine(lines).select("raw_message"), "raw_message", "left_semi")
+    batches = [unreadable.filter("event_id % 3 = 0"), lines.filter("event_id % 3 = 1"), lines.filter("event_id % 3 = 2")]
+    for batch in batches:
+        write_batch(store, batch, store.next_batch())
+    write_batch(store, batches[1], 1)
+    return store.quarantined().select("raw_message", "reason")
+
+
 def records_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streamed_store(spark, sf_dir).records().groupBy("yyyymm").agg(F.count(F.lit(1)).alias("sessions"))
 
@@ -52,15 +100,34 @@ def streamed_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFra
     return streamed_store(spark, sf_dir).rollup(rollup).select(*rollup.group_keys, *rollup.columns)
 
 
-def live_rates(spark: SparkSession, sf_dir: str, per_second: bool) -> DataFrame:
-    """Windows closed by the time the stream has read all events."""
-    folder = _new_folder(spark, "rates")
-    records = parse_records(line_stream(spark, sf_dir))
+def retained_stored_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFrame:
+    """A stored rollup at a time when its retention ends inside the data."""
+    now = F.expr(f"TIMESTAMP '{RETENTION_EDGE}' + INTERVAL {rollup.retention_days} DAYS")
+    tables = streamed_store(spark, sf_dir).tables(now)
+    return tables.rollup(rollup.name).select(*rollup.group_keys, *rollup.columns)
+
+
+def live_rates(spark: SparkSession, sf_dir: str, per_second: bool, fast_clocks: bool = False) -> DataFrame:
+    """Windows closed by the time the stream has read all events, in several micro-batches in order of time."""
+    folder, events = new_folder(spark, "rates"), read_events(configure(spark), sf_dir)
+    lines = event_lines(events).join(events.select("event_id", "ts"), "event_id")
+    if fast_clocks:  # the same lines again from devices that live in another century
+        ahead = lines.filter("event_id % 97 = 0").withColumn("raw_message", F.regexp_replace("raw_message", "202[0-9]-", "2099-"))
+        lines = lines.unionByName(ahead)
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(PARTS - 1))
+    records = parse_records(_lines_in_files(spark, lines, part, f"{folder}/lines"))
     rates = live_per_second(records) if per_second else live_per_minute(records)
     write_rates(rates, f"{folder}/rates", f"{folder}/checkpoint", available_now=True).awaitTermination()
     return spark.read.schema(rates.schema).parquet(f"{folder}/rates")
 
 
+def large_counters(events: DataFrame) -> DataFrame:
+    """Bytes per subscriber, merged from two halves, where every fifth counter is close to 2^63."""
+    lines = events.select(F.expr(LARGE_LINE_SQL).alias("raw_message"), F.lit(INGEST_TS).cast("timestamp").alias("ingest_ts"))
+    merged = merged_halves(parse_records(lines), SUBSCRIBERS)
+    return merged.select("day", "subscriber_id", "session_count", "total_bytes_in", "total_bytes_out", "total_bytes")
+
+
 def merged_halves(records: DataFrame, rollup: Rollup) -> DataFrame:
     """A rollup put together from the morning's and the afternoon's records."""
     morning = records.filter(F.hour("timestamp") < 12)
@@ -75,11 +142,16 @@ def merged_halves(records: DataFrame, rollup: Rollup) -> DataFrame:
 
 
 def merged_sketches(records: DataFrame, rollup: Rollup) -> DataFrame:
-    """The same with estimated distinct counts from merged sketches."""
+    """The same from merged sketches: keys, exact measures, and whether each estimated distinct count lies within
+    ``SKETCH_ERROR`` of the exact one."""
     morning = records.filter(F.hour("timestamp") < 12)
     afternoon = records.filter(F.hour("timestamp") >= 12)
     parts = [measures_part(part, rollup, sketches=True) for part in (morning, afternoon)]
-    return merge_parts(parts[0].unionByName(parts[1]), rollup)
+    merged = merge_parts(parts[0].unionByName(parts[1]), rollup)
+    exact = build(records, rollup).select(*rollup.group_keys, *[F.col(name).alias(f"exact_{name}") for name in rollup.uniques])
+    joined = merged.join(exact, list(rollup.group_keys))
+    close = [(F.abs(F.col(name) - F.col(f"exact_{name}")) <= SKETCH_ERROR * F.col(f"exact_{name}") + 1).alias(f"{name}_close") for name in rollup.uniques]
+    return joined.select(*rollup.group_keys, *[name for name in rollup.columns if name not in rollup.uniques], *close)
 
 
 def retained_per_day(records: DataFrame, now: str) -> DataFrame:
@@ -98,5 +170,3 @@ def adhoc_sql(tables: Tables) -> DataFrame:
         " ON r.service_type = a.service_type"
     )
 
-
-STREAMED_ROLLUPS = tuple(ROLLUPS.values())

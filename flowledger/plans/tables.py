@@ -16,13 +16,26 @@ class Tables:
     rows and measures it needs are computed or read.
     """
 
-    def __init__(self, records: DataFrame, rollup_of: Callable[[Rollup], DataFrame]):
+    def __init__(
+        self, records: DataFrame, rollup_of: Callable[[Rollup], DataFrame], collectors: DataFrame | None = None,
+        latest: Callable[[int], DataFrame] | None = None,
+    ):
         self.records = records
         self._rollup_of = rollup_of
+        self._collectors, self._latest = collectors, latest
 
     @classmethod
-    def from_records(cls, records: DataFrame, approx: bool = False) -> Tables:
-        return cls(records, lambda rollup: build(records, rollup, approx))
+    def from_records(cls, records: DataFrame) -> Tables:
+        return cls(records, lambda rollup: build(records, rollup))
+
+    @property
+    def collectors(self) -> DataFrame:
+        """Distinct ``collector_id``, from the store's own small table where there is one."""
+        return self.records.select("collector_id").distinct() if self._collectors is None else self._collectors
+
+    def latest(self, count: int) -> DataFrame:
+        """Records among which are the ``count`` newest ones."""
+        return self.records if self._latest is None else self._latest(count)
 
     def rollup(self, name: str) -> DataFrame:
         return self._rollup_of(ROLLUPS[name])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -43,3 +45,19 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_folder()
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A fresh folder name below the shared folder; what is written there goes when the driver program ends."""
+    folder = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder if the JVM still answers; a cut-off job leaves its folders to the cluster's own clean-up."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    except Exception:  # the JVM has gone
+        pass

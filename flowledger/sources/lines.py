@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# Bounds of a micro-batch, so that a backlog comes in many batches; None takes all there is at once.
+MAX_OFFSETS = 20_000_000
+MAX_FILES = 1000
+
 
 def split_lines(messages: DataFrame, message: str | Column = "value", ingest_ts: str | Column = "timestamp") -> DataFrame:
     """One row per line of a message payload; the empty piece behind a closing line break is no line.
@@ -23,7 +27,7 @@ def read_topic(
     servers: str,
     topic: str,
     group: str | None = None,
-    max_offsets: int | None = None,
+    max_offsets: int | None = MAX_OFFSETS,
     min_partitions: int | None = None,
     stream: bool = True,
 ) -> DataFrame:
@@ -43,7 +47,7 @@ def read_topic(
     return split_lines(reader.options(**{k: str(v) for k, v in options.items() if v is not None}).load())
 
 
-def read_files(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
+def read_files(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = MAX_FILES) -> DataFrame:
     """Raw lines of text files, loaded at the time the file was last written."""
     reader = spark.readStream if stream else spark.read
     if stream and max_files:
@@ -53,13 +57,3 @@ def read_files(spark: SparkSession, path: str, stream: bool = False, max_files:
         F.col("value").alias("raw_message"), F.col("_metadata.file_modification_time").alias("ingest_ts")
     )
     return lines.filter(F.col("raw_message") != "")
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """Rows over all cores when the source comes in fewer pieces than there are cores, else the table as it is.
-
-    Parsing costs far more than moving a line once, so a handful of large pieces is worth a shuffle; inputs with
-    pieces enough for every core, as large ones have, are not shuffled.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

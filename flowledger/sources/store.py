@@ -5,26 +5,36 @@ Layout below one base folder:
     records/day=…/batch_id=…                      session records, sorted by subscriber and time
     rollups/<name>/measures/day=…/batch_id=…      additive measures per batch
     rollups/<name>/members/day=…/batch_id=…       distinct members per batch
-    quarantine/batch_id=…
-
-A batch only ever replaces its own ``batch_id`` partitions, so writing it again after a failure changes nothing.
+    collectors/day=…/batch_id=…                   collector ids of each batch
+    quarantine/day=…/batch_id=…                   by day of arrival
+
+    _log/started/<batch_id>                       batches and foldings that have begun
+    _log/committed/<batch_id>                     batches that are stored as a whole (of a stream, the last one)
+    _log/folds/<table>/<day>/<batch_id>/<old>…    a day's new part and the parts it stands for
+    _log/last_fold/<batch_id>                     the last number a folding got
+    _log/checkpoints/<hash>/<first>               where the numbers of a stream begin
+
+A batch only ever replaces its own ``batch_id`` partitions, and once committed it is never written again, so neither a
+retry nor a replay changes anything, compacted or not. Readers leave out batches that are not committed and parts that
+a folding stands for: a folding becomes visible with the one rename that puts its entry into the log.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from flowledger import schema
+from flowledger.operators.retention import retained_records, retained_rollup
 from flowledger.operators.rollups import (
     ROLLUPS,
     SESSIONS,
     Rollup,
-    build,
     measures_part,
     members_part,
     merge_measures,
@@ -35,7 +45,7 @@ from flowledger.plans.tables import Tables
 
 _PARTITIONS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
 _BIGINT, _STRING = T.LongType(), T.StringType()
-COMPACTED = -1  # batch_id of a day whose batches were folded into one
+STREAM = 1 << 32  # numbers of one stream's batches; batches written by hand are below, foldings are negative
 
 
 def _key_fields(rollup: Rollup) -> list[T.StructField]:
@@ -87,9 +97,78 @@ class Store:
     # Reading
 
     def _read(self, path: str, columns: T.StructType) -> DataFrame:
+        """The visible rows of a table. Files are listed between two equal looks at the log, so what is hidden and
+        what the files hold belong to one state."""
         if not _exists(self.spark, path):
             return self.spark.createDataFrame([], columns)
-        return self.spark.read.schema(columns).parquet(path)
+        state = self._unfinished(), self._folds(path)
+        while True:
+            rows = self.spark.read.schema(columns).parquet(path)
+            before, state = state, (self._unfinished(), self._folds(path))
+            if state == before:
+                break
+        unfinished, folds = state
+        hidden = unfinished - {new for new, _ in folds.values()}
+        if hidden:
+            rows = rows.filter(~F.col("batch_id").isin(sorted(hidden)))
+        for day, (_, old) in folds.items():
+            rows = rows.filter(~((F.col("day") == F.lit(day)) & F.col("batch_id").isin(sorted(old))))
+        return rows
+
+    # The log
+
+    def _logged(self, kind: str) -> set[int]:
+        return {int(name) for name in _child_folders(self.spark, self.path("_log", kind))}
+
+    def _unfinished(self) -> set[int]:
+        started = self._logged("started")
+        return {batch for batch in started if not self._committed(batch)} if started else started
+
+    def _committed(self, batch_id: int) -> bool:
+        committed = self._logged("committed")
+        stream = batch_id // STREAM
+        # a stream commits in order, so its last batch speaks for those before it
+        return batch_id in committed or (stream > 0 and any(b >= batch_id for b in committed if b // STREAM == stream))
+
+    def _folds_path(self, path: str) -> str:
+        return self.path("_log", "folds", path.removeprefix(f"{self.base}/").replace("/", "."))
+
+    def _folds(self, path: str) -> dict[dt.date, tuple[int, set[int]]]:
+        """Per day the new part and the parts it stands for, of foldings whose old parts may still lie there."""
+        found = {}
+        for day in _child_folders(self.spark, self._folds_path(path)):
+            for new in _child_folders(self.spark, f"{self._folds_path(path)}/{day}"):
+                old = _child_folders(self.spark, f"{self._folds_path(path)}/{day}/{new}")
+                found[dt.date.fromisoformat(day)] = (int(new), {int(name) for name in old})
+        return found
+
+    def begin(self, batch_id: int) -> bool:
+        """Notes that a batch is being written; False if it is stored already."""
+        if self._committed(batch_id):
+            return False
+        _make_folder(self.spark, self.path("_log", "started", str(batch_id)))
+        return True
+
+    def commit(self, batch_id: int) -> None:
+        """Makes a batch visible as a whole; from now on it is never written again."""
+        _make_folder(self.spark, self.path("_log", "committed", str(batch_id)))
+        _delete(self.spark, self.path("_log", "started", str(batch_id)))
+        if batch_id > STREAM and batch_id % STREAM:
+            _delete(self.spark, self.path("_log", "committed", str(batch_id - 1)))
+
+    def first_batch(self, checkpoint: str) -> int:
+        """The number a stream's batch 0 has here. Every checkpoint has a range of its own; one that has not been used
+        yet, or was emptied, gets a new one."""
+        noted = self.path("_log", "checkpoints", hashlib.sha256(checkpoint.encode()).hexdigest())
+        known = [int(name) for name in _child_folders(self.spark, noted)]
+        if known and _exists(self.spark, f"{checkpoint}/offsets"):
+            return max(known)
+        taken = [0]
+        for name in _child_folders(self.spark, self.path("_log", "checkpoints")):
+            taken += [int(first) for first in _child_folders(self.spark, self.path("_log", "checkpoints", name))]
+        first = max(taken) + STREAM
+        _make_folder(self.spark, f"{noted}/{first}")
+        return first
 
     def records(self) -> DataFrame:
         """All stored records, with ``day`` for partition pruning."""
@@ -110,12 +189,30 @@ class Store:
             return merge_parts(measures, keyed, members)
         return merge_parts(measures, rollup, members)
 
-    def tables(self) -> Tables:
-        return Tables(self.records(), self.rollup)
+    def tables(self, as_of: Column | None = None) -> Tables:
+        """All six tables; with ``as_of`` without the rows whose retention has passed at that time."""
+        if as_of is None:
+            return Tables(self.records(), self.rollup, self.collectors(), self.latest)
+        kept = lambda rollup: retained_rollup(self.rollup(rollup), rollup, as_of)
+        return Tables(retained_records(self.records(), as_of), kept)
+
+    def collectors(self) -> DataFrame:
+        """The collectors that were ever stored, from a small table each batch adds its own to."""
+        columns = T.StructType([T.StructField("collector_id", _STRING), *_PARTITIONS])
+        return self._read(self.path("collectors"), columns).select("collector_id").distinct()
+
+    def latest(self, count: int) -> DataFrame:
+        """Records of the newest days, as many days as ``count`` records need; older days cannot hold a newer one."""
+        records, days, seen = self.records(), [], 0
+        for day in reversed(self.days(self.records_path)):
+            days.append(day)
+            seen += records.filter(F.col("day") == F.lit(day)).limit(count).count()
+            if seen >= count:
+                break
+        return records.filter(F.col("day").isin(days))
 
     def quarantined(self) -> DataFrame:
-        extra = [T.StructField("reason", _STRING), T.StructField("batch_id", _BIGINT)]
-        columns = T.StructType([*schema.RAW_LINES.fields, *extra])
+        columns = T.StructType([*schema.RAW_LINES.fields, T.StructField("reason", _STRING), *_PARTITIONS])
         return self._read(self.path("quarantine"), columns)
 
     # Writing
@@ -138,6 +235,7 @@ class Store:
         )
         balanced = rows.hint("rebalance", "day").sortWithinPartitions("day", "batch_id", "subscriber_id", "timestamp")
         self._write(balanced, self.records_path, ["day", "batch_id"])
+        self._write(rows.select("collector_id", "day", "batch_id").distinct().coalesce(1), self.path("collectors"), ["day", "batch_id"])
 
     def _write_part(self, part: DataFrame, rollup: Rollup, path: str, batch_id: int) -> None:
         placed = part.withColumn("day", _day_of(rollup)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -160,8 +258,9 @@ class Store:
             list(pool.map(write, jobs))
 
     def write_quarantine(self, lines: DataFrame, batch_id: int) -> None:
-        rows = lines.select("raw_message", "ingest_ts", "reason", F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._write(rows, self.path("quarantine"), ["batch_id"])
+        day = F.to_date("ingest_ts").alias("day")
+        rows = lines.select("raw_message", "ingest_ts", "reason", day, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        self._write(rows, self.path("quarantine"), ["day", "batch_id"])
 
     # Upkeep
 
@@ -174,16 +273,15 @@ class Store:
         return sorted(found)
 
     def next_batch(self) -> int:
-        """The first batch number no stored record uses, read from folder names."""
-        used = [-1]
-        for day in self.days(self.records_path):
-            for name in _child_folders(self.spark, f"{self.records_path}/day={day.isoformat()}"):
-                used.append(int(name.removeprefix("batch_id=")))
-        return max(used) + 1
+        """A number for a batch written by hand: beyond all that were ever begun or committed, whatever they reached."""
+        return max([-1, *[b for b in self._logged("started") | self._logged("committed") if b < STREAM]]) + 1
 
     def apply_retention(self, as_of: dt.date) -> dict[str, list[dt.date]]:
-        """Drops whole days older than each table's retention; the day exactly at the limit stays."""
-        limits = {self.records_path: schema.RECORD_RETENTION_DAYS}
+        """Drops whole days older than each table's retention; the day exactly at the limit stays.
+
+        Quarantined lines and collectors are kept as long as records.
+        """
+        limits = dict.fromkeys((self.records_path, self.path("collectors"), self.path("quarantine")), schema.RECORD_RETENTION_DAYS)
         for rollup in ROLLUPS.values():
             limits[self.measures_path(rollup)] = rollup.retention_days
             limits[self.members_path(rollup)] = rollup.retention_days
@@ -195,65 +293,87 @@ class Store:
                 _delete(self.spark, f"{path}/day={day.isoformat()}")
         return dropped
 
-    def compact(self, day: dt.date) -> None:
-        """Folds all batches of a closed day into one, range-clustered by subscriber and time.
+    def compact(self, day: dt.date, keep_replaced: bool = False) -> None:
+        """Folds all committed batches of a day into one, range-clustered by subscriber and time.
 
-        Run it while nothing writes to or reads that day. A run that was cut off is finished by the next one.
+        Batches may arrive meanwhile: a folding takes the batches it has listed and no others. A run that was cut off
+        leaves nothing readers see, or a finished folding whose old parts the next run removes. ``keep_replaced`` leaves
+        them to the next run too, for readers that planned their scan before.
         """
-        at = F.col("day") == F.lit(day)
-        self._fold(
-            lambda: self.records().filter(at).repartitionByRange("subscriber_id", "timestamp"),
-            self.records_path, day, ["subscriber_id", "timestamp"],
-        )
+        self._replace(self.records_path, day, ["subscriber_id", "timestamp"], lambda ids: _batches(self.records(), day, ids).repartitionByRange("subscriber_id", "timestamp"), keep_replaced=keep_replaced)
         for rollup in ROLLUPS.values():
             keyed = _keyed_by_day(rollup)
             keys = [key for key in rollup.group_keys if key != "day"]
-            self._fold(
-                lambda r=rollup, k=keyed: merge_measures(self.measures(r).filter(at), k).hint("rebalance"),
+            self._replace(
                 self.measures_path(rollup), day, keys,
+                lambda ids, r=rollup, k=keyed: merge_measures(_batches(self.measures(r), day, ids), k).hint("rebalance"),
+                keep_replaced=keep_replaced,
             )
-            self._fold(
-                lambda r=rollup, k=keyed: merge_members(self.members(r).filter(at), k).hint("rebalance"),
+            self._replace(
                 self.members_path(rollup), day, keys,
+                lambda ids, r=rollup, k=keyed: merge_members(_batches(self.members(r), day, ids), k).hint("rebalance"),
+                keep_replaced=keep_replaced,
             )
 
-    def _fold(self, folded: Callable[[], DataFrame], path: str, day: dt.date, order: list[str]) -> None:
-        """Writes ``folded`` aside, notes which batches it replaces, then swaps it in for them."""
-        staging = f"{self.base}/_staging/{path.removeprefix(self.base + '/')}/{day.isoformat()}"
-        self._swap_in(staging, path, day)
-        old = _child_folders(self.spark, f"{path}/day={day.isoformat()}")
-        if old in ([], [f"batch_id={COMPACTED}"]):
+    def _parts(self, path: str, day: dt.date) -> set[int]:
+        names = _child_folders(self.spark, f"{path}/day={day.isoformat()}")
+        return {int(name.removeprefix("batch_id=")) for name in names}
+
+    def _new_fold(self) -> int:
+        """A number no folding of any table ever had; foldings run one at a time."""
+        known = self._logged("last_fold")
+        new = min([0, *known]) - 1
+        _make_folder(self.spark, self.path("_log", "last_fold", str(new)))
+        for number in known:
+            _delete(self.spark, self.path("_log", "last_fold", str(number)))
+        return new
+
+    def _clean(self, path: str, day: dt.date) -> None:
+        """Finishes a published folding: removes the parts it stands for, then its entries in the log."""
+        entry = f"{self._folds_path(path)}/{day.isoformat()}"
+        for new in _child_folders(self.spark, entry):
+            for old in _child_folders(self.spark, f"{entry}/{new}"):
+                _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={old}")
+            _delete(self.spark, self.path("_log", "started", new))
+        _delete(self.spark, entry)
+
+    def _replace(self, path: str, day: dt.date, order: list[str], made: Callable[[set[int]], DataFrame], whole: bool = False, keep_replaced: bool = False) -> None:
+        """Puts ``made`` of a day's committed parts in their place. ``whole``: even of a single folded one."""
+        self._clean(path, day)
+        unfinished = self._unfinished()
+        for part in self._parts(path, day) & {i for i in unfinished if i < 0}:
+            _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={part}")  # of a folding that was cut off
+        old = self._parts(path, day) - unfinished
+        if not whole and (not old or (len(old) == 1 and min(old) < 0)):
             return
-        table = folded().withColumn("batch_id", F.lit(COMPACTED).cast("bigint"))
-        self._write(table.sortWithinPartitions("day", "batch_id", *order), f"{staging}/new", ["day", "batch_id"])
-        for name in old:
-            _make_folder(self.spark, f"{staging}/replaced/{name}")
-        _make_folder(self.spark, f"{staging}/ready")
-        self._swap_in(staging, path, day)
-
-    def _swap_in(self, staging: str, path: str, day: dt.date) -> None:
-        """Puts a complete staged day in place of the batches it replaces; drops an incomplete one."""
-        if _exists(self.spark, f"{staging}/ready"):
-            place = f"day={day.isoformat()}/batch_id={COMPACTED}"
-            if _exists(self.spark, f"{staging}/new/{place}"):
-                for name in _child_folders(self.spark, f"{staging}/replaced"):
-                    _delete(self.spark, f"{path}/day={day.isoformat()}/{name}")
-                _rename(self.spark, f"{staging}/new/{place}", f"{path}/{place}")
-        _delete(self.spark, staging)
+        new = self._new_fold()
+        _make_folder(self.spark, self.path("_log", "started", str(new)))
+        table = made(old).withColumn("day", F.lit(day)).withColumn("batch_id", F.lit(new).cast("bigint"))
+        self._write(table.sortWithinPartitions("day", "batch_id", *order), path, ["day", "batch_id"])
+        pending = self.path("_log", "pending", hashlib.sha256(path.encode()).hexdigest(), day.isoformat())
+        _delete(self.spark, pending)
+        _make_folder(self.spark, f"{pending}/{new}")
+        for part in old:
+            _make_folder(self.spark, f"{pending}/{new}/{part}")
+        _rename(self.spark, pending, f"{self._folds_path(path)}/{day.isoformat()}")
+        if not keep_replaced:
+            self._clean(path, day)
 
     def rebuild_rollups(self, days: Iterable[dt.date]) -> None:
-        """Recomputes the rollup parts of whole days from their records, for backfills and repairs."""
-        days = list(days)
-        wanted = self.records().filter(F.col("day").isin(days))
-        for rollup in ROLLUPS.values():
-            for path in (self.measures_path(rollup), self.members_path(rollup)):
-                for day in days:
-                    _delete(self.spark, f"{path}/day={day.isoformat()}")
-        self.write_rollup_parts(wanted.drop("day", "batch_id"), COMPACTED)
-
-    def exact_rollup(self, rollup: Rollup) -> DataFrame:
-        """The rollup straight from the stored records, without parts."""
-        return build(self.records().drop("day"), rollup)
+        """Recomputes the rollup parts of whole days from their records, for backfills and repairs.
+
+        The old parts count until the new ones are written.
+        """
+        for day in days:
+            records = self.records().filter(F.col("day") == F.lit(day)).drop("day", "batch_id")
+            for rollup in ROLLUPS.values():
+                keys = [key for key in rollup.group_keys if key != "day"]
+                self._replace(self.measures_path(rollup), day, keys, lambda _, r=rollup: measures_part(records, r), whole=True)
+                self._replace(self.members_path(rollup), day, keys, lambda _, r=rollup: members_part(records, r), whole=True)
+
+
+def _batches(table: DataFrame, day: dt.date, ids: set[int]) -> DataFrame:
+    return table.filter((F.col("day") == F.lit(day)) & F.col("batch_id").isin(sorted(ids)))
 
 
 def _keyed_by_day(rollup: Rollup) -> Rollup:

@@ -7,22 +7,29 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from flowledger.operators.parse import parse_lines, quarantine_in, records_in
-from flowledger.sources.lines import spread
 from flowledger.sources.store import Store
 
 
-def write_batch(store: Store, lines: DataFrame, batch_id: int, status_mode: str = "substring") -> None:
-    """Parses one batch once and writes it to all tables; repeating it with the same id changes nothing.
+def write_batch(
+    store: Store, lines: DataFrame, batch_id: int, status_mode: str = "substring", strip_header: str | None = None,
+    min_partitions: int | None = None,
+) -> None:
+    """Parses one batch once, writes it to all tables and commits it; a batch that is stored already is left alone.
 
     The parsed batch is kept on the executors while its outputs are written. Lost blocks are recomputed from the
-    source, whose lines and load times do not change.
+    source, whose lines and load times do not change. ``min_partitions`` deals the lines over so many tasks, for
+    sources that come in a few large pieces.
     """
-    parsed = parse_lines(spread(lines), status_mode=status_mode).persist(StorageLevel.MEMORY_AND_DISK)
+    if not store.begin(batch_id):
+        return
+    dealt = lines.repartition(min_partitions) if min_partitions else lines
+    parsed = parse_lines(dealt, status_mode, strip_header).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records = records_in(parsed)
         store.write_records(records, batch_id)
         store.write_rollup_parts(records, batch_id)
         store.write_quarantine(quarantine_in(parsed), batch_id)
+        store.commit(batch_id)
     finally:
         parsed.unpersist()
 
@@ -34,18 +41,19 @@ def ingest(
     status_mode: str = "substring",
     available_now: bool = False,
     every: str = "30 seconds",
-    first_batch: int = 0,
+    strip_header: str | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Starts the ingestion stream. The checkpoint holds the position in the source.
 
-    Batches are numbered per checkpoint; ``first_batch`` is added so that a new checkpoint does not reuse the numbers of
-    batches that are already stored (:meth:`Store.next_batch`).
+    Spark numbers batches per checkpoint; the store adds the first number it gave the checkpoint, which for a new
+    one lies beyond everything stored (:meth:`Store.first_batch`), so no stream replaces another one's batches.
     Late lines are never dropped: whenever a line arrives, it is added to the day and hour it belongs to.
     """
+    first = store.first_batch(checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    return (
-        lines.writeStream.foreachBatch(lambda batch, batch_id: write_batch(store, batch, first_batch + batch_id, status_mode))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(store, batch, first + batch_id, status_mode, strip_header, min_partitions)
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -15,13 +15,13 @@ INGEST_SECOND = dt.datetime(2024, 2, 1, 12, 0, 5)
 EPOCH = dt.datetime(1970, 1, 1)
 
 PAIRS = (
-    "<134>1 2024-01-30T10:00:00.000Z HG NAT 5964 {kind} [nsess TRIG=\"OPKT\" PROTO=\"17\" SSUBIX=\"0\" IATYP=\"IPv4\""
-    " USERNAME=\"sub007\" ISADDR=\"100.75.3.9\" IDADDR=\"8.8.8.8\" ISPORT=\"40000\" IDPORT=\"53\" XATYP=\"IPv4\""
+    "<134>1 2024-01-30T10:00:00.000Z edge7 natd 311 {kind} [nsess TRIG=\"OPKT\" PROTO=\"17\" SSUBIX=\"0\" IATYP=\"IPv4\""
+    " USERNAME=\"cust007\" ISADDR=\"100.99.3.9\" IDADDR=\"8.8.8.8\" ISPORT=\"40000\" IDPORT=\"53\" XATYP=\"IPv4\""
     " XSADDR=\"59.1.1.1\" XDADDR=\"8.8.8.8\" XSPORT=\"41000\" XDPORT=\"53\"] time='2024-01-30 10:00:01'."
 )
 TRACKED = (
-    "2024-01-30T11:00:00.123+05:00  TAG-1: LABEL-2 forward: in:<pppoe-ali1> out:1234, connection-state:new,snat"
-    " src-mac 68:e2:09:cc:00:01, proto TCP (SYN), 10.10.1.2:5555->1.2.3.4:443, NAT"
+    "2024-01-30T11:00:00.123+05:00  TAG-1: LABEL-2 forward: in:<line-42> out:1234, connection-state:new,snat"
+    " src-mac 02:00:5e:10:00:01, proto TCP (SYN), 10.10.1.2:5555->1.2.3.4:443, NAT"
     " (10.10.1.2:5555->163.61.137.100:5555)->1.2.3.4:443, len 60"
 )
 JSON = '{"ISODATE":"2024-01-30T12:00:00","subscriber_id":"s1"%s}'
@@ -29,17 +29,17 @@ JSON = '{"ISODATE":"2024-01-30T12:00:00","subscriber_id":"s1"%s}'
 
 CASES = {
     "pairs start": (PAIRS.format(kind="SADD"), dict(
-        timestamp=dt.datetime(2024, 1, 30, 10, 0, 1), collector_id="HG", subscriber_id="sub007",
-        source_ip="::ffff:100.75.3.9", destination_ip="::ffff:8.8.8.8", source_port=40000, destination_port=53,
+        timestamp=dt.datetime(2024, 1, 30, 10, 0, 1), collector_id="edge7", subscriber_id="cust007",
+        source_ip="::ffff:100.99.3.9", destination_ip="::ffff:8.8.8.8", source_port=40000, destination_port=53,
         protocol="17", service_type="nat_session", apn="", rat_type="IPv4", bytes_total=0, status="active",
         subscriber_ip="::", cell_id="", imsi="", parsed_at=INGEST_SECOND)),
     "pairs end is active too": (PAIRS.format(kind="SDEL"), dict(status="active")),
     "tracked": (TRACKED, dict(
-        timestamp=dt.datetime(2024, 1, 30, 11, 0, 0), collector_id="LABEL-2", subscriber_id="pppoe-ali1",
+        timestamp=dt.datetime(2024, 1, 30, 11, 0, 0), collector_id="LABEL-2", subscriber_id="line-42",
         source_ip="::ffff:10.10.1.2", destination_ip="::ffff:1.2.3.4", source_port=5555, destination_port=443,
         protocol="tcp", service_type="nat_session", rat_type="", status="")),
     "tracked with leading blank": (" " + TRACKED, dict(
-        collector_id="TAG-1: LABEL-2", timestamp=INGEST_SECOND, subscriber_id="pppoe-ali1")),
+        collector_id="TAG-1: LABEL-2", timestamp=INGEST_SECOND, subscriber_id="line-42")),
     "source glued to a word": ("in:<u> x10.1.1.1:80->2.2.2.2:90", dict(
         source_ip="::ffff:10.1.1.1", source_port=0, destination_ip="::ffff:2.2.2.2", destination_port=90)),
     "glued source before a clean one": ("in:<u> x10.1.1.1:80->9.9.9.9:70 7.7.7.7:60->2.2.2.2:90", dict(
@@ -71,8 +71,10 @@ CASES = {
     "bytes negative": (JSON % ',"bytes_in":-1', dict(bytes_in=0)),
     "bytes fraction": (JSON % ',"bytes_in":1.5', dict(bytes_in=0)),
     "bytes beyond 64 bits": (JSON % ',"bytes_in":"99999999999999999999"', dict(bytes_in=0)),
+    "bytes at 64 unsigned bits": (JSON % ',"bytes_in":"18446744073709551615"', dict(bytes_in=None, bytes_total=None)),
+    "bytes just beyond them": (JSON % ',"bytes_in":"18446744073709551616"', dict(bytes_in=0)),
     "bytes add up beyond 64 bits": (
-        JSON % ',"bytes_in":9223372036854775807,"bytes_out":1', dict(bytes_in=9223372036854775807, bytes_total=0)),
+        JSON % ',"bytes_in":9223372036854775807,"bytes_out":1', dict(bytes_in=9223372036854775807, bytes_total=None)),
     "duration beyond 32 bits": (JSON % ',"duration_seconds":4294967296', dict(duration_seconds=0)),
     "duration at 32 bits": (JSON % ',"duration_seconds":4294967295', dict(duration_seconds=4294967295)),
     "port too large": (JSON % ',"source_port":70000', dict(source_port=0)),

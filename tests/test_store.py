@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,9 +17,10 @@ from flowledger.plans.event_lines import INGEST_TS, event_lines, read_events
 from flowledger.plans.queries import CLOCK
 from flowledger.plans.reports import REPORTS
 from flowledger.plans.tables import Tables
-from flowledger.sources.lines import read_files, read_topic, split_lines, spread
-from flowledger.sources.store import COMPACTED, Store
+from flowledger.sources.lines import read_files, read_topic, split_lines
+from flowledger.sources.store import STREAM, Store
 from flowledger.streaming.ingest import ingest, write_batch
+from flowledger.streaming.live import ahead_of_time
 from tests.compare import spark_rows
 
 DAYS = ("2024-01-29", "2024-01-30")
@@ -91,28 +93,138 @@ def test_scans_are_pruned(store):
     assert "ReadSchema: struct<timestamp:timestamp,bytes_total:bigint>" in plan
 
 
-def test_compaction_and_rebuild(store, lines):
+def test_written_order(store):
+    """Every file is sorted by the table's own key."""
+    for path, keys in [(store.records_path, ["subscriber_id", "timestamp"])] + [
+        (store.measures_path(r), [k for k in r.group_keys if k != "day"]) for r in ROLLUPS.values()
+    ]:
+        day = f"{path}/day={DAYS[1]}"
+        files = [f"{day}/{part}/{name}" for part in os.listdir(day) for name in os.listdir(f"{day}/{part}") if name.endswith(".parquet")]
+        assert files
+        for name in files:
+            rows = pq.read_table(name, columns=keys).to_pylist()
+            order = [tuple(row[k] for k in keys) for row in rows]
+            assert order == sorted(order), name
+
+
+def test_collectors_and_latest_records_scan_no_full_day(store):
+    plan = plan_of(REPORTS["Q10_collectors"](store.tables(), CLOCK))
+    assert "/collectors" in plan and "records" not in plan
+    plan = plan_of(REPORTS["Q49_latest_records"](store.tables(), CLOCK))
+    assert DAYS[1] in plan.split("PartitionFilters:")[1].split("]")[0] and DAYS[0] not in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def parts_of(store, path, day):
+    return sorted(os.listdir(f"{path}/day={day}"))
+
+
+def test_compaction_replay_and_rebuild(store, lines):
     day = dt.date.fromisoformat(DAYS[1])
     store.compact(day)
-    assert os.listdir(f"{store.records_path}/day={day}") == [f"batch_id={COMPACTED}"]
+    assert parts_of(store, store.records_path, day) == ["batch_id=-1"]
     same_as_batch(store, lines)
-    # a run cut off after staging is finished by the next one
-    staged = f"{store.base}/_staging/records/{DAYS[0]}"
-    place = f"day={DAYS[0]}/batch_id={COMPACTED}"
-    store.records().filter(F.col("day") == DAYS[0]).withColumn("batch_id", F.lit(COMPACTED)).write.partitionBy(
-        "day", "batch_id"
-    ).parquet(f"{staged}/new")
-    for name in os.listdir(f"{store.records_path}/day={DAYS[0]}"):
-        os.makedirs(f"{staged}/replaced/{name}")
-    os.makedirs(f"{staged}/ready")
-    store.compact(dt.date.fromisoformat(DAYS[0]))
-    assert os.listdir(f"{store.records_path}/day={DAYS[0]}") == [f"batch_id={COMPACTED}"]
-    assert os.path.exists(f"{store.records_path}/{place}")
+    write_batch(store, halves(lines)[0], 0)  # a replay behind the compaction
+    assert parts_of(store, store.records_path, day) == ["batch_id=-1"] and store.next_batch() == 2
     same_as_batch(store, lines)
     store.rebuild_rollups([day])
     same_as_batch(store, lines)
 
 
+def test_foldings_that_were_cut_off(store, lines, monkeypatch):
+    day = dt.date.fromisoformat(DAYS[0])
+    path = store.records_path
+    with monkeypatch.context() as patch:  # cut off before it is published
+        patch.setattr("flowledger.sources.store._rename", lambda *_: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(OSError):
+            store.compact(day)
+    assert parts_of(store, path, day)[0].startswith("batch_id=-") and len(parts_of(store, path, day)) == 2
+    same_as_batch(store, lines)
+    store.compact(day, keep_replaced=True)  # published, but the old parts still lie there
+    assert len(parts_of(store, path, day)) == 2
+    same_as_batch(store, lines)
+    store.compact(day)
+    assert len(parts_of(store, path, day)) == 1
+    same_as_batch(store, lines)
+
+
+def one_line(spark, user, time="2024-01-30T10:00:00", extra=""):
+    return spark.createDataFrame([('{"ISODATE":"%s","subscriber_id":"%s"%s}' % (time, user, extra),)], "raw_message string").withColumn("ingest_ts", F.lit(INGEST_TS).cast("timestamp"))
+
+
+def test_a_batch_that_arrives_during_a_folding_is_neither_folded_nor_lost(spark, tmp_path, monkeypatch):
+    store, day = Store(spark, str(tmp_path)), dt.date(2024, 1, 30)
+    write_batch(store, one_line(spark, "a"), store.next_batch())
+    write_batch(store, one_line(spark, "b"), store.next_batch())
+    write, late = Store._write, iter([True])
+
+    def write_with_a_late_batch(self, *rest):
+        if next(late, False):
+            write_batch(store, one_line(spark, "late"), store.next_batch())
+        write(self, *rest)
+
+    monkeypatch.setattr(Store, "_write", write_with_a_late_batch)
+    store.compact(day)
+    assert sorted(r.subscriber_id for r in store.records().collect()) == ["a", "b", "late"]
+    assert store.rollup(ROLLUPS["daily_aggregation"]).agg(F.sum("session_count")).first()[0] == 3
+    assert parts_of(store, store.records_path, day) == ["batch_id=-1", "batch_id=2"]
+
+
+def test_a_batch_counts_only_when_it_is_whole(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "write_quarantine", lambda *_: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(OSError):
+            write_batch(store, one_line(spark, "a"), 0)
+    assert store.records().count() == 0 and store.next_batch() == 1
+    write_batch(store, one_line(spark, "a"), 0)
+    write_batch(store, one_line(spark, "other"), 0)  # not a replay, but the number is taken
+    assert [r.subscriber_id for r in store.records().collect()] == ["a"]
+
+
+def test_batches_of_quarantined_lines_take_numbers(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for k in range(3):
+        write_batch(store, one_line(spark, "a", extra=f',"source_ip":"1.2.3.999{k}"'), store.next_batch())
+    assert store.quarantined().count() == 3 and store.records().count() == 0
+    store.apply_retention(dt.date(2024, 1, 31) + dt.timedelta(days=91))
+    assert store.quarantined().count() == 0
+
+
+def test_retention_on_read(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for k in range(10, 20):
+        write_batch(store, one_line(spark, "a", f"2024-01-{k}T10:00:00"), store.next_batch())
+    tables = store.tables(F.lit("2024-04-14 10:00:00").cast("timestamp"))  # 90 days before: January 15th, 10:00
+    assert tables.records.count() == 4 and tables.hourly.count() == 4 and tables.applications.count() == 10
+    assert store.records().count() == 10
+
+
+def test_header_is_stripped_on_the_way_in(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    headed = one_line(spark, "a").withColumn("raw_message", F.concat(F.lit("<13>relay "), "raw_message"))
+    write_batch(store, headed, 0, strip_header="^<13>relay ", min_partitions=2)
+    assert store.records().first().raw_message.startswith("{")
+
+
+LARGE = 9 * 10**18
+
+
+def test_large_counters_neither_fail_nor_lie(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for k, counter in enumerate((LARGE, LARGE, 7, 2**63, 2**64)):
+        write_batch(store, one_line(spark, "a", extra=f',"bytes_in":{counter},"bytes_out":1'), k)
+    held = {r.bytes_in: r.bytes_total for r in store.records().collect()}
+    assert held == {LARGE: LARGE + 1, 7: 8, None: None, 0: 1}
+    direct = Tables.from_records(store.records().drop("day", "batch_id", "yyyymm"))
+    for rollup in ROLLUPS.values():
+        columns = [*rollup.group_keys, *rollup.columns]
+        assert spark_rows(store.rollup(rollup).select(columns)) == spark_rows(direct.rollup(rollup.name)), rollup.name
+    assert store.tables().daily.first().total_bytes is None
+    for name, report in REPORTS.items():
+        assert spark_rows(report(store.tables(), CLOCK)) == spark_rows(report(direct, CLOCK)), name
+    assert REPORTS["Q05_bandwidth_today"](direct, CLOCK).first().total is None
+
+
 def test_stream_over_files_with_restart(spark, lines, tmp_path):
     first, second = halves(lines)
     source, base, checkpoint = f"{tmp_path}/in", f"{tmp_path}/tables", f"{tmp_path}/checkpoint"
@@ -174,23 +286,27 @@ def test_split_lines(spark):
     assert sorted(r.raw_message for r in split_lines(messages).collect()) == ["a", "b", "c"]
 
 
-def test_new_checkpoint_goes_on_counting(spark, tmp_path):
+def test_every_checkpoint_has_numbers_of_its_own(spark, tmp_path):
     store, fixed = Store(spark, f"{tmp_path}/tables"), F.lit(INGEST_TS).cast("timestamp")
     assert store.next_batch() == 0
-    for run in range(2):
+    firsts = []
+    for run in (0, 1, 1):
         source = f"{tmp_path}/in{run}"
-        spark.createDataFrame([(f"2024-01-30T10:00:00 in:<u{run}>",)], "v string").write.text(source)
+        spark.createDataFrame([(f"2024-01-30T10:00:00 in:<u{run}>",)], "v string").write.mode("append").text(source)
         stream = read_files(spark, source, stream=True).withColumn("ingest_ts", fixed)
-        first = store.next_batch()
-        ingest(store, stream, f"{tmp_path}/c{run}", available_now=True, first_batch=first).awaitTermination()
-    assert sorted(r.subscriber_id for r in store.records().collect()) == ["u0", "u1"]
-
-
-def test_spread(spark):
-    few = spark.range(10).coalesce(1)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(10).repartition(spark.sparkContext.defaultParallelism + 1)
-    assert spread(many) is many
+        ingest(store, stream, f"{tmp_path}/c{run}", available_now=True).awaitTermination()
+        firsts.append(store.first_batch(f"{tmp_path}/c{run}"))
+    assert firsts == [STREAM, 2 * STREAM, 2 * STREAM]
+    assert sorted(r.subscriber_id for r in store.records().collect()) == ["u0", "u1", "u1"]
+    # an emptied checkpoint reads its source from the start again, under new numbers
+    os.rename(f"{tmp_path}/c0", f"{tmp_path}/gone")
+    assert store.first_batch(f"{tmp_path}/c0") == 3 * STREAM
+
+
+def test_clocks_ahead_of_time_are_counted_apart(spark):
+    lines = one_line(spark, "a").unionByName(one_line(spark, "b", "2099-01-01T00:00:00"))
+    ahead = ahead_of_time(parse_records(lines)).collect()
+    assert [(r.collector_id, r.sessions) for r in ahead] == [("", 1)]
 
 
 def test_topic_reader_needs_the_connector(spark):
