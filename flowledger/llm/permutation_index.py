@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowledger.llm.common import runs_of, staged
+from flowledger.llm.common import staged
 
 NEIGHBOURS = 20
 PIVOTS = 512
@@ -49,28 +49,34 @@ def pivots_of(vectors: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
 def nearest_pivots(vectors: np.ndarray, extra: np.ndarray, pivots: np.ndarray, places: int) -> np.ndarray:
     """Numbers of the nearest pivots of every vector, nearest first; ``extra`` is the added component."""
     near = vectors @ pivots[:, :-1].T + extra[:, None] * pivots[:, -1]
-    return np.argsort(-near, axis=1, kind="stable")[:, :places]
+    if places < near.shape[1]:
+        nearest = np.argpartition(-near, places - 1, axis=1)[:, :places]
+    else:
+        nearest = np.broadcast_to(np.arange(places), near.shape)
+    order = np.argsort(-np.take_along_axis(near, nearest, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(nearest, order, axis=1)
 
 
 class InvertedFiles:
-    """Postings (candidate, place) of one block, by pivot."""
+    """One file for each pivot over the candidates of a block.
+
+    A file holds the pivot's place in the order of every candidate, and the last place for candidates not posted under
+    it. As a vector is posted under a good part of the pivots, that takes less room than pairs of candidate and place,
+    and a file is added up as one vector.
+    """
 
     def __init__(self, orders: np.ndarray, pivots: int):
         n, self.places = orders.shape
-        by_pivot = np.argsort(orders, axis=None, kind="stable")
-        self.candidate, self.place = by_pivot // self.places, by_pivot % self.places
-        self.counts = np.bincount(orders.ravel(), minlength=pivots)
-        self.starts = np.cumsum(self.counts) - self.counts
-        self.n = n
+        self.files = np.full((pivots, n), self.places, np.int16)
+        self.files[orders.T, np.arange(n)] = np.arange(self.places, dtype=np.int16)[:, None]
+        self.own = np.arange(self.places, dtype=np.int16)[:, None]
 
     def footrule(self, order: np.ndarray) -> np.ndarray:
-        """Distance of every candidate's order to the query's."""
-        own = np.arange(self.places)
-        counts = self.counts[order]
-        posted = runs_of(self.starts[order], counts)
-        mine = np.repeat(own, counts)
-        nearer = np.abs(self.place[posted] - mine) - (self.places - mine)
-        return (self.places - own).sum() + np.bincount(self.candidate[posted], weights=nearer, minlength=self.n)
+        """Distance of every candidate's order to the query's, from the files of the query's own pivots."""
+        differences = self.files[order]
+        differences -= self.own
+        np.abs(differences, out=differences)
+        return differences.sum(axis=0, dtype=np.int32)
 
 
 def _searched(candidates: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, norm: float, k: int, share: float, least: int) -> pd.DataFrame:
@@ -86,9 +92,13 @@ def _searched(candidates: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarra
             distance = files.footrule(order)
             near = np.flatnonzero((distance <= np.partition(distance, depth - 1)[depth - 1]) & (ids != query))
             scores = (vectors[near] * vector).sum(axis=1)
+            if len(near) > k:
+                high = scores >= np.partition(scores, len(near) - k)[len(near) - k]
+                near, scores = near[high], scores[high]
             best = np.lexsort((ids[near], -scores))[:k]
-            found.append(pd.DataFrame({"query_id": query, "vec_id": ids[near][best], "score": scores[best]}))
-    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            found.append((np.full(len(best), query), ids[near][best], scores[best]))
+    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, share: float = SHARE, least: int = LEAST, candidate_block: int = CANDIDATE_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
