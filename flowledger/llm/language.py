@@ -33,7 +33,8 @@ SLOT_BITS = 16
 SWITCH_PENALTY = 12.0
 SCRIPT_SHARE = 0.01  # of a language's letters, to count as one of its scripts
 FORBIDDEN = np.float32(-1e6)
-BATCH_CHARS = 12_000_000
+BATCH_CHARS = 12_000_000  # texts that take the steps of the Viterbi pass together
+SCORED_CHARS = 1_500_000  # of them scored at a time
 
 # First and last code point of the letters of common scripts.
 SCRIPTS = (
@@ -94,21 +95,30 @@ class Languages:
 
     def label(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
         """(language, score, spans) of each text."""
-        words = Words.of(texts)
-        if not len(words.starts) or not self.names:
+        docs, starts, ends, scores, done = [], [], [], [], 0
+        for part in chunks(texts, SCORED_CHARS) if self.names else ():
+            words = Words.of(part)
+            if len(words.starts):
+                offset = words.doc_starts[words.doc]
+                docs.append(words.doc + done)
+                starts.append(words.starts - offset)
+                ends.append(words.ends - offset)
+                scores.append(self.word_scores(words))
+            done += len(part)
+        if not docs:
             return [(UNKNOWN, 0.0, [])] * len(texts)
+        doc, start_at, end_at = map(np.concatenate, (docs, starts, ends))
         n = len(self.names)
-        counts = np.bincount(words.doc, minlength=len(texts))
-        labels = best_path(self.word_scores(words), np.cumsum(counts) - counts, counts, SWITCH_PENALTY)
-        letters = np.bincount(words.doc * n + labels, weights=words.sizes, minlength=len(texts) * n).reshape(-1, n)
+        counts = np.bincount(doc, minlength=len(texts))
+        labels = best_path(np.concatenate(scores), np.cumsum(counts) - counts, counts, SWITCH_PENALTY)
+        letters = np.bincount(doc * n + labels, weights=end_at - start_at, minlength=len(texts) * n).reshape(-1, n)
         winner, total = letters.argmax(axis=1), letters.sum(axis=1)
         shares = letters[np.arange(len(texts)), winner] / np.maximum(total, 1)
-        first = np.flatnonzero(np.r_[True, (words.doc[1:] != words.doc[:-1]) | (labels[1:] != labels[:-1])])
+        first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (labels[1:] != labels[:-1])])
         last = np.r_[first[1:], len(labels)] - 1
         spans: list[list[dict]] = [[] for _ in texts]
-        offset = words.doc_starts[words.doc[first]]
-        for doc, start, end, label in zip(words.doc[first].tolist(), (words.starts[first] - offset).tolist(), (words.ends[last] - offset).tolist(), labels[first].tolist()):
-            spans[doc].append({"start_at": start, "end_at": end, "lang": self.names[label]})
+        for number, start, end, label in zip(doc[first].tolist(), start_at[first].tolist(), end_at[last].tolist(), labels[first].tolist()):
+            spans[number].append({"start_at": start, "end_at": end, "lang": self.names[label]})
         return [(self.names[k], share, found) if found else (UNKNOWN, 0.0, []) for k, share, found in zip(winner.tolist(), shares.tolist(), spans)]
 
 
