@@ -9,24 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowledger.llm import bpe, language, mixing, secrets, simhash
-from flowledger.llm.common import fresh_name, staged, table
+from flowledger.llm.common import bounded_batches, fresh_name, staged, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID, learned from the rows that name a language: texts without one (no letter) go, the others bear it."""
     found = fresh_name(docs, "found")
-    marked = docs.withColumn(found, language.language(F.col("text"), language.learn(docs)))
+    marked = bounded_batches(docs).withColumn(found, language.language(F.col("text"), language.learn(docs)))
     return marked.filter(F.col(f"{found}.lang") != language.UNKNOWN).withColumn("lang", F.col(f"{found}.lang")).drop(found)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each group of near copies the document with the smallest doc_id stays."""
-    return simhash.without_near_duplicates(docs)
+    return simhash.without_near_duplicates(bounded_batches(docs))
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scan: every secret found is masked in place; all documents stay."""
-    return docs.withColumn("text", secrets.without_secrets(F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
+    return bounded_batches(docs).withColumn("text", secrets.without_secrets(F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: doc_id, ids, and their number."""
-    return bpe.encode_documents(docs).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
+    """BPE: doc_id, ids and their number; ``bpe.decoded`` turns ids back into text."""
+    coded = bounded_batches(docs).select("doc_id", bpe.token_ids(F.col("text")).alias("ids"))
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [

@@ -28,7 +28,8 @@ from flowledger.llm.common import chunks, runs_of
 
 NO_RANK = np.iinfo(np.int32).max
 # Different words a Python worker remembers before it begins anew; bounds its memory, not what is encoded.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
+ENCODED_CHARS = 1_000_000  # texts encoded together
 
 
 def _byte_characters() -> list[str]:
@@ -139,7 +140,7 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, list[str]]]:
         """Per text its ids and, word by word, the tokens they stand for."""
         if len(self.known.words) > KEPT_WORDS:
-            self.known = _Known()
+            self.forget()
         documents = [list(map(self.known.number.__getitem__, self.pieces(text))) for text in texts]
         self._learn()
         known = self.known
@@ -148,6 +149,10 @@ class WordTokenizer:
             for words in documents
         ]
 
+    def forget(self) -> None:
+        """Drop the words merged so far; a worker that outlives its task must not keep them."""
+        self.known = _Known()
+
     def _learn(self) -> None:
         """Merge the words that came up since the last call."""
         known = self.known
@@ -205,10 +210,23 @@ def encoded(text: Column, file: str | None = None) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = tokenizer(file or vocabulary_file())
         for batch in batches:
-            rows = [row for part in chunks(batch) for row in bpe.encode(part)]
-            yield pd.DataFrame(
-                {"ids": pd.Series([ids.astype(np.int32) for ids, _ in rows], dtype=object), "decoded": pd.Series([" ".join(words) for _, words in rows], dtype=object)}
-            )
+            rows = [(ids.astype(np.int32), " ".join(words)) for part in chunks(batch, ENCODED_CHARS) for ids, words in bpe.encode(part)]
+            columns = zip(*rows) if rows else ([], [])
+            yield pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in zip(("ids", "decoded"), columns)})
+        bpe.forget()
+
+    return encode(text)
+
+
+def token_ids(text: Column, file: str | None = None) -> Column:
+    """Column of array<int>: the ids alone, without the text they decode to."""
+
+    @pandas_udf("array<int>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe = tokenizer(file or vocabulary_file())
+        for batch in batches:
+            yield pd.Series([ids.astype(np.int32) for part in chunks(batch, ENCODED_CHARS) for ids, _ in bpe.encode(part)], dtype=object)
+        bpe.forget()
 
     return encode(text)
 
@@ -234,10 +252,11 @@ def digest(text: Column, file: str | None = None) -> Column:
         for batch in batches:
             rows = [
                 (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(" ".join(words).encode()).hexdigest())
-                for part in chunks(batch)
+                for part in chunks(batch, ENCODED_CHARS)
                 for ids, words in bpe.encode(part)
             ]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return digests(text)
 

@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from flowledger.session import shared_folder
+from flowledger.session import new_folder
 
 # A word is a longest run of anything but ASCII white space (Java and Python read this pattern alike).
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_CHARS = 4_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(frame: DataFrame) -> DataFrame:
+    """The same frame in a session that hands Python workers at most about BATCH_BYTES at a time (or one longer row).
+
+    Bounds the memory of tasks on long texts; results do not depend on it. A smaller setting of the session stays.
+    """
+    conf, key = frame.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = conf.get(key)
+    if not held.rstrip("b").isdigit() or int(held.rstrip("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return frame
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete a staged folder if the JVM still answers; a cut-off job leaves its folder to the cluster's own clean-up."""
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    except Exception:  # the JVM has gone
-        pass
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return bounded_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def staged(frame: DataFrame, kind: str) -> DataFrame:
@@ -36,9 +40,8 @@ def staged(frame: DataFrame, kind: str) -> DataFrame:
     same rows however often it is evaluated. The folder goes when the driver program ends.
     """
     spark = frame.sparkSession
-    folder = f"{shared_folder(spark)}/llm-{kind}-{uuid.uuid4().hex}"
+    folder = new_folder(spark, f"llm-{kind}")
     frame.write.parquet(folder)
-    atexit.register(_remove, spark, folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
