@@ -24,7 +24,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from flowledger.llm.common import fresh_name, staged
@@ -167,27 +167,35 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))), F.bit_xor(mark)).first())
 
 
+def _rooted(marked: DataFrame, first: Column, distance: int, tile: int) -> DataFrame:
+    """fp, root and the least ``first`` of every class of equal fingerprints of ``marked``."""
+    classes = staged(marked.groupBy("fp").agg(F.min(first).alias("first")), "classes")
+    stars = connected(links(classes.select("fp"), distance, tile=tile))
+    return classes.join(stars, classes.fp == stars.u, "left").select("fp", "first", F.coalesce("v", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = DISTANCE, tile: int = TILE) -> DataFrame:
     """doc_id, fp (long) and component_id of every row of ``docs`` (doc_id, text); other columns are left out."""
     marked = staged(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "fingerprints")
-    classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    stars = connected(links(classes.select("fp"), distance, tile=tile))
-    root = F.coalesce("v", "fp")
-    rooted = classes.join(stars, classes.fp == stars.u, "left").select("fp", "first_id", root.alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = _rooted(marked, F.col("doc_id"), distance, tile)
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(ids, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs``, all columns, of the first document of every component; of rows with that doc_id one stays."""
-    first = near_duplicates(docs.select("doc_id", "text"), shingle, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    firsts = first.select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(firsts, docs.doc_id.eqNullSafe(firsts.first_id), "left_semi")
-    mark = fresh_name(docs, "nth")
+def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = DISTANCE, tile: int = TILE) -> DataFrame:
+    """One row of ``docs``, all columns, of every component: the one with the smallest doc_id, rows without one last.
+
+    Rows are numbered in a written table and chosen by number, so a doc_id that is null or repeated decides only which
+    row of its own component stays. Among rows of one doc_id the smallest hash of all columns comes first.
+    """
+    key = fresh_name(docs, "row_key")
+    rows = staged(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
     rest = F.xxhash64(*[F.col(f"`{name}`").cast("string") for name in docs.columns])
-    among = Window.partitionBy("doc_id").orderBy(rest)
-    return kept.withColumn(mark, F.row_number().over(among)).filter(F.col(mark) == 1).drop(mark)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"), rest.alias("rest"), F.col(key).alias("row_key"))
+    marked = staged(rows.select(place.alias("place"), fingerprints(F.col("text"), shingle).alias("fp")), "fingerprints")
+    firsts = _rooted(marked, F.col("place"), distance, tile).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(firsts.select(F.col("first.row_key").alias(key)), key, "left_semi").drop(key)
 
 
 def component_report(docs: DataFrame) -> DataFrame:

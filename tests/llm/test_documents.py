@@ -242,6 +242,17 @@ def test_op5_odd_rows(odd_docs, no_docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 5, 7, 8, 9]
 
 
+def test_survivors_are_rows_of_components(spark):
+    plain = ["many grapes grow on the southern hills", "ships leave the old harbour before dawn", "a locksmith repairs three brass keys", "rain fell on the market all afternoon"]
+    nameless = [(None, text) for text in plain for _ in range(2)]
+    named = [(3, "seven blue lamps hang over the long table"), (5, "seven blue lamps hang over the long table"), (5, "the choir sings twice on the first sunday")]
+    twice = [(7, "two tired horses cross the frozen river"), (7, "every clock in the tower runs too slow"), (7, "every clock in the tower runs too slow")]
+    low = [(None, "an engraver signs the last copper plate"), (8, "an engraver signs the last copper plate")]
+    docs = spark.createDataFrame(nameless + named + twice + low, "doc_id long, text string").repartition(4)
+    kept = sorted(((r.doc_id or 0), r.text) for r in simhash.without_near_duplicates(docs).collect())
+    assert kept == sorted([(0, t) for t in plain] + [named[0], named[2], twice[0], twice[1], low[1]])
+
+
 # --- mixing
 
 
