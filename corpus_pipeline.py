@@ -13,10 +13,16 @@ from flowledger.llm.common import bounded_batches, fresh_name, staged, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID, learned from the rows that name a language: texts without one (no letter) go, the others bear it."""
+    """Language ID, learned from the rows that name a language: texts without a letter go, the others bear it.
+
+    If no row names a language, nothing can be told apart: texts with letters stay and their lang stays null.
+    """
+    model = language.learn(docs)
+    if not model.names:
+        return bounded_batches(docs).filter(language.has_letter(F.col("text")))
     found = fresh_name(docs, "found")
-    marked = bounded_batches(docs).withColumn(found, language.language(F.col("text"), language.learn(docs)))
-    return marked.filter(F.col(f"{found}.lang") != language.UNKNOWN).withColumn("lang", F.col(f"{found}.lang")).drop(found)
+    marked = bounded_batches(docs).withColumn(found, language.language(F.col("text"), model))
+    return marked.filter(F.size(f"{found}.spans") > 0).withColumn("lang", F.col(f"{found}.lang")).drop(found)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -203,6 +203,17 @@ def language(text: Column, model: Languages) -> Column:
     return labelled.asNondeterministic()(text)  # or Spark would run it again for a filter on its result
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter; false for a null text. What ``language`` gives spans to when anything was learned."""
+
+    @pandas_udf("boolean")
+    def lettered(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([found for part in chunks(batch) for found in (np.bincount(Words.of(part).doc, minlength=len(part)) > 0).tolist()], dtype=bool)
+
+    return lettered(text)
+
+
 def held_out(parts: int, part: int) -> Column:
     """Whether crc32 of doc_id as text leaves this remainder; a null doc_id is not held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))

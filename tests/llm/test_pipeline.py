@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from flowledger.llm import secrets
 from tests.llm import brute
@@ -52,6 +54,16 @@ def test_language_stage_keeps_what_has_letters(spark, odd_docs, sf_dir):
     assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 5, 6, 6, 7, 9] and all(r.lang for r in kept)
 
 
+def test_language_stage_keeps_letters_where_no_language_is_named(spark, odd_docs, sf_dir):
+    nameless = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, nameless, sf_dir)
+    assert kept.columns == odd_docs.columns
+    rows = kept.collect()
+    assert sorted(r.doc_id or 0 for r in rows) == [0, 1, 5, 6, 6, 7, 9] and {r.lang for r in rows} == {None}
+    undetermined = odd_docs.withColumn("lang", F.lit("und"))
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.identify_language(spark, undetermined, sf_dir).collect()) == [0, 1, 5, 6, 6, 7, 9]
+
+
 def test_secret_stage_masks(spark, odd_docs, sf_dir):
     rows = {r.doc_id: r for r in corpus_pipeline.remove_secrets(spark, odd_docs, sf_dir).collect()}
     assert rows[1].text == "The [secret] and the rest of a text" and rows[1].n_chars == len(rows[1].text) and rows[2].text is None
