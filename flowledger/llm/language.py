@@ -6,8 +6,9 @@ pass over the words of a document finds the labelling with the best sum of score
 passage in another language becomes a span of its own while a stray word does not. The document's language is the one
 with most letters in its spans, its score their share of all letters.
 
-Trigrams are counted over a bounded sample of the labelled rows, ``docs_per_language`` for each language on average,
-chosen by a hash of the text; a language's table has a fixed number of slots. Prediction looks at texts only, whole.
+Trigrams are counted over a bounded sample of the different labelled texts, about ``docs_per_language`` for each language,
+chosen by a hash of the text; copies of a text count once. A language's table has a fixed number of slots. Prediction looks
+at texts only, whole.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text when nothing was learned. Equally long
 shares go to the first language by name. Rows without a label are not learned from. Equal texts get equal results.
@@ -160,13 +161,13 @@ def best_path(scores: np.ndarray, starts: np.ndarray, counts: np.ndarray, penalt
 def learn(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Languages:
     """Count trigrams and scripts of ``labelled`` (text, lang). The driver gets one number per language and slot."""
     known = labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {row.lang: row.n for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {row.lang: row.n for row in known.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     names = sorted(sizes)
     if not names:
         return Languages([], np.zeros((0, 1 << SLOT_BITS), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
-    shares = F.create_map(*[F.lit(x) for name in names for x in (name, min(1.0, docs_per_language / sizes[name]))])
+    shares = F.create_map(*[F.lit(x) for name in names for x in (name, min(1.0, docs_per_language / max(sizes[name], 1)))])
     share = F.element_at(shares, F.col("lang"))
-    chosen = known.filter(F.shiftrightunsigned(F.xxhash64("text"), 11) < share * float(1 << 53))
+    chosen = known.filter(F.shiftrightunsigned(F.xxhash64("text"), 11) < share * float(1 << 53)).distinct()
     number = {name: k for k, name in enumerate(names)}
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -405,6 +405,17 @@ def test_scripts_narrow_languages(spark):
     assert model.label(["漢字"])[0][0] in model.names
 
 
+def test_copies_of_a_text_are_learned_from_once(spark):
+    rows = [(text, "fr") for text in ("le chat dort sur la table", "une rose pour ma mère", "il pleut ce matin")]
+    rows += [(f"the number {k} stands on the door of the house", "en") for k in range(12)]
+    once = spark.createDataFrame(rows, "text string, lang string")
+    hot = spark.createDataFrame(rows[:3] * 200 + rows[3:] + rows[3:4] * 300, "text string, lang string")
+    few, many = (language.learn(docs, docs_per_language=20) for docs in (once, hot))
+    assert few.names == many.names == ["en", "fr"]
+    assert np.array_equal(few.logs, many.logs) and np.array_equal(few.allowed, many.allowed)
+    assert many.label(["il pleut sur la table ce matin"])[0][0] == "fr"
+
+
 def test_op8_odd_rows(odd_docs, no_docs):
     rows = language.language_report(odd_docs).collect()
     assert len(rows) == len(ROWS)
