@@ -38,11 +38,16 @@ def usable(embedding: Column) -> Column:
 
 
 def pivots_of(vectors: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
-    """At most ``pivots`` different vectors, those with the smallest hashes of a sample about 20 times as large."""
+    """At most ``pivots`` different vectors, those with the smallest hashes of a sample about 20 times as large; the
+    smallest of all vectors if the sample has too few."""
     key = F.shiftrightunsigned(F.xxhash64("embedding"), 11)
-    share = min(1.0, 20 * pivots / max(vectors.count(), 1))
-    sample = vectors.filter(key < share * float(1 << 53)).select(key.alias("key"), "embedding").dropDuplicates(["key"])
-    rows = sample.orderBy("key").limit(pivots).collect()
+    different = vectors.agg(F.approx_count_distinct(key)).first()[0]
+    share = min(1.0, 20 * pivots / max(different, 1))
+    rows = []
+    for part in sorted({share, 1.0}):
+        if len(rows) < pivots:
+            sample = vectors.filter(key < part * float(1 << 53)).select(key.alias("key"), "embedding").dropDuplicates(["key"])
+            rows = sample.orderBy("key").limit(pivots).collect()
     return np.array([row.embedding for row in rows], np.float64)
 
 

@@ -70,3 +70,10 @@ def test_odd_vectors(spark):
     found = found_by_query(index.nearest_report(frame))
     assert found == {0: [(7, 5.0), (8, 5.0), (20, 4.0), (9, 0.0)], 20: [(0, 4.0), (7, 4.0), (8, 4.0), (9, -1.5)]}
     assert index.nearest_report(frame.limit(0)).count() == 0
+
+
+def test_pivots_of_few_different_vectors(spark):
+    few = spark.range(4000).select(F.array((F.col("id") % 3 + 1).cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    assert sorted(index.pivots_of(few, 4).tolist()) == [[1.0, 1.0], [2.0, 1.0], [3.0, 1.0]]
+    many = spark.range(4000).select(F.array((F.col("id") + 1).cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    assert len(np.unique(index.pivots_of(many, 4), axis=0)) == 4
