@@ -78,7 +78,7 @@ def lanes(text: str, k: int = K, size: int = TUPLE) -> np.ndarray:
         counts = np.bincount(lane, minlength=len(factors))
         order = np.argsort(lane << 32 | ranks[low], kind="stable")  # equal hashes are told apart by their place
         starts = np.cumsum(counts) - counts
-        for k in range(wanted):
+        for k in range(wanted if len(low) else 0):  # without any hash below the limit all lanes are short
             chosen[first : first + block, k] = (low - lane * n)[order[np.minimum(starts + k, len(low) - 1)]]
         for short in np.flatnonzero(counts < wanted):
             chosen[first + short, :wanted] = np.argsort(factors[short] * kmers, kind="stable")[:wanted]

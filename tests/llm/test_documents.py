@@ -63,6 +63,32 @@ def test_lanes_are_the_definition(text):
     assert (order_minhash.lanes(text) == plain_lanes(text)).all()
 
 
+def sorted_lanes(kmers):
+    """The lanes' hashes from a full sort of each lane."""
+    chosen = np.array([kmers[np.sort(np.argsort(kmers * factor, kind="stable")[:2])] for factor in order_minhash.MULTIPLY])
+    hashes = np.zeros(len(chosen), np.uint64)
+    for column in chosen.T:
+        hashes = order_minhash._mixed(hashes * order_minhash._G + column + np.uint64(1))
+    return (hashes >> np.uint64(48)).astype(np.uint16)
+
+
+@pytest.mark.parametrize("size", [130_000, 131_080, 140_000, 300_000, 1_000_000])
+def test_lanes_of_very_long_texts(size):
+    text = "".join(np.random.default_rng(size).choice(list("abcdefghijklmnop "), size))
+    assert (order_minhash.lanes(text) == sorted_lanes(order_minhash.numbered_kmers(text))).all()
+
+
+@pytest.mark.parametrize("size", [1_000, 150_000])
+def test_lanes_without_any_small_hash(monkeypatch, size):
+    """Every hash of one lane, alone in its block for the larger size, lies above the limit of the first look."""
+    factor = order_minhash.MULTIPLY[5]
+    ranks = np.random.default_rng(size).integers(1 << 31, 1 << 32, size).astype(np.uint32)
+    kmers = ranks * np.uint32(pow(int(factor), -1, 1 << 32))
+    assert (kmers * factor == ranks).all()
+    monkeypatch.setattr(order_minhash, "numbered_kmers", lambda text, k: kmers)
+    assert (order_minhash.lanes("x") == sorted_lanes(kmers)).all()
+
+
 def test_order_minhash_sees_edits_and_order():
     rng = np.random.default_rng(1)
     text = "".join(rng.choice(list("abcdefgh "), 4000))
