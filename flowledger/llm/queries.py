@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowledger.llm import bpe, chat, language, mixing, order_minhash, permutation_index, secrets, sharding, simhash, toxicity
+from flowledger.llm import (
+    bpe,
+    chat,
+    cross_tokenizer,
+    language,
+    line_dedup,
+    mixing,
+    order_minhash,
+    permutation_index,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    whitening,
+)
 from flowledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +66,18 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizer.alignment_report(table(spark, sf_dir, "documents"))
+
+
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def deduplicated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_order_minhash": order_minhash_fingerprints,
     "op2_permutation_index": nearest_vectors,
@@ -63,6 +89,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": language_spans,
     "op9_chat_windows": chat_windows,
     "op10_toxicity": toxicity_scores,
+    "op11_cross_tokenizer": aligned_tokens,
+    "op12_embedding_whitening": whitened_embeddings,
+    "op13_line_dedup": deduplicated_lines,
 }
 
-SQL: dict[str, str] = {"op9_chat_windows": chat.report_sql()}
+SQL: dict[str, str] = {"op9_chat_windows": chat.report_sql(), "op13_line_dedup": line_dedup.report_sql()}
