@@ -201,13 +201,16 @@ def merge_members(parts: DataFrame, rollup: Rollup) -> DataFrame:
     return parts.select(*rollup.group_keys, "measure", "member").distinct()
 
 
-def merge_parts(measures: DataFrame, rollup: Rollup, members: DataFrame | None = None) -> DataFrame:
-    """Rollup rows from parts: distinct counts from ``members`` (exact), else from sketches in ``measures``.
+def merge_parts(measures: DataFrame, rollup: Rollup, members: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Rollup rows from parts: distinct counts as given in ``counts``, from ``members`` (exact), else from sketches in
+    ``measures``.
 
     The member side joins on the rollup's own keys, which are unique on both sides; a report that reads no distinct
     count leaves it out of its plan altogether.
     """
     merged = merge_measures(measures, rollup)
+    if counts is not None:
+        return _finished(merged.join(counts, list(rollup.group_keys), "left"), rollup)
     if members is None:
         estimates = {name: F.hll_sketch_estimate(f"{name}_sketch") for name in rollup.uniques}
         return _finished(merged.withColumns(estimates), rollup)

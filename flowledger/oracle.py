@@ -320,6 +320,8 @@ def all_sql() -> dict[str, str]:
         sql[name] = select_sql(table, select)
     return {
         **sql,
+        "W3_closed_days": with_records(ROLLUP_SQL["daily_aggregation"]),
+        "W3_rebuilt_rollup": with_records(ROLLUP_SQL["hourly_traffic"]),
         "S2_split_lines": SPLIT_SELECT,
         "P_quarantine": QUARANTINE_SELECT,
         "P_status_by_message_kind": with_records(BY_KIND_SELECT),

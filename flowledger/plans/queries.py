@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from flowledger.oracle import AS_OF, END, RETENTION_NOW, START
 from flowledger.functions.timestamps import Clock
 from flowledger.operators.parse import parse_records
-from flowledger.operators.rollups import HOURLY, ROLLUPS, Rollup
+from flowledger.operators.rollups import DAILY, HOURLY, ROLLUPS, Rollup
 from flowledger.plans import field_queries, stored_queries, views
 from flowledger.plans.event_lines import event_lines, read_events
 from flowledger.plans.reports import REPORTS
@@ -119,6 +119,8 @@ STORED_QUERIES: dict[str, Query] = {
     "W7_live_with_fast_clock": _stored(
         lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=True, fast_clocks=True)
     ),
+    "W3_closed_days": _stored(lambda spark, sf_dir: stored_queries.closed_days(spark, sf_dir, DAILY)),
+    "W3_rebuilt_rollup": _stored(lambda spark, sf_dir: stored_queries.rebuilt_rollup(spark, sf_dir, HOURLY)),
     "W1_replay_after_compaction": _stored(stored_queries.streamed_records),
     "W6_new_checkpoint": _stored(stored_queries.records_of_two_streams),
     "P_quarantine_stored": _stored(stored_queries.stored_quarantine),

@@ -21,6 +21,7 @@ from flowledger.streaming.live import live_per_minute, live_per_second, write_ra
 
 SKETCH_ERROR = 0.05  # three times the standard error of a sketch with 2 ** 12 registers
 PARTS = 4  # micro-batches the events come in
+OPEN_DAYS = 2  # newest days that are not folded before the last micro-batch
 COMPACTED_DAY = dt.date.fromisoformat(AS_OF[:10])
 _STORES: dict[tuple, Store] = {}
 
@@ -32,23 +33,40 @@ def _state_of(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
 
-def _lines_in_files(spark: SparkSession, lines: DataFrame, part: Column, folder: str) -> DataFrame:
-    """A stream that takes one part of the lines in each micro-batch, in the order of the parts."""
-    for number in range(PARTS):
-        lines.filter(part == number).select("raw_message", "ingest_ts").coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(schema.RAW_LINES).option("maxFilesPerTrigger", 1).parquet(folder)
+def _lines_in_parts(lines: DataFrame, part: Column, folder: str) -> DataFrame:
+    """A stream over the lines; nothing is in its source until :func:`_deliver` puts a part of them there.
+
+    All parts are written by one job over all cores, each in as many files as there are tasks.
+    """
+    spark = lines.sparkSession
+    lines.select("raw_message", "ingest_ts", part.cast("int").alias("part")).write.partitionBy("part").parquet(f"{folder}/held")
+    return spark.readStream.schema(schema.RAW_LINES).parquet(f"{folder}/lines/*")
+
+
+def _deliver(spark: SparkSession, folder: str, number: int) -> None:
+    """Moves a part of the lines into the source of the stream, where its next run finds it."""
+    held, to = (spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}") for name in (f"held/part={number}", f"lines/{number}"))
+    files = held.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(to.getParent())
+    if files.exists(held):
+        files.rename(held, to)
 
 
 def streamed_store(spark: SparkSession, sf_dir: str) -> Store:
-    """All events ingested in several micro-batches, each of which has late lines for every day; one day compacted, and
-    all batches delivered once more behind it. Built once for the same input files."""
+    """All events ingested in several micro-batches, each of which has late lines for every day. All days but the last
+    ones are folded before the last batch arrives, so it is late for them too; one day is folded once more. In the end all
+    batches are delivered again. Built once for the same input files."""
     events = read_events(configure(spark), sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, f"{sf_dir}/events.parquet"))
     if key not in _STORES:
         folder, lines, part = new_folder(spark, "store"), event_lines(events), F.col("event_id") % PARTS
         store = Store(spark, f"{folder}/tables")
-        stream = _lines_in_files(spark, lines, part, f"{folder}/lines")
-        ingest(store, stream, f"{folder}/checkpoint", available_now=True, min_partitions=PARTS).awaitTermination()
+        stream = _lines_in_parts(lines, part, folder)
+        for number in range(PARTS):
+            if number == PARTS - 1:
+                store.compact(store.days(store.records_path)[:-OPEN_DAYS])
+            _deliver(spark, folder, number)
+            ingest(store, stream, f"{folder}/checkpoint", available_now=True, min_partitions=PARTS).awaitTermination()
         store.compact(COMPACTED_DAY)
         first = store.first_batch(f"{folder}/checkpoint")
         for number in range(PARTS):
@@ -100,6 +118,36 @@ def streamed_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFra
     return streamed_store(spark, sf_dir).rollup(rollup).select(*rollup.group_keys, *rollup.columns)
 
 
+def _half_stored(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
+    """A store with three quarters of the events, and the lines of the others, which have some for every day."""
+    lines, part = event_lines(read_events(configure(spark), sf_dir)), F.col("event_id") % PARTS
+    store = Store(spark, f"{new_folder(spark, 'store')}/tables")
+    write_batch(store, lines.filter(part > 0), 0, min_partitions=PARTS)
+    return store, lines.filter(part == 0)
+
+
+def closed_days(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFrame:
+    """A rollup whose days were closed, the first ones after folding, before lines for all of them came late; then some
+    were closed again."""
+    store, late = _half_stored(spark, sf_dir)
+    days = store.days(store.records_path)
+    store.compact(days[: len(days) // 2])
+    store.close(days)
+    write_batch(store, late, 1, min_partitions=PARTS)
+    store.close(days[::3])
+    return store.rollup(rollup).select(*rollup.group_keys, *rollup.columns)
+
+
+def rebuilt_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFrame:
+    """A rollup rebuilt from the records, of some days after folding, with a batch that came behind it."""
+    store, late = _half_stored(spark, sf_dir)
+    days = store.days(store.records_path)
+    store.compact(days[::2])
+    store.rebuild_rollups(days)
+    write_batch(store, late, 1, min_partitions=PARTS)
+    return store.rollup(rollup).select(*rollup.group_keys, *rollup.columns)
+
+
 def retained_stored_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFrame:
     """A stored rollup at a time when its retention ends inside the data."""
     now = F.expr(f"TIMESTAMP '{RETENTION_EDGE}' + INTERVAL {rollup.retention_days} DAYS")
@@ -115,9 +163,11 @@ def live_rates(spark: SparkSession, sf_dir: str, per_second: bool, fast_clocks:
         ahead = lines.filter("event_id % 97 = 0").withColumn("raw_message", F.regexp_replace("raw_message", "202[0-9]-", "2099-"))
         lines = lines.unionByName(ahead)
     part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(PARTS - 1))
-    records = parse_records(_lines_in_files(spark, lines, part, f"{folder}/lines"))
+    records = parse_records(_lines_in_parts(lines, part, folder))
     rates = live_per_second(records) if per_second else live_per_minute(records)
-    write_rates(rates, f"{folder}/rates", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    for number in range(PARTS):
+        _deliver(spark, folder, number)
+        write_rates(rates, f"{folder}/rates", f"{folder}/checkpoint", available_now=True).awaitTermination()
     return spark.read.schema(rates.schema).parquet(f"{folder}/rates")
 
 

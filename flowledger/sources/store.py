@@ -3,48 +3,51 @@
 Layout below one base folder:
 
     records/day=…/batch_id=…                      session records, sorted by subscriber and time
-    rollups/<name>/measures/day=…/batch_id=…      additive measures per batch
-    rollups/<name>/members/day=…/batch_id=…       distinct members per batch
+    rollups/<name>/measures/day=…/batch_id=…      additive measures; of folded days with lists of numbered members
+    rollups/<name>/members/day=…/batch_id=…       distinct members: text rows of batches, bitmaps of folded days
+    rollups/<name>/closed/day=…/batch_id=…        finished rows of closed days, distinct counts as numbers
+    dictionary/day=…/batch_id=…                   numbers of the members of folded days, shared by all rollups
     collectors/day=…/batch_id=…                   collector ids of each batch
     quarantine/day=…/batch_id=…                   by day of arrival
+    late/day=…/batch_id=…                         records that came for a closed day whose own records have gone
 
     _log/started/<batch_id>                       batches and foldings that have begun
     _log/committed/<batch_id>                     batches that are stored as a whole (of a stream, the last one)
-    _log/folds/<table>/<day>/<batch_id>/<old>…    a day's new part and the parts it stands for
+    _log/folds/<group>/<day>/<batch_id>/<table>.<old>   a day's new parts and the parts they stand for
     _log/last_fold/<batch_id>                     the last number a folding got
     _log/checkpoints/<hash>/<first>               where the numbers of a stream begin
 
 A batch only ever replaces its own ``batch_id`` partitions, and once committed it is never written again, so neither a
 retry nor a replay changes anything, compacted or not. Readers leave out batches that are not committed and parts that
-a folding stands for: a folding becomes visible with the one rename that puts its entry into the log.
+a folding stands for: a folding becomes visible with the one rename that puts its entry into the log. Records are one
+group of tables, all rollups with the dictionary another: a day's rollups change their form together.
+
+A day's rollups are open (rows of batches), folded (numbered members) or closed (finished counts, no members). A batch
+that reaches a closed day reopens it from its records; if these have gone, its lines for that day are put aside.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
+from flowledger.operators import distinct
 from flowledger.operators.retention import retained_records, retained_rollup
-from flowledger.operators.rollups import (
-    ROLLUPS,
-    SESSIONS,
-    Rollup,
-    measures_part,
-    members_part,
-    merge_measures,
-    merge_members,
-    merge_parts,
-)
+from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, Rollup, measures_part, members_part, merge_parts
 from flowledger.plans.tables import Tables
 
 _PARTITIONS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
 _BIGINT, _STRING = T.LongType(), T.StringType()
+Parts = dict[dt.date, set[int]]  # numbers of the parts a table has, by day
 STREAM = 1 << 32  # numbers of one stream's batches; batches written by hand are below, foldings are negative
 
 
@@ -57,16 +60,25 @@ def _with_partitions(fields: list[T.StructField]) -> T.StructType:
     return T.StructType([f for f in fields if f.name != "day"] + _PARTITIONS)
 
 
+def _additive_fields(rollup: Rollup) -> list[T.StructField]:
+    return [T.StructField(name, _BIGINT) for name in (SESSIONS, *rollup.sums, *rollup.maxima)]
+
+
 def _measures_schema(rollup: Rollup) -> T.StructType:
-    measures = [SESSIONS, *rollup.sums, *rollup.maxima]
-    return _with_partitions(_key_fields(rollup) + [T.StructField(name, _BIGINT) for name in measures])
+    lists = [T.StructField(distinct.list_name(name), T.ArrayType(_BIGINT)) for name in rollup.uniques]
+    return _with_partitions(_key_fields(rollup) + _additive_fields(rollup) + lists)
 
 
 def _members_schema(rollup: Rollup) -> T.StructType:
-    extra = [T.StructField("measure", _STRING), T.StructField("member", _STRING)]
+    extra = [T.StructField("measure", _STRING), T.StructField("member", _STRING), T.StructField("stretch", _BIGINT), T.StructField("bits", T.BinaryType())]
     return _with_partitions(_key_fields(rollup) + extra)
 
 
+def _closed_schema(rollup: Rollup) -> T.StructType:
+    return _with_partitions(_key_fields(rollup) + _additive_fields(rollup) + [T.StructField(name, _BIGINT) for name in rollup.uniques])
+
+
+_DICTIONARY_SCHEMA = T.StructType([T.StructField("kind", _STRING), T.StructField("member", _STRING), T.StructField("number", _BIGINT), *_PARTITIONS])
 _RECORDS_SCHEMA = _with_partitions([*schema.RECORDS.fields, T.StructField("yyyymm", _STRING)])
 
 
@@ -74,6 +86,14 @@ def _day_of(rollup: Rollup):
     return F.to_date("hour") if rollup.bucket == "hour" else F.col("day")
 
 
+class State(NamedTuple):
+    """What the log says at one moment."""
+
+    unfinished: frozenset[int]
+    committed: frozenset[int]
+    folds: dict[str, dict[dt.date, tuple[int, dict[str, set[int]]]]]
+
+
 class Store:
     """Reads and writes the tables below ``base``."""
 
@@ -94,52 +114,111 @@ class Store:
     def members_path(self, rollup: Rollup) -> str:
         return self.path("rollups", rollup.name, "members")
 
+    def closed_path(self, rollup: Rollup) -> str:
+        return self.path("rollups", rollup.name, "closed")
+
+    @property
+    def dictionary_path(self) -> str:
+        return self.path("dictionary")
+
+    def _rollup_tables(self) -> dict[str, T.StructType]:
+        """Paths and columns of all tables a day's rollups consist of."""
+        tables = {self.dictionary_path: _DICTIONARY_SCHEMA}
+        for rollup in ROLLUPS.values():
+            tables |= self._tables_of(rollup)
+        return tables
+
+    def _tables_of(self, rollup: Rollup) -> dict[str, T.StructType]:
+        return {
+            self.measures_path(rollup): _measures_schema(rollup),
+            self.members_path(rollup): _members_schema(rollup),
+            self.closed_path(rollup): _closed_schema(rollup),
+        }
+
     # Reading
 
     def _read(self, path: str, columns: T.StructType) -> DataFrame:
-        """The visible rows of a table. Files are listed between two equal looks at the log, so what is hidden and
-        what the files hold belong to one state."""
-        if not _exists(self.spark, path):
-            return self.spark.createDataFrame([], columns)
-        state = self._unfinished(), self._folds(path)
+        return self._read_together({path: columns})[0][path]
+
+    def _read_together(self, tables: dict[str, T.StructType]) -> tuple[dict[str, DataFrame], dict[str, Parts]]:
+        """The visible rows of some tables and the parts they come from. Files are listed between two equal looks at the
+        log, so what is hidden and what the files of all these tables hold belong to one state."""
+        state = self._look(tables)
         while True:
-            rows = self.spark.read.schema(columns).parquet(path)
-            before, state = state, (self._unfinished(), self._folds(path))
+            frames, parts = {}, {}
+            for path, columns in tables.items():
+                frames[path] = self.spark.read.schema(columns).parquet(path) if _exists(self.spark, path) else None
+                parts[path] = _parts_in(frames[path])
+            before, state = state, self._look(tables)
             if state == before:
                 break
-        unfinished, folds = state
-        hidden = unfinished - {new for new, _ in folds.values()}
+        for path, columns in tables.items():
+            frames[path] = self.spark.createDataFrame([], columns) if frames[path] is None else self._shown(path, frames[path], state)
+        return frames, {path: self._visible(path, parts[path], state) for path in tables}
+
+    def _shown(self, path: str, rows: DataFrame, state: State) -> DataFrame:
+        folds = state.folds[self._group(path)]
+        hidden = state.unfinished - {new for new, _ in folds.values()}
         if hidden:
             rows = rows.filter(~F.col("batch_id").isin(sorted(hidden)))
         for day, (_, old) in folds.items():
-            rows = rows.filter(~((F.col("day") == F.lit(day)) & F.col("batch_id").isin(sorted(old))))
+            if ids := old.get(self._table(path)):
+                rows = rows.filter(~((F.col("day") == F.lit(day)) & F.col("batch_id").isin(sorted(ids))))
         return rows
 
+    def _look(self, paths: Iterable[str]) -> State:
+        """What the log says about some tables, and how far batches have come."""
+        groups = sorted({self._group(path) for path in paths})
+        return State(self._unfinished(), frozenset(self._logged("committed")), {group: self._folds(group) for group in groups})
+
+    def _visible(self, path: str, parts: Parts, state: State) -> Parts:
+        folds, table = state.folds[self._group(path)], self._table(path)
+        found = {}
+        for day, ids in parts.items():
+            new, old = folds.get(day, (None, {}))
+            kept = {i for i in ids if i == new or i not in state.unfinished} - old.get(table, set())
+            if kept:
+                found[day] = kept
+        return found
+
     # The log
 
     def _logged(self, kind: str) -> set[int]:
         return {int(name) for name in _child_folders(self.spark, self.path("_log", kind))}
 
-    def _unfinished(self) -> set[int]:
+    def _unfinished(self) -> frozenset[int]:
         started = self._logged("started")
-        return {batch for batch in started if not self._committed(batch)} if started else started
+        committed = self._logged("committed") if started else set()
+        return frozenset(batch for batch in started if not self._committed(batch, committed))
 
-    def _committed(self, batch_id: int) -> bool:
-        committed = self._logged("committed")
+    def _committed(self, batch_id: int, committed: set[int] | None = None) -> bool:
+        committed = self._logged("committed") if committed is None else committed
         stream = batch_id // STREAM
         # a stream commits in order, so its last batch speaks for those before it
         return batch_id in committed or (stream > 0 and any(b >= batch_id for b in committed if b // STREAM == stream))
 
-    def _folds_path(self, path: str) -> str:
-        return self.path("_log", "folds", path.removeprefix(f"{self.base}/").replace("/", "."))
+    def _table(self, path: str) -> str:
+        return path.removeprefix(f"{self.base}/").replace("/", ".")
+
+    def _group(self, path: str) -> str:
+        """Tables whose parts of a day are replaced together."""
+        table = self._table(path)
+        return "rollups" if table == "dictionary" or table.startswith("rollups.") else table
 
-    def _folds(self, path: str) -> dict[dt.date, tuple[int, set[int]]]:
-        """Per day the new part and the parts it stands for, of foldings whose old parts may still lie there."""
+    def _folds_path(self, group: str) -> str:
+        return self.path("_log", "folds", group)
+
+    def _folds(self, group: str) -> dict[dt.date, tuple[int, dict[str, set[int]]]]:
+        """Per day the new number and the parts of each table it stands for, of foldings whose old parts may still lie
+        there."""
         found = {}
-        for day in _child_folders(self.spark, self._folds_path(path)):
-            for new in _child_folders(self.spark, f"{self._folds_path(path)}/{day}"):
-                old = _child_folders(self.spark, f"{self._folds_path(path)}/{day}/{new}")
-                found[dt.date.fromisoformat(day)] = (int(new), {int(name) for name in old})
+        for day in _child_folders(self.spark, self._folds_path(group)):
+            for new in _child_folders(self.spark, f"{self._folds_path(group)}/{day}"):
+                old: dict[str, set[int]] = {}
+                for name in _child_folders(self.spark, f"{self._folds_path(group)}/{day}/{new}"):
+                    table, _, number = name.rpartition(".")
+                    old.setdefault(table, set()).add(int(number))
+                found[dt.date.fromisoformat(day)] = (int(new), old)
         return found
 
     def begin(self, batch_id: int) -> bool:
@@ -182,24 +261,42 @@ class Store:
 
     def rollup(self, rollup: Rollup) -> DataFrame:
         """The merged rollup. Filters on the keys reach the part files; unused distinct counts are not read."""
-        measures, members = self.measures(rollup), self.members(rollup)
-        if rollup.bucket == "hour":
-            # day is no key of this rollup; keep it through the merge so that filters on it prune partitions
-            keyed = _keyed_by_day(rollup)
-            return merge_parts(measures, keyed, members)
-        return merge_parts(measures, rollup, members)
+        frames, parts = self._read_together(self._tables_of(rollup) | {self.dictionary_path: _DICTIONARY_SCHEMA})
+        return self._merged(rollup, frames, parts)
+
+    def _merged(self, rollup: Rollup, frames: dict[str, DataFrame], parts: dict[str, Parts]) -> DataFrame:
+        """The rollup's rows from its parts, in whatever form a day has them."""
+        # day is no key of an hourly rollup; it is kept through the merge so that filters on it prune partitions
+        keyed = _keyed_by_day(rollup)
+        measures, members, closed = (frames[path] for path in self._tables_of(rollup))
+        members_parts, closed_parts = parts[self.members_path(rollup)], parts[self.closed_path(rollup)]
+        folded = sorted(parts[self.dictionary_path])
+        late = [day for day in folded if any(i >= 0 for i in members_parts.get(day, ()))]
+        if not closed_parts:
+            closed = None
+        counts = distinct.distinct_counts(measures, members, frames[self.dictionary_path], keyed, folded, late, closed)
+        additive = [*keyed.group_keys, SESSIONS, *rollup.sums, *rollup.maxima]
+        rows = measures.select(*additive) if closed is None else measures.select(*additive).unionByName(closed.select(*additive))
+        return merge_parts(rows, keyed, counts=counts)
 
     def tables(self, as_of: Column | None = None) -> Tables:
         """All six tables; with ``as_of`` without the rows whose retention has passed at that time."""
         if as_of is None:
             return Tables(self.records(), self.rollup, self.collectors(), self.latest)
         kept = lambda rollup: retained_rollup(self.rollup(rollup), rollup, as_of)
-        return Tables(retained_records(self.records(), as_of), kept)
+        latest = lambda count: retained_records(self.latest(count), as_of)
+        return Tables(retained_records(self.records(), as_of), kept, self.collectors(as_of), latest)
 
-    def collectors(self) -> DataFrame:
-        """The collectors that were ever stored, from a small table each batch adds its own to."""
+    def collectors(self, as_of: Column | None = None) -> DataFrame:
+        """The collectors that were ever stored, from a small table each batch adds its own to. With ``as_of`` those of
+        records kept at that time: only the day in which the retention ends is looked up in the records."""
         columns = T.StructType([T.StructField("collector_id", _STRING), *_PARTITIONS])
-        return self._read(self.path("collectors"), columns).select("collector_id").distinct()
+        rows = self._read(self.path("collectors"), columns)
+        if as_of is None:
+            return rows.select("collector_id").distinct()
+        last_day = F.to_date(as_of - F.make_dt_interval(F.lit(schema.RECORD_RETENTION_DAYS)))
+        rest = retained_records(self.records().filter(F.col("day") == last_day), as_of)
+        return rows.filter(F.col("day") > last_day).select("collector_id").unionByName(rest.select("collector_id")).distinct()
 
     def latest(self, count: int) -> DataFrame:
         """Records of the newest days, as many days as ``count`` records need; older days cannot hold a newer one."""
@@ -262,6 +359,71 @@ class Store:
         rows = lines.select("raw_message", "ingest_ts", "reason", day, F.lit(batch_id).cast("bigint").alias("batch_id"))
         self._write(rows, self.path("quarantine"), ["day", "batch_id"])
 
+    # Closed days
+
+    def closed_days(self) -> list[dt.date]:
+        """Days whose rollups are stored as finished counts."""
+        path = self.closed_path(DAILY)
+        return sorted(self._visible(path, self._parts_of(path), self._look([path])))
+
+    def make_room(self, records: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Reopens the closed days a batch reaches; returns its records, and apart those of days that stay closed."""
+        closed = self.closed_days()
+        if not closed:
+            return records, None
+        day = F.to_date("timestamp")
+        touched = [row.day for row in records.filter(day.isin(closed)).select(day.alias("day")).distinct().collect()]
+        kept = sorted(set(touched) - set(self.reopen(touched)))
+        if not kept:
+            return records, None
+        return records.filter(~day.isin(kept) | day.isNull()), records.filter(day.isin(kept))
+
+    def write_late(self, records: DataFrame, batch_id: int) -> None:
+        """Puts records of days that stay closed aside. They are in no other table."""
+        rows = records.select(*schema.RECORDS.names, F.date_format("timestamp", "yyyyMM").alias("yyyymm"), F.to_date("timestamp").alias("day"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        self._write(rows, self.path("late"), ["day", "batch_id"])
+
+    def late_records(self) -> DataFrame:
+        """Records put aside: they came for a closed day whose own records had gone."""
+        return self._read(self.path("late"), _RECORDS_SCHEMA)
+
+    def close(self, days: dt.date | Iterable[dt.date], keep_replaced: bool = False) -> None:
+        """Stores finished counts of whole days in place of their measures and members.
+
+        Batches may arrive meanwhile; a day that got one behind its closing is reopened.
+        """
+        days = _listed(days)
+        self.settle()
+        self._fold_rollups(days, closed=True, keep_replaced=keep_replaced)
+        self.settle()
+
+    def settle(self) -> None:
+        """Reopens those closed days that have open parts as well: of a batch that began before the day was closed. Until
+        then, or if their records have gone, the members of such a batch all count as new ones."""
+        path, closed = self.measures_path(DAILY), self.closed_days()
+        if closed:
+            self.reopen(self._visible(path, self._parts_of(path, closed), self._look([path])))
+
+    def reopen(self, days: dt.date | Iterable[dt.date]) -> list[dt.date]:
+        """Builds closed days anew from their records, with members; days that no longer have all their records stay
+        closed. Returns the days that are open."""
+        days = sorted(set(_listed(days)) & set(self.closed_days()))
+        whole = [day for day in days if day not in self._without_records(days)] if days else []
+        if whole:
+            self._fold_rollups(whole, from_records=True)
+        return whole
+
+    def _without_records(self, days: list[dt.date]) -> dict[dt.date, tuple[int, int]]:
+        """Days whose rollups count more sessions than there are records: (sessions, records). Both from one state."""
+        tables = {self.records_path: _RECORDS_SCHEMA, self.measures_path(DAILY): _measures_schema(DAILY), self.closed_path(DAILY): _closed_schema(DAILY)}
+        frames, _ = self._read_together(tables)
+        records, measures, closed = (frames[path].filter(F.col("day").isin(days)) for path in tables)
+        held = records.groupBy("day").agg(F.lit(0).cast("bigint").alias("sessions"), F.count(F.lit(1)).alias("records"))
+        for table in (measures, closed):
+            held = held.unionByName(table.groupBy("day").agg(F.sum(SESSIONS).alias("sessions"), F.lit(0).cast("bigint").alias("records")))
+        sums = held.groupBy("day").agg(F.sum("sessions").alias("sessions"), F.sum("records").alias("records"))
+        return {row.day: (row.sessions, row.records) for row in sums.filter("sessions > records").collect()}
+
     # Upkeep
 
     def days(self, path: str) -> list[dt.date]:
@@ -279,12 +441,13 @@ class Store:
     def apply_retention(self, as_of: dt.date) -> dict[str, list[dt.date]]:
         """Drops whole days older than each table's retention; the day exactly at the limit stays.
 
-        Quarantined lines and collectors are kept as long as records.
+        Quarantined lines, collectors and records put aside are kept as long as records, the dictionary as long as any
+        rollup.
         """
-        limits = dict.fromkeys((self.records_path, self.path("collectors"), self.path("quarantine")), schema.RECORD_RETENTION_DAYS)
+        limits = dict.fromkeys((self.records_path, self.path("collectors"), self.path("quarantine"), self.path("late")), schema.RECORD_RETENTION_DAYS)
         for rollup in ROLLUPS.values():
-            limits[self.measures_path(rollup)] = rollup.retention_days
-            limits[self.members_path(rollup)] = rollup.retention_days
+            limits |= dict.fromkeys(self._tables_of(rollup), rollup.retention_days)
+        limits[self.dictionary_path] = max(rollup.retention_days for rollup in ROLLUPS.values())
         dropped = {}
         for path, keep in limits.items():
             oldest = as_of - dt.timedelta(days=keep)
@@ -293,87 +456,190 @@ class Store:
                 _delete(self.spark, f"{path}/day={day.isoformat()}")
         return dropped
 
-    def compact(self, day: dt.date, keep_replaced: bool = False) -> None:
-        """Folds all committed batches of a day into one, range-clustered by subscriber and time.
+    def compact(self, days: dt.date | Iterable[dt.date], keep_replaced: bool = False) -> None:
+        """Folds all committed batches of each day into one: records range-clustered by subscriber and time, rollups with
+        numbered members. Closed days stay closed.
 
-        Batches may arrive meanwhile: a folding takes the batches it has listed and no others. A run that was cut off
-        leaves nothing readers see, or a finished folding whose old parts the next run removes. ``keep_replaced`` leaves
-        them to the next run too, for readers that planned their scan before.
+        Several days are folded by the same jobs. Batches may arrive meanwhile: a folding takes the batches it has listed
+        and no others. A run that was cut off leaves nothing readers see, or a finished folding whose old parts the next
+        run removes. ``keep_replaced`` leaves them to the next run too, for readers that planned their scan before.
         """
-        self._replace(self.records_path, day, ["subscriber_id", "timestamp"], lambda ids: _batches(self.records(), day, ids).repartitionByRange("subscriber_id", "timestamp"), keep_replaced=keep_replaced)
-        for rollup in ROLLUPS.values():
-            keyed = _keyed_by_day(rollup)
-            keys = [key for key in rollup.group_keys if key != "day"]
-            self._replace(
-                self.measures_path(rollup), day, keys,
-                lambda ids, r=rollup, k=keyed: merge_measures(_batches(self.measures(r), day, ids), k).hint("rebalance"),
-                keep_replaced=keep_replaced,
-            )
-            self._replace(
-                self.members_path(rollup), day, keys,
-                lambda ids, r=rollup, k=keyed: merge_members(_batches(self.members(r), day, ids), k).hint("rebalance"),
-                keep_replaced=keep_replaced,
-            )
-
-    def _parts(self, path: str, day: dt.date) -> set[int]:
-        names = _child_folders(self.spark, f"{path}/day={day.isoformat()}")
-        return {int(name.removeprefix("batch_id=")) for name in names}
-
-    def _new_fold(self) -> int:
-        """A number no folding of any table ever had; foldings run one at a time."""
+        days = _listed(days)
+        self._fold_records(days, keep_replaced)
+        self._fold_rollups(days, keep_replaced=keep_replaced)
+
+    def rebuild_rollups(self, days: dt.date | Iterable[dt.date], fewer: bool = False) -> None:
+        """Recomputes the rollups of whole days from their records, for backfills and repairs.
+
+        Records and the parts they replace are of one state of the log: a batch that commits meanwhile is in neither and
+        counts beside them. The old parts count until the new ones are written. A day whose rollups count more sessions
+        than it has records (records are not kept as long as rollups) is refused, and with it the call, unless ``fewer``
+        says that the records are right.
+        """
+        days = _listed(days)
+        gone = {} if fewer else self._without_records(days)
+        if gone:
+            told = ", ".join(f"{day}: {sessions} sessions, {records} records" for day, (sessions, records) in sorted(gone.items()))
+            raise ValueError(f"rollups of days without all their records cannot be rebuilt ({told})")
+        self._fold_rollups(days, from_records=True)
+
+    def _fold_records(self, days: list[dt.date], keep_replaced: bool) -> None:
+        tables = {self.records_path: _RECORDS_SCHEMA}
+        frames, parts = self._prepared(tables, days)
+        work = {day: ids for day, ids in parts[self.records_path].items() if len(ids) > 1 or min(ids) >= 0}
+        if not work:
+            return
+        numbers = self._begin_folds(work)
+        rows = _chosen(frames[self.records_path], work).repartitionByRange("day", "subscriber_id", "timestamp")
+        self._write_folded(rows, self.records_path, numbers, ["subscriber_id", "timestamp"])
+        self._publish(tables, parts, numbers, keep_replaced)
+
+    def _fold_rollups(self, days: list[dt.date], from_records: bool = False, closed: bool = False, keep_replaced: bool = False) -> None:
+        """New parts of whole days for all rollups: folded from the visible parts or from the records, or closed."""
+        tables = self._rollup_tables()
+        frames, parts = self._prepared(tables | ({self.records_path: _RECORDS_SCHEMA} if from_records else {}), days)
+        held = {day for path in tables for day in parts[path]}
+        is_closed = set(parts[self.closed_path(DAILY)])
+        if closed:
+            work = {day for day in held if any(day in parts[path] for path in tables if not path.endswith("/closed"))}
+        elif from_records:
+            work = held | set(parts[self.records_path])
+        else:  # a day with one folded part in each table has nothing to fold
+            open_days = {day for path in tables for day, ids in parts[path].items() if len(ids) > 1 or min(ids) >= 0}
+            work = open_days - is_closed
+        if not work:
+            return
+        numbers = self._begin_folds(work)
+        chosen = {path: _chosen(frame, {day: ids for day, ids in parts[path].items() if day in work}) for path, frame in frames.items()}
+        if closed:
+            jobs = [lambda r=rollup: self._write_closed(r, chosen, parts, numbers) for rollup in ROLLUPS.values()]
+        else:
+            if from_records:
+                records = chosen[self.records_path].drop("day", "batch_id", "yyyymm")
+                for rollup in ROLLUPS.values():
+                    for path, part in ((self.measures_path(rollup), measures_part(records, rollup)), (self.members_path(rollup), members_part(records, rollup))):
+                        chosen[path] = _padded(part.withColumn("day", _day_of(rollup)), tables[path])
+                chosen[self.dictionary_path] = chosen[self.dictionary_path].limit(0)
+            dictionary = self._write_dictionary(chosen, numbers)
+            jobs = [lambda r=rollup: self._write_folded_rollup(r, chosen, dictionary, numbers) for rollup in ROLLUPS.values()]
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(lambda job: job()), jobs))
+        self._publish(tables, parts, numbers, keep_replaced)
+
+    def _write_dictionary(self, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> DataFrame:
+        """Numbers all members of the days; the dictionary as written."""
+        seen = [distinct.seen_members(chosen[self.members_path(r)], r) for r in ROLLUPS.values()]
+        rows = distinct.extended(chosen[self.dictionary_path], reduce(DataFrame.unionByName, seen))
+        self._write_folded(rows.hint("rebalance", "day"), self.dictionary_path, numbers, ["kind", "member"])
+        return _chosen(self.spark.read.schema(_DICTIONARY_SCHEMA).parquet(self.dictionary_path), {day: {new} for day, new in numbers.items()})
+
+    def _write_folded_rollup(self, rollup: Rollup, chosen: dict[str, DataFrame], dictionary: DataFrame, numbers: dict[dt.date, int]) -> None:
+        keyed = _keyed_by_day(rollup)
+        measures, members = chosen[self.measures_path(rollup)], chosen[self.members_path(rollup)]
+        order = [key for key in rollup.group_keys if key != "day"]
+        sparse = distinct.numbers(measures, members, dictionary, keyed).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._write_folded(distinct.folded_members(sparse, members, keyed).hint("rebalance", "day"), self.members_path(rollup), numbers, order)
+            self._write_folded(distinct.folded_measures(measures, sparse, members, keyed).hint("rebalance", "day"), self.measures_path(rollup), numbers, order)
+        finally:
+            sparse.unpersist()
+
+    def _write_closed(self, rollup: Rollup, chosen: dict[str, DataFrame], parts: dict[str, Parts], numbers: dict[dt.date, int]) -> None:
+        own = {path: {day: ids for day, ids in parts[path].items() if day in numbers} for path in parts}
+        rows = self._merged(rollup, chosen, own).select(*[f.name for f in _closed_schema(rollup).fields if f.name != "batch_id"])
+        self._write_folded(rows.hint("rebalance", "day"), self.closed_path(rollup), numbers, [key for key in rollup.group_keys if key != "day"])
+
+    # Foldings
+
+    def _parts_of(self, path: str, days: Iterable[dt.date] | None = None) -> Parts:
+        """The parts of a table that lie there, visible or not."""
+        found = {}
+        for day in self.days(path) if days is None else days:
+            names = _child_folders(self.spark, f"{path}/day={day.isoformat()}")
+            if names:
+                found[day] = {int(name.removeprefix("batch_id=")) for name in names}
+        return found
+
+    def _prepared(self, tables: dict[str, T.StructType], days: list[dt.date]) -> tuple[dict[str, DataFrame], dict[str, Parts]]:
+        """Finishes or removes foldings that were cut off, and reads the tables: their rows and the visible parts of the
+        given days, all of one state of the log."""
+        for group in {self._group(path) for path in tables}:
+            self._clean(group, days)
+        unfinished = self._unfinished()
+        for path in tables:
+            for day, ids in self._parts_of(path, days).items():
+                for part in ids & {i for i in unfinished if i < 0}:
+                    _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={part}")
+        frames, parts = self._read_together(tables)
+        return frames, {path: {day: ids for day, ids in found.items() if day in days} for path, found in parts.items()}
+
+    def _begin_folds(self, days: Iterable[dt.date]) -> dict[dt.date, int]:
+        """A number for each day that no folding ever had; foldings run one at a time."""
         known = self._logged("last_fold")
-        new = min([0, *known]) - 1
-        _make_folder(self.spark, self.path("_log", "last_fold", str(new)))
+        numbers = {day: min([0, *known]) - 1 - k for k, day in enumerate(sorted(days))}
+        _make_folder(self.spark, self.path("_log", "last_fold", str(min(numbers.values()))))
         for number in known:
             _delete(self.spark, self.path("_log", "last_fold", str(number)))
-        return new
-
-    def _clean(self, path: str, day: dt.date) -> None:
-        """Finishes a published folding: removes the parts it stands for, then its entries in the log."""
-        entry = f"{self._folds_path(path)}/{day.isoformat()}"
-        for new in _child_folders(self.spark, entry):
-            for old in _child_folders(self.spark, f"{entry}/{new}"):
-                _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={old}")
-            _delete(self.spark, self.path("_log", "started", new))
-        _delete(self.spark, entry)
-
-    def _replace(self, path: str, day: dt.date, order: list[str], made: Callable[[set[int]], DataFrame], whole: bool = False, keep_replaced: bool = False) -> None:
-        """Puts ``made`` of a day's committed parts in their place. ``whole``: even of a single folded one."""
-        self._clean(path, day)
-        unfinished = self._unfinished()
-        for part in self._parts(path, day) & {i for i in unfinished if i < 0}:
-            _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={part}")  # of a folding that was cut off
-        old = self._parts(path, day) - unfinished
-        if not whole and (not old or (len(old) == 1 and min(old) < 0)):
-            return
-        new = self._new_fold()
-        _make_folder(self.spark, self.path("_log", "started", str(new)))
-        table = made(old).withColumn("day", F.lit(day)).withColumn("batch_id", F.lit(new).cast("bigint"))
-        self._write(table.sortWithinPartitions("day", "batch_id", *order), path, ["day", "batch_id"])
-        pending = self.path("_log", "pending", hashlib.sha256(path.encode()).hexdigest(), day.isoformat())
-        _delete(self.spark, pending)
-        _make_folder(self.spark, f"{pending}/{new}")
-        for part in old:
-            _make_folder(self.spark, f"{pending}/{new}/{part}")
-        _rename(self.spark, pending, f"{self._folds_path(path)}/{day.isoformat()}")
+        for number in numbers.values():
+            _make_folder(self.spark, self.path("_log", "started", str(number)))
+        return numbers
+
+    def _write_folded(self, table: DataFrame, path: str, numbers: dict[dt.date, int], order: list[str]) -> None:
+        number = F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), F.col("day"))
+        rows = table.withColumn("batch_id", number.cast("bigint"))
+        self._write(rows.sortWithinPartitions("day", "batch_id", *order), path, ["day", "batch_id"])
+
+    def _publish(self, tables: Iterable[str], parts: dict[str, Parts], numbers: dict[dt.date, int], keep_replaced: bool) -> None:
+        """Puts the new parts of each day in the place of the old ones of all tables, with one rename a day."""
+        group = self._group(next(iter(tables)))
+        for day, new in numbers.items():
+            pending = self.path("_log", "pending", group, day.isoformat())
+            _delete(self.spark, pending)
+            _make_folder(self.spark, f"{pending}/{new}")
+            for path in tables:
+                for part in parts[path].get(day, ()):
+                    _make_folder(self.spark, f"{pending}/{new}/{self._table(path)}.{part}")
+            _rename(self.spark, pending, f"{self._folds_path(group)}/{day.isoformat()}")
         if not keep_replaced:
-            self._clean(path, day)
+            self._clean(group, numbers)
 
-    def rebuild_rollups(self, days: Iterable[dt.date]) -> None:
-        """Recomputes the rollup parts of whole days from their records, for backfills and repairs.
-
-        The old parts count until the new ones are written.
-        """
+    def _clean(self, group: str, days: Iterable[dt.date]) -> None:
+        """Finishes published foldings: removes the parts they stand for, then their entries in the log."""
         for day in days:
-            records = self.records().filter(F.col("day") == F.lit(day)).drop("day", "batch_id")
-            for rollup in ROLLUPS.values():
-                keys = [key for key in rollup.group_keys if key != "day"]
-                self._replace(self.measures_path(rollup), day, keys, lambda _, r=rollup: measures_part(records, r), whole=True)
-                self._replace(self.members_path(rollup), day, keys, lambda _, r=rollup: members_part(records, r), whole=True)
+            entry = f"{self._folds_path(group)}/{day.isoformat()}"
+            for new in _child_folders(self.spark, entry):
+                for name in _child_folders(self.spark, f"{entry}/{new}"):
+                    table, _, old = name.rpartition(".")
+                    _delete(self.spark, self.path(table.replace(".", "/"), f"day={day.isoformat()}", f"batch_id={old}"))
+                _delete(self.spark, self.path("_log", "started", new))
+            _delete(self.spark, entry)
+
+
+def _listed(days: dt.date | Iterable[dt.date]) -> list[dt.date]:
+    return [days] if isinstance(days, dt.date) else sorted(set(days))
+
+
+def _parts_in(table: DataFrame | None) -> Parts:
+    """The parts whose files a table that was just listed reads."""
+    found: Parts = {}
+    for file in table.inputFiles() if table is not None else ():
+        steps = file.split("/")
+        found.setdefault(steps[-3].removeprefix("day="), set()).add(int(steps[-2].removeprefix("batch_id=")))
+    return {dt.date.fromisoformat(day): ids for day, ids in found.items() if day != "__HIVE_DEFAULT_PARTITION__"}
+
+
+def _chosen(table: DataFrame, parts: Parts) -> DataFrame:
+    """The rows of some parts; days that have the same parts share a condition."""
+    days_of: dict[tuple[int, ...], list[dt.date]] = {}
+    for day, ids in parts.items():
+        days_of.setdefault(tuple(sorted(ids)), []).append(day)
+    wanted = [F.col("day").isin(days) & F.col("batch_id").isin(list(ids)) for ids, days in days_of.items()]
+    return table.filter(reduce(Column.__or__, wanted)) if wanted else table.limit(0)
 
 
-def _batches(table: DataFrame, day: dt.date, ids: set[int]) -> DataFrame:
-    return table.filter((F.col("day") == F.lit(day)) & F.col("batch_id").isin(sorted(ids)))
+def _padded(table: DataFrame, columns: T.StructType) -> DataFrame:
+    """The table with NULL in the columns it doesn't have."""
+    return table.select(*[F.col(f.name) if f.name in table.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in columns.fields])
 
 
 def _keyed_by_day(rollup: Rollup) -> Rollup:

@@ -25,11 +25,14 @@ def write_batch(
     dealt = lines.repartition(min_partitions) if min_partitions else lines
     parsed = parse_lines(dealt, status_mode, strip_header).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        records = records_in(parsed)
+        records, late = store.make_room(records_in(parsed))
         store.write_records(records, batch_id)
         store.write_rollup_parts(records, batch_id)
+        if late is not None:
+            store.write_late(late, batch_id)
         store.write_quarantine(quarantine_in(parsed), batch_id)
         store.commit(batch_id)
+        store.settle()  # for days that were closed while the batch was written
     finally:
         parsed.unpersist()
 
