@@ -33,7 +33,11 @@ def unsigned_or_zero(text: Column, largest: int) -> Column:
 
 
 def counter(text: Column) -> Column:
-    """BIGINT value of an unsigned 64-bit counter: NULL where it is valid but beyond 2^63 - 1, 0 where it is no counter."""
-    large = text.rlike(r"^\d{19,20}$") & (text.try_cast("decimal(20,0)") <= F.lit(str(2**64 - 1)).cast("decimal(20,0)"))
-    unknown = F.coalesce(text.try_cast("bigint").isNull() & large, F.lit(False))
-    return F.when(~unknown, unsigned_or_zero(text, 2**63 - 1))
+    """BIGINT value of an unsigned 64-bit counter: NULL where it is valid but beyond 2^63 - 1, 0 where it is no counter.
+
+    Only a text of at least 19 characters can be beyond, so all others are cast once and not looked at again.
+    """
+    zero = F.lit(0).cast("bigint")
+    unsigned = text.rlike(r"^\d{19,20}$") & (text.try_cast("decimal(20,0)") <= F.lit(str(2**64 - 1)).cast("decimal(20,0)"))
+    beyond = (F.length(text) >= 19) & text.try_cast("bigint").isNull() & unsigned
+    return F.when(beyond, F.lit(None).cast("bigint")).otherwise(F.greatest(F.coalesce(text.try_cast("bigint"), zero), zero))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowledger.functions.numeric import gib, mib, peak, safe_div, total, try_total
-from flowledger.functions.timestamps import Clock, bucket, hour_text, since, within
+from flowledger.functions.timestamps import Clock, bucket, hour_text, since
 from flowledger.plans.tables import Tables
 
 Report = Callable[[Tables, Clock], DataFrame]
@@ -39,8 +39,8 @@ def _top(table: DataFrame, measure: str, keys: list[str], count: int) -> DataFra
     return table.orderBy(F.desc(measure), *keys).limit(count)
 
 
-def _in_range(tables: Tables, clock: Clock) -> DataFrame:
-    return within(tables.records, "timestamp", clock.range_start, clock.range_end)
+def _in_range(tables: Tables, clock: Clock, coarsest: str) -> DataFrame:
+    return tables.traffic(clock.range_start, clock.range_end, coarsest)
 
 
 def _records_today(tables: Tables, clock: Clock) -> DataFrame:
@@ -61,13 +61,13 @@ def _last_days(table: DataFrame, clock: Clock, days: int) -> DataFrame:
 
 @report("Q01_logs_per_second")
 def logs_per_second(tables: Tables, clock: Clock) -> DataFrame:
-    per_second = _in_range(tables, clock).groupBy(bucket("timestamp", "second").alias("t"))
-    return per_second.agg(F.count(F.lit(1)).alias("c")).orderBy("t")
+    per_second = _in_range(tables, clock, "second").groupBy(bucket("t", "second").alias("t"))
+    return per_second.agg(F.sum("session_count").alias("c")).orderBy("t")
 
 
 @report("Q02_bytes_per_second")
 def bytes_per_second(tables: Tables, clock: Clock) -> DataFrame:
-    per_second = _in_range(tables, clock).groupBy(bucket("timestamp", "second").alias("t"))
+    per_second = _in_range(tables, clock, "second").groupBy(bucket("t", "second").alias("t"))
     return per_second.agg(_sum("bytes_total", "bytes")).orderBy("t")
 
 
@@ -377,7 +377,7 @@ def sessions_per_second(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q41_throughput_per_minute")
 def throughput_per_minute(tables: Tables, clock: Clock) -> DataFrame:
-    per_minute = _in_range(tables, clock).groupBy(bucket("timestamp", "minute").alias("t"))
+    per_minute = _in_range(tables, clock, "minute").groupBy(bucket("t", "minute").alias("t"))
     return per_minute.agg(_sum("bytes_in", "downstream"), _sum("bytes_out", "upstream")).orderBy("t")
 
 
@@ -409,13 +409,13 @@ def daily_traffic_trend(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q46_sessions_in_range")
 def sessions_in_range(tables: Tables, clock: Clock) -> DataFrame:
-    return _in_range(tables, clock).agg(F.count(F.lit(1)).alias("sessions"))
+    return _in_range(tables, clock, "hour").agg(total("session_count").alias("sessions"))
 
 
 @report("Q47_avg_bytes_per_session")
 def average_bytes_per_session(tables: Tables, clock: Clock) -> DataFrame:
-    share = safe_div(try_total("bytes_total"), F.count(F.lit(1)))
-    return _in_range(tables, clock).agg(share.alias("avg_bytes"))
+    share = safe_div(try_total("bytes_total"), F.sum("session_count"))
+    return _in_range(tables, clock, "hour").agg(share.alias("avg_bytes"))
 
 
 @report("Q48_peak_bandwidth_5m")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
+from flowledger.functions.timestamps import within
 from flowledger.operators.rollups import ROLLUPS, Rollup, build
+from flowledger.operators.series import as_series
 
 
 class Tables:
@@ -18,11 +20,11 @@ class Tables:
 
     def __init__(
         self, records: DataFrame, rollup_of: Callable[[Rollup], DataFrame], collectors: DataFrame | None = None,
-        latest: Callable[[int], DataFrame] | None = None,
+        latest: Callable[[int], DataFrame] | None = None, traffic: Callable[[Column, Column, str], DataFrame] | None = None,
     ):
         self.records = records
         self._rollup_of = rollup_of
-        self._collectors, self._latest = collectors, latest
+        self._collectors, self._latest, self._traffic = collectors, latest, traffic
 
     @classmethod
     def from_records(cls, records: DataFrame) -> Tables:
@@ -37,6 +39,13 @@ class Tables:
         """Records among which are the ``count`` newest ones."""
         return self.records if self._latest is None else self._latest(count)
 
+    def traffic(self, start: Column, end: Column, coarsest: str) -> DataFrame:
+        """Sessions and bytes of ``start <= time <= end`` in buckets (``t``) no longer than ``coarsest``: from the store's
+        own series where there are some, else one row for each record."""
+        if self._traffic is None:
+            return as_series(within(self.records, "timestamp", start, end))
+        return self._traffic(start, end, coarsest)
+
     def rollup(self, name: str) -> DataFrame:
         return self._rollup_of(ROLLUPS[name])
 

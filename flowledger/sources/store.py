@@ -5,6 +5,7 @@ Layout below one base folder:
     records/day=…/batch_id=…                      session records, sorted by subscriber and time
     rollups/<name>/measures/day=…/batch_id=…      additive measures; of folded days with lists of numbered members
     rollups/<name>/members/day=…/batch_id=…       distinct members: text rows of batches, bitmaps of folded days
+    rollups/per_<unit>/series/day=…/batch_id=…    traffic per second, minute and hour
     rollups/<name>/closed/day=…/batch_id=…        finished rows of closed days, distinct counts as numbers
     dictionary/day=…/batch_id=…                   numbers of the members of folded days, shared by all rollups
     collectors/day=…/batch_id=…                   collector ids of each batch
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
-from flowledger.operators import distinct
+from flowledger.operators import distinct, series
 from flowledger.operators.retention import retained_records, retained_rollup
 from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, Rollup, measures_part, members_part, merge_parts
 from flowledger.plans.tables import Tables
@@ -78,6 +79,7 @@ def _closed_schema(rollup: Rollup) -> T.StructType:
     return _with_partitions(_key_fields(rollup) + _additive_fields(rollup) + [T.StructField(name, _BIGINT) for name in rollup.uniques])
 
 
+_SERIES_SCHEMA = T.StructType([T.StructField("t", T.TimestampType()), *[T.StructField(name, _BIGINT) for name in (SESSIONS, *series.SUMS)], *_PARTITIONS])
 _DICTIONARY_SCHEMA = T.StructType([T.StructField("kind", _STRING), T.StructField("member", _STRING), T.StructField("number", _BIGINT), *_PARTITIONS])
 _RECORDS_SCHEMA = _with_partitions([*schema.RECORDS.fields, T.StructField("yyyymm", _STRING)])
 
@@ -121,9 +123,12 @@ class Store:
     def dictionary_path(self) -> str:
         return self.path("dictionary")
 
+    def series_path(self, unit: str) -> str:
+        return self.path("rollups", f"per_{unit}", "series")
+
     def _rollup_tables(self) -> dict[str, T.StructType]:
         """Paths and columns of all tables a day's rollups consist of."""
-        tables = {self.dictionary_path: _DICTIONARY_SCHEMA}
+        tables = {self.dictionary_path: _DICTIONARY_SCHEMA} | dict.fromkeys(map(self.series_path, series.UNITS), _SERIES_SCHEMA)
         for rollup in ROLLUPS.values():
             tables |= self._tables_of(rollup)
         return tables
@@ -279,13 +284,25 @@ class Store:
         rows = measures.select(*additive) if closed is None else measures.select(*additive).unionByName(closed.select(*additive))
         return merge_parts(rows, keyed, counts=counts)
 
+    def series(self, unit: str) -> DataFrame:
+        """Traffic per second, minute or hour: (t, day, session_count, bytes_in, bytes_out, bytes_total)."""
+        return series.added_up(self._read(self.series_path(unit), _SERIES_SCHEMA), unit)
+
+    def traffic(self, start: Column, end: Column, coarsest: str = "hour") -> DataFrame:
+        """The fewest rows of the series that cover a range, from one state of the log."""
+        paths = {self.series_path(unit): _SERIES_SCHEMA for unit in series.UNITS}
+        frames, _ = self._read_together(paths)
+        return series.covering(lambda unit: frames[self.series_path(unit)].drop("batch_id"), start, end, coarsest)
+
     def tables(self, as_of: Column | None = None) -> Tables:
         """All six tables; with ``as_of`` without the rows whose retention has passed at that time."""
         if as_of is None:
-            return Tables(self.records(), self.rollup, self.collectors(), self.latest)
+            return Tables(self.records(), self.rollup, self.collectors(), self.latest, self.traffic)
         kept = lambda rollup: retained_rollup(self.rollup(rollup), rollup, as_of)
         latest = lambda count: retained_records(self.latest(count), as_of)
-        return Tables(retained_records(self.records(), as_of), kept, self.collectors(as_of), latest)
+        oldest = F.date_trunc("second", as_of - F.make_dt_interval(F.lit(series.RETENTION_DAYS))) + F.expr("INTERVAL 1 SECOND")
+        traffic = lambda start, end, coarsest: self.traffic(F.greatest(start, oldest), end, coarsest)
+        return Tables(retained_records(self.records(), as_of), kept, self.collectors(as_of), latest, traffic)
 
     def collectors(self, as_of: Column | None = None) -> DataFrame:
         """The collectors that were ever stored, from a small table each batch adds its own to. With ``as_of`` those of
@@ -341,18 +358,27 @@ class Store:
         self._write(balanced, path, ["day", "batch_id"])
 
     def write_rollup_parts(self, records: DataFrame, batch_id: int) -> None:
-        """Adds the batch's share to all five rollups; the work grows with the batch, not with the stored day.
+        """Adds the batch's share to all five rollups and the series; the work grows with the batch, not with the stored
+        day.
 
-        The ten parts are independent jobs over the same rows and run side by side, so none waits for the last tasks
+        The parts are independent jobs over the same rows and run side by side, so none waits for the last tasks
         of another.
         """
         jobs = []
         for rollup in ROLLUPS.values():
             jobs.append((measures_part(records, rollup), rollup, self.measures_path(rollup), batch_id))
             jobs.append((members_part(records, rollup), rollup, self.members_path(rollup), batch_id))
+        jobs = [lambda job=job: self._write_part(*job) for job in jobs]
+        jobs += [lambda unit=unit, part=part: self._write_series(part, unit, batch_id) for unit, part in series.all_series(records).items()]
+        self._side_by_side(jobs)
+
+    def _write_series(self, part: DataFrame, unit: str, batch_id: int) -> None:
+        rows = part.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", "day")
+        self._write(rows.sortWithinPartitions("day", "batch_id", "t"), self.series_path(unit), ["day", "batch_id"])
+
+    def _side_by_side(self, jobs: list[Callable[[], None]]) -> None:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            write = inheritable_thread_target(self.spark)(lambda job: self._write_part(*job))
-            list(pool.map(write, jobs))
+            list(pool.map(inheritable_thread_target(self.spark)(lambda job: job()), jobs))
 
     def write_quarantine(self, lines: DataFrame, batch_id: int) -> None:
         day = F.to_date("ingest_ts").alias("day")
@@ -447,6 +473,7 @@ class Store:
         limits = dict.fromkeys((self.records_path, self.path("collectors"), self.path("quarantine"), self.path("late")), schema.RECORD_RETENTION_DAYS)
         for rollup in ROLLUPS.values():
             limits |= dict.fromkeys(self._tables_of(rollup), rollup.retention_days)
+        limits |= dict.fromkeys(map(self.series_path, series.UNITS), series.RETENTION_DAYS)
         limits[self.dictionary_path] = max(rollup.retention_days for rollup in ROLLUPS.values())
         dropped = {}
         for path, keep in limits.items():
@@ -501,7 +528,7 @@ class Store:
         held = {day for path in tables for day in parts[path]}
         is_closed = set(parts[self.closed_path(DAILY)])
         if closed:
-            work = {day for day in held if any(day in parts[path] for path in tables if not path.endswith("/closed"))}
+            work = {day for day in held if any(day in parts[path] for path in tables if not path.endswith(("/closed", "/series")))}
         elif from_records:
             work = held | set(parts[self.records_path])
         else:  # a day with one folded part in each table has nothing to fold
@@ -522,8 +549,9 @@ class Store:
                 chosen[self.dictionary_path] = chosen[self.dictionary_path].limit(0)
             dictionary = self._write_dictionary(chosen, numbers)
             jobs = [lambda r=rollup: self._write_folded_rollup(r, chosen, dictionary, numbers) for rollup in ROLLUPS.values()]
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(lambda job: job()), jobs))
+        made = series.all_series(records) if from_records else {unit: series.added_up(chosen[self.series_path(unit)], unit) for unit in series.UNITS}
+        jobs += [lambda unit=unit, rows=rows: self._write_folded(rows.hint("rebalance", "day"), self.series_path(unit), numbers, ["t"]) for unit, rows in made.items()]
+        self._side_by_side(jobs)
         self._publish(tables, parts, numbers, keep_replaced)
 
     def _write_dictionary(self, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> DataFrame:
