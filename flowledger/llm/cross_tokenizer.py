@@ -25,6 +25,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -121,9 +122,11 @@ class Aligner:
     def _tokens_a(self, lines: list[str], at: np.ndarray, starts: np.ndarray) -> Tokens:
         """``at``: byte offset of each character of all lines; ``starts``: first character of each line."""
         coded = self.a.encode_batch([" " + line for line in lines], add_special_tokens=False)
-        counts = np.array([len(c.ids) for c in coded])
-        ids = np.array([i for c in coded for i in c.ids], np.int64)
-        spans = np.array([span for c in coded for span in c.offsets], np.int64).reshape(-1, 2) + np.repeat(starts, counts)[:, None]
+        spans = [c.offsets for c in coded]
+        counts = np.array([len(s) for s in spans])
+        ids = np.fromiter(chain.from_iterable(c.ids for c in coded), np.int64, int(counts.sum()))
+        flat = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(ids))
+        spans = flat.reshape(-1, 2) + np.repeat(starts, counts)[:, None]
         following = np.r_[spans[1:, 0], spans[-1:, 1]]
         coarse = following >= spans[:, 1]  # else the next token begins inside the same character
         return Tokens(ids, _refined(at[spans[:, 1]], coarse, self.a_sizes[ids], at[starts], counts), counts)
@@ -133,7 +136,7 @@ class Aligner:
         coded = self.b.encode(lines, return_type="proto", num_threads=1)
         rows = [[(p.id, p.begin, p.end) for p in c.pieces] for c in coded]
         counts = np.array([len(row) for row in rows])
-        flat = np.array([piece for row in rows for piece in row], np.int64).reshape(-1, 3)
+        flat = np.fromiter(chain.from_iterable(chain.from_iterable(rows)), np.int64, 3 * int(counts.sum())).reshape(-1, 3)
         ids, begin, end = flat[:, 0], flat[:, 1], flat[:, 2]
         last = np.zeros(len(ids), bool)
         last[np.cumsum(counts)[counts > 0] - 1] = True
@@ -173,11 +176,13 @@ class Aligner:
             return [line for line, fits in zip(lines, same) if not fits] + (self._learn(whole) if whole else [])
         words = [word for line in lines for word in line]
         word_ends = np.cumsum([len(word.encode()) + 1 for word in words])
-        cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
-        if not np.isin(word_ends, cuts, assume_unique=True).all():
+        both = np.sort(np.concatenate([a.ends, b.ends]), kind="stable")
+        again = np.r_[False, both[1:] == both[:-1]]
+        cuts = both[again]
+        if not (cuts[np.minimum(np.searchsorted(cuts, word_ends), len(cuts) - 1)] == word_ends).all():
             raise ValueError("a token reaches over the blank between two words")
         # between two neighbouring ends lies the overlap of just one A and one B token
-        starts = np.r_[0, np.union1d(a.ends, b.ends)[:-1]]
+        starts = np.r_[0, both[~again][:-1]]
         links = a.ids[np.searchsorted(a.ends, starts, "right")] << 32 | b.ids[np.searchsorted(b.ends, starts, "right")]
         edges = [np.searchsorted(points, word_ends, "right") for points in (a.ends, b.ends, cuts)]
         edges.append(np.searchsorted(starts, word_ends, "left"))
@@ -185,7 +190,10 @@ class Aligner:
         a_names = list(map(self.names.__getitem__, a.ids.tolist()))
         b_names = list(map(self.names.__getitem__, b.ids.tolist()))
         a_cut, b_cut = np.searchsorted(a.ends, cuts, "right").tolist(), np.searchsorted(b.ends, cuts, "right").tolist()
-        groups = [f"{','.join(a_names[i:j])}|{','.join(b_names[k:m])}" for i, j, k, m in zip([0] + a_cut, a_cut, [0] + b_cut, b_cut)]
+        groups = [
+            f"{a_names[i]}|{b_names[k]}" if j - i == 1 == m - k else f"{','.join(a_names[i:j])}|{','.join(b_names[k:m])}"
+            for i, j, k, m in zip([0] + a_cut, a_cut, [0] + b_cut, b_cut)
+        ]
         ends = edges[2].tolist()
         self._add(words, np.ones(len(words), bool), sizes, links, [";".join(groups[i:j]) for i, j in zip([0] + ends, ends)])
         return []
@@ -202,11 +210,11 @@ class Aligner:
         """The numbers of all words, text after text, and how many words each text has. Empty texts have none."""
         split = [words_of(text) if text else [] for text in texts]
         numbers = self.known.numbers
-        new = {word for words in split for word in words if word not in numbers}
+        new = set(chain.from_iterable(split)).difference(numbers)
         if new:
             self.learn(list(new))
         counts = np.array([len(words) for words in split], np.int64)
-        return np.array([numbers[word] for words in split for word in words], np.int64), counts
+        return np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum())), counts
 
     def full(self) -> bool:
         return len(self.known.groups) > KEPT_WORDS
@@ -230,7 +238,7 @@ def _refined(ends: np.ndarray, coarse: np.ndarray, sizes: np.ndarray, starts: np
     return np.where(coarse, ends, total + anchor[np.maximum.accumulate(known)])
 
 
-def _bounded(lines: list[list[str]], chars: int = 2_000_000) -> Iterator[list[list[str]]]:
+def _bounded(lines: list[list[str]], chars: int = 200_000) -> Iterator[list[list[str]]]:
     part, size = [], 0
     for line in lines:
         part.append(line)

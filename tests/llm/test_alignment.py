@@ -94,7 +94,7 @@ def test_op11_whole_table(spark, sf_dir, texts, libraries):
     assert rows_of(QUERIES["op11_cross_tokenizer"](spark, sf_dir)) == sorted(expected(texts.items(), libraries), key=repr)
 
 
-@pytest.mark.parametrize("most", [cross.PAIRS_SENT, 20])
+@pytest.mark.parametrize("most", [cross.PAIRS_SENT, 150])
 def test_odd_texts(spark, odd_docs, libraries, most):
     """With few pairs sent at a time, the sums come from many rounds."""
     rows = [(row[0], row[1]) for row in ROWS if row[1] is None or len(row[1]) < 10_000] + [(100 + i, text) for i, text in enumerate(ODD)]
