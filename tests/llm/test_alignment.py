@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -46,9 +47,9 @@ def plain(text, libraries):
             start += len(table[i])
         spans.append(found)
     cuts = sorted({end for _, end, _ in spans[0]} & {end for _, end, _ in spans[1]})
-    groups, before = [], 0
+    groups, before, ends = [], 0, [[end for _, end, _ in side] for side in spans]
     for cut in cuts:
-        groups.append(tuple([i for _, end, i in side if before < end <= cut] for side in spans))
+        groups.append(tuple([i for _, _, i in side[bisect_right(e, before) : bisect_right(e, cut)]] for side, e in zip(spans, ends)))
         before = cut
     links = [(x, y) for s, e, x in spans[0] for t, f, y in spans[1] if s < f and t < e] if len(text) < 3000 else None
     if links is None:
