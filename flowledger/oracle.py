@@ -320,6 +320,7 @@ def all_sql() -> dict[str, str]:
         sql[name] = select_sql(table, select)
     return {
         **sql,
+        "G3_stored_new_and_returning_7d": sql["G3_new_and_returning_7d"],
         "W3_closed_days": with_records(ROLLUP_SQL["daily_aggregation"]),
         "W3_rebuilt_rollup": with_records(ROLLUP_SQL["hourly_traffic"]),
         "S2_split_lines": SPLIT_SELECT,

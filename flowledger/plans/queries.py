@@ -127,6 +127,9 @@ STORED_QUERIES: dict[str, Query] = {
     "A2_large_counters": _of_events(stored_queries.large_counters),
     **{f"W5_retained_{name}": _retained_rollup(rollup) for name, rollup in ROLLUPS.items()},
     **{f"stored_{name}": _stored_report(name) for name in REPORTS},
+    "G3_stored_new_and_returning_7d": _stored(
+        lambda spark, sf_dir: views.new_and_returning(stored_queries.streamed_store(spark, sf_dir).tables(), CLOCK)
+    ),
     "X15_records_per_month": _stored(stored_queries.records_per_month),
     "E3_adhoc_sql": _of_tables(lambda tables, clock: stored_queries.adhoc_sql(tables)),
 }

@@ -21,10 +21,11 @@ class Tables:
     def __init__(
         self, records: DataFrame, rollup_of: Callable[[Rollup], DataFrame], collectors: DataFrame | None = None,
         latest: Callable[[int], DataFrame] | None = None, traffic: Callable[[Column, Column, str], DataFrame] | None = None,
+        newcomers: Callable[[Column], DataFrame | None] | None = None,
     ):
         self.records = records
         self._rollup_of = rollup_of
-        self._collectors, self._latest, self._traffic = collectors, latest, traffic
+        self._collectors, self._latest, self._traffic, self._newcomers = collectors, latest, traffic, newcomers
 
     @classmethod
     def from_records(cls, records: DataFrame) -> Tables:
@@ -46,6 +47,10 @@ class Tables:
             return as_series(within(self.records, "timestamp", start, end))
         return self._traffic(start, end, coarsest)
 
+    def newcomers(self, since: Column) -> DataFrame | None:
+        """(day, new_subscribers) from a day on, where the store keeps the first days of subscribers."""
+        return None if self._newcomers is None else self._newcomers(since)
+
     def rollup(self, name: str) -> DataFrame:
         return self._rollup_of(ROLLUPS[name])
 

@@ -42,15 +42,23 @@ def usage_histogram(tables: Tables, clock: Clock, width: int = 1_048_576) -> Dat
 def new_and_returning(tables: Tables, clock: Clock, days: int = 7) -> DataFrame:
     """Per day, subscribers seen for the first time in the kept data and those seen before.
 
-    The rollup is first reduced to one row per subscriber and day, so a window never holds more rows than there are
-    kept days, however busy the subscriber.
+    Where a store keeps first days, both are counted from the last days alone; then first means of all lines ever stored,
+    expired or not. Else the rollup is reduced to one row per subscriber and day, so a window never holds more rows than
+    there are kept days, however busy the subscriber.
     """
+    since = clock.days_ago(days)
+    new = tables.newcomers(since)
+    if new is not None:
+        seen = tables.subscribers.filter(F.col("day") >= since).groupBy("day").agg(F.count_distinct("subscriber_id").alias("seen"))
+        newly = F.coalesce(F.col("new_subscribers"), F.lit(0).cast("bigint"))
+        counted = seen.join(new, "day", "left").select("day", newly.alias("new_subscribers"), (F.col("seen") - newly).alias("returning_subscribers"))
+        return counted.orderBy("day")
     seen = tables.subscribers.select("day", "subscriber_id").distinct()
     first_day = F.min("day").over(Window.partitionBy("subscriber_id"))
     is_new = F.col("day") == F.col("first_day")
     return (
         seen.withColumn("first_day", first_day)
-        .filter(F.col("day") >= clock.days_ago(days))
+        .filter(F.col("day") >= since)
         .groupBy("day")
         .agg(F.count_if(is_new).alias("new_subscribers"), F.count_if(~is_new).alias("returning_subscribers"))
         .orderBy("day")

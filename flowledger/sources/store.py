@@ -9,6 +9,7 @@ Layout below one base folder:
     rollups/<name>/closed/day=…/batch_id=…        finished rows of closed days, distinct counts as numbers
     dictionary/day=…/batch_id=…                   numbers of the members of folded days, shared by all rollups
     collectors/day=…/batch_id=…                   collector ids of each batch
+    first_seen/day=…/batch_id=…                   first days of subscribers, as changes that add up; never expires
     quarantine/day=…/batch_id=…                   by day of arrival
     late/day=…/batch_id=…                         records that came for a closed day whose own records have gone
 
@@ -21,7 +22,8 @@ Layout below one base folder:
 A batch only ever replaces its own ``batch_id`` partitions, and once committed it is never written again, so neither a
 retry nor a replay changes anything, compacted or not. Readers leave out batches that are not committed and parts that
 a folding stands for: a folding becomes visible with the one rename that puts its entry into the log. Records are one
-group of tables, all rollups with the dictionary another: a day's rollups change their form together.
+group of tables, all rollups with the dictionary another: a day's rollups change their form together. First days are a
+group of their own.
 
 A day's rollups are open (rows of batches), folded (numbered members) or closed (finished counts, no members). A batch
 that reaches a closed day reopens it from its records; if these have gone, its lines for that day are put aside.
@@ -41,9 +43,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
-from flowledger.operators import distinct, series
+from flowledger.operators import distinct, newcomers, series
 from flowledger.operators.retention import retained_records, retained_rollup
-from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, Rollup, measures_part, members_part, merge_parts
+from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, SUBSCRIBERS, Rollup, measures_part, members_part, merge_parts
 from flowledger.plans.tables import Tables
 
 _PARTITIONS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
@@ -81,6 +83,7 @@ def _closed_schema(rollup: Rollup) -> T.StructType:
 
 _SERIES_SCHEMA = T.StructType([T.StructField("t", T.TimestampType()), *[T.StructField(name, _BIGINT) for name in (SESSIONS, *series.SUMS)], *_PARTITIONS])
 _DICTIONARY_SCHEMA = T.StructType([T.StructField("kind", _STRING), T.StructField("member", _STRING), T.StructField("number", _BIGINT), *_PARTITIONS])
+_FIRST_SEEN_SCHEMA = T.StructType([T.StructField("subscriber_id", _STRING), T.StructField("change", _BIGINT), *_PARTITIONS])
 _RECORDS_SCHEMA = _with_partitions([*schema.RECORDS.fields, T.StructField("yyyymm", _STRING)])
 
 
@@ -123,6 +126,10 @@ class Store:
     def dictionary_path(self) -> str:
         return self.path("dictionary")
 
+    @property
+    def first_seen_path(self) -> str:
+        return self.path("first_seen")
+
     def series_path(self, unit: str) -> str:
         return self.path("rollups", f"per_{unit}", "series")
 
@@ -297,13 +304,21 @@ class Store:
     def tables(self, as_of: Column | None = None) -> Tables:
         """All six tables; with ``as_of`` without the rows whose retention has passed at that time."""
         if as_of is None:
-            return Tables(self.records(), self.rollup, self.collectors(), self.latest, self.traffic)
+            return Tables(self.records(), self.rollup, self.collectors(), self.latest, self.traffic, self.newcomers)
         kept = lambda rollup: retained_rollup(self.rollup(rollup), rollup, as_of)
         latest = lambda count: retained_records(self.latest(count), as_of)
         oldest = F.date_trunc("second", as_of - F.make_dt_interval(F.lit(series.RETENTION_DAYS))) + F.expr("INTERVAL 1 SECOND")
         traffic = lambda start, end, coarsest: self.traffic(F.greatest(start, oldest), end, coarsest)
         return Tables(retained_records(self.records(), as_of), kept, self.collectors(as_of), latest, traffic)
 
+    def newcomers(self, since: Column) -> DataFrame | None:
+        """(day, new_subscribers) from a day on: subscribers whose first line of all ever stored is of that day, read from
+        these days only. None in a store that has no first days yet: its next batch adds them for all days."""
+        frames, parts = self._read_together({self.first_seen_path: _FIRST_SEEN_SCHEMA})
+        if not parts[self.first_seen_path]:
+            return None
+        return newcomers.per_day(frames[self.first_seen_path].filter(F.col("day") >= since))
+
     def collectors(self, as_of: Column | None = None) -> DataFrame:
         """The collectors that were ever stored, from a small table each batch adds its own to. With ``as_of`` those of
         records kept at that time: only the day in which the retention ends is looked up in the records."""
@@ -380,6 +395,27 @@ class Store:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(lambda job: job()), jobs))
 
+    def write_first_seen(self, records: DataFrame, batch_id: int) -> None:
+        """Adds what the batch changes about first days; the first batch of a store without them brings all days up.
+
+        What is written depends on the state, so parts of a broken attempt go first, and if another batch commits
+        meanwhile, the changes are made again. Should two commit in the very same moment, a subscriber new in both counts
+        twice until the next line about them, or until :meth:`rebuild_first_seen`.
+        """
+        path, own = self.first_seen_path, f"batch_id={batch_id}"
+        batch = records.select("subscriber_id", F.to_date("timestamp").alias("day"))
+        while True:
+            for day in self.days(path):
+                _delete(self.spark, f"{path}/day={day.isoformat()}/{own}")
+            before = self._look([path])
+            frames, parts = self._read_together({path: _FIRST_SEEN_SCHEMA})
+            seen = batch if parts[path] else batch.unionByName(self.rollup(SUBSCRIBERS).select("subscriber_id", "day"))
+            rows = newcomers.changes(seen, frames[path]).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            self._write(rows.hint("rebalance", "day"), path, ["day", "batch_id"])
+            after = self._look([path])
+            if (before.committed, before.folds) == (after.committed, after.folds):
+                return
+
     def write_quarantine(self, lines: DataFrame, batch_id: int) -> None:
         day = F.to_date("ingest_ts").alias("day")
         rows = lines.select("raw_message", "ingest_ts", "reason", day, F.lit(batch_id).cast("bigint").alias("batch_id"))
@@ -494,6 +530,7 @@ class Store:
         days = _listed(days)
         self._fold_records(days, keep_replaced)
         self._fold_rollups(days, keep_replaced=keep_replaced)
+        self._fold_first_seen(days, keep_replaced)
 
     def rebuild_rollups(self, days: dt.date | Iterable[dt.date], fewer: bool = False) -> None:
         """Recomputes the rollups of whole days from their records, for backfills and repairs.
@@ -501,7 +538,8 @@ class Store:
         Records and the parts they replace are of one state of the log: a batch that commits meanwhile is in neither and
         counts beside them. The old parts count until the new ones are written. A day whose rollups count more sessions
         than it has records (records are not kept as long as rollups) is refused, and with it the call, unless ``fewer``
-        says that the records are right.
+        says that the records are right; first days are then those of lines that have gone as well, until
+        :meth:`rebuild_first_seen`.
         """
         days = _listed(days)
         gone = {} if fewer else self._without_records(days)
@@ -521,6 +559,30 @@ class Store:
         self._write_folded(rows, self.records_path, numbers, ["subscriber_id", "timestamp"])
         self._publish(tables, parts, numbers, keep_replaced)
 
+    def _fold_first_seen(self, days: list[dt.date], keep_replaced: bool) -> None:
+        tables = {self.first_seen_path: _FIRST_SEEN_SCHEMA}
+        frames, parts = self._prepared(tables, days)
+        work = {day: ids for day, ids in parts[self.first_seen_path].items() if len(ids) > 1 or min(ids) >= 0}
+        if not work:
+            return
+        numbers = self._begin_folds(work)
+        rows = newcomers.added_up(_chosen(frames[self.first_seen_path], work)).hint("rebalance", "day")
+        self._write_folded(rows, self.first_seen_path, numbers, ["subscriber_id"])
+        self._publish(tables, parts, numbers, keep_replaced)
+
+    def rebuild_first_seen(self) -> None:
+        """Makes the first days anew, as the subscriber rollup kept now has them. Days change one after the other; no batch
+        may be written meanwhile."""
+        path, firsts = self.first_seen_path, self.rollup(SUBSCRIBERS).groupBy("subscriber_id").agg(F.min("day").alias("day"))
+        days = sorted({*self.days(path), *[row.day for row in firsts.select("day").distinct().collect()]})
+        tables = {path: _FIRST_SEEN_SCHEMA}
+        _, parts = self._prepared(tables, days)
+        if not days:
+            return
+        numbers = self._begin_folds(days)
+        self._write_folded(firsts.withColumn("change", F.lit(1).cast("bigint")).hint("rebalance", "day"), path, numbers, ["subscriber_id"])
+        self._publish(tables, parts, numbers, keep_replaced=False)
+
     def _fold_rollups(self, days: list[dt.date], from_records: bool = False, closed: bool = False, keep_replaced: bool = False) -> None:
         """New parts of whole days for all rollups: folded from the visible parts or from the records, or closed."""
         tables = self._rollup_tables()

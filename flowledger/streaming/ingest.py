@@ -31,6 +31,7 @@ def write_batch(
         if late is not None:
             store.write_late(late, batch_id)
         store.write_quarantine(quarantine_in(parsed), batch_id)
+        store.write_first_seen(records, batch_id)
         store.commit(batch_id)
         store.settle()  # for days that were closed while the batch was written
     finally:
