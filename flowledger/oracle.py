@@ -308,7 +308,7 @@ _RECORD_COLUMNS = "* EXCLUDE (event_id)"
 def all_sql() -> dict[str, str]:
     """SQL by query name."""
     records = with_records(f"SELECT {_RECORD_COLUMNS} FROM records")
-    same_records = ("P_records", "W1_streamed_records", "W1_replay_after_compaction", "W6_new_checkpoint")
+    same_records = ("P_records", "W1_streamed_records", "W1_replay_after_compaction", "W6_new_checkpoint", "W6_duplicate_delivery")
     sql = dict.fromkeys(same_records, records)
     sql |= {f"stored_{name}": select_sql(table, select) for name, (table, select) in REPORT_SELECTS.items()}
     sql |= {f"W5_retained_{name}": _retained(name) for name in ROLLUP_SQL}

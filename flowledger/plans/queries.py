@@ -123,6 +123,7 @@ STORED_QUERIES: dict[str, Query] = {
     "W3_rebuilt_rollup": _stored(lambda spark, sf_dir: stored_queries.rebuilt_rollup(spark, sf_dir, HOURLY)),
     "W1_replay_after_compaction": _stored(stored_queries.streamed_records),
     "W6_new_checkpoint": _stored(stored_queries.records_of_two_streams),
+    "W6_duplicate_delivery": _stored(stored_queries.records_delivered_twice),
     "P_quarantine_stored": _stored(stored_queries.stored_quarantine),
     "A2_large_counters": _of_events(stored_queries.large_counters),
     **{f"W5_retained_{name}": _retained_rollup(rollup) for name, rollup in ROLLUPS.items()},

@@ -98,6 +98,20 @@ def records_of_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.records().select(*schema.RECORDS.names)
 
 
+def records_delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of a topic through two checkpoints; half of them, none next to another, come through both."""
+    folder, lines = new_folder(spark, "store"), event_lines(read_events(configure(spark), sf_dir))
+    position = {"topic": F.lit("sessions"), "partition": (F.col("event_id") % 3).cast("int"), "offset": F.floor(F.col("event_id") / 3)}
+    messages = lines.withColumns(position).select("raw_message", "ingest_ts", *position, "event_id")
+    store = Store(spark, f"{folder}/tables")
+    for left_out in range(2):
+        source = f"{folder}/lines{left_out}"
+        messages.filter(F.col("offset") % 4 != 2 * left_out).drop("event_id").write.parquet(source)
+        stream = spark.readStream.schema(messages.drop("event_id").schema).parquet(source)
+        ingest(store, stream, f"{folder}/checkpoint{left_out}", available_now=True, min_partitions=PARTS).awaitTermination()
+    return store.records().select(*schema.RECORDS.names)
+
+
 def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined lines of three batches: one of unreadable lines only, one delivered twice."""
     lines = garbled_lines(read_events(configure(spark), sf_dir))

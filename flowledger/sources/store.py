@@ -10,6 +10,7 @@ Layout below one base folder:
     dictionary/day=…/batch_id=…                   numbers of the members of folded days, shared by all rollups
     collectors/day=…/batch_id=…                   collector ids of each batch
     first_seen/day=…/batch_id=…                   first days of subscribers, as changes that add up; never expires
+    deliveries/day=…/batch_id=…                   positions of delivered messages, by day of arrival
     quarantine/day=…/batch_id=…                   by day of arrival
     late/day=…/batch_id=…                         records that came for a closed day whose own records have gone
 
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
-from flowledger.operators import distinct, newcomers, series
+from flowledger.operators import deliveries, distinct, newcomers, series
 from flowledger.operators.retention import retained_records, retained_rollup
 from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, SUBSCRIBERS, Rollup, measures_part, members_part, merge_parts
 from flowledger.plans.tables import Tables
@@ -84,6 +85,7 @@ def _closed_schema(rollup: Rollup) -> T.StructType:
 _SERIES_SCHEMA = T.StructType([T.StructField("t", T.TimestampType()), *[T.StructField(name, _BIGINT) for name in (SESSIONS, *series.SUMS)], *_PARTITIONS])
 _DICTIONARY_SCHEMA = T.StructType([T.StructField("kind", _STRING), T.StructField("member", _STRING), T.StructField("number", _BIGINT), *_PARTITIONS])
 _FIRST_SEEN_SCHEMA = T.StructType([T.StructField("subscriber_id", _STRING), T.StructField("change", _BIGINT), *_PARTITIONS])
+_DELIVERIES_SCHEMA = _with_partitions(deliveries.BLOCKS.fields)
 _RECORDS_SCHEMA = _with_partitions([*schema.RECORDS.fields, T.StructField("yyyymm", _STRING)])
 
 
@@ -234,12 +236,23 @@ class Store:
         return found
 
     def begin(self, batch_id: int) -> bool:
-        """Notes that a batch is being written; False if it is stored already."""
+        """Notes that a batch is being written; False if it is stored already. What a broken attempt has left goes: the
+        next one may write fewer days, since other batches have been stored meanwhile."""
         if self._committed(batch_id):
             return False
-        _make_folder(self.spark, self.path("_log", "started", str(batch_id)))
+        started = self.path("_log", "started", str(batch_id))
+        if _exists(self.spark, started):
+            paths = [self.records_path, self.first_seen_path, *map(self.path, ("collectors", "deliveries", "quarantine", "late"))]
+            for path in [*paths, *self._rollup_tables()]:
+                self._discard(path, batch_id)
+        _make_folder(self.spark, started)
         return True
 
+    def _discard(self, path: str, batch_id: int) -> None:
+        for day, ids in self._parts_of(path).items():
+            if batch_id in ids:
+                _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={batch_id}")
+
     def commit(self, batch_id: int) -> None:
         """Makes a batch visible as a whole; from now on it is never written again."""
         _make_folder(self.spark, self.path("_log", "committed", str(batch_id)))
@@ -354,6 +367,24 @@ class Store:
             .parquet(path)
         )
 
+    def new_deliveries(self, lines: DataFrame, batch_id: int) -> DataFrame:
+        """Lines without those of messages that stored batches had, through whatever checkpoint; notes the positions of the
+        batch. Lines without positions all stay. How late a line is plays no part.
+
+        Positions are kept as long as records. Only blocks the batch has are looked up; if none is known, as usual, the
+        lines are not joined. Two streams that read the same messages at the same time both count.
+        """
+        if not deliveries.has_positions(lines):
+            return lines
+        path = self.path("deliveries")
+        rows = deliveries.blocks(lines).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        self._write(rows.hint("rebalance", "day"), path, ["day", "batch_id"])
+        own = self.spark.read.schema(_DELIVERIES_SCHEMA).parquet(path).filter(F.col("batch_id") == batch_id)
+        days = [row.day for row in own.select("day").distinct().collect()]
+        stored = self._read(path, _DELIVERIES_SCHEMA).filter(F.col("day").isin(days) & (F.col("batch_id") != batch_id))
+        known = stored.join(own.select(*deliveries.KEYS), list(deliveries.KEYS), "left_semi")
+        return lines if known.isEmpty() else deliveries.undelivered(lines, known)
+
     def write_records(self, records: DataFrame, batch_id: int) -> None:
         """Appends one batch. Rebalancing splits a busy day over many tasks and joins the crumbs of quiet ones."""
         rows = records.select(
@@ -398,15 +429,12 @@ class Store:
     def write_first_seen(self, records: DataFrame, batch_id: int) -> None:
         """Adds what the batch changes about first days; the first batch of a store without them brings all days up.
 
-        What is written depends on the state, so parts of a broken attempt go first, and if another batch commits
-        meanwhile, the changes are made again. Should two commit in the very same moment, a subscriber new in both counts
+        What is written depends on the state, so if another batch commits meanwhile, the changes are made again. Should two commit in the very same moment, a subscriber new in both counts
         twice until the next line about them, or until :meth:`rebuild_first_seen`.
         """
-        path, own = self.first_seen_path, f"batch_id={batch_id}"
+        path = self.first_seen_path
         batch = records.select("subscriber_id", F.to_date("timestamp").alias("day"))
         while True:
-            for day in self.days(path):
-                _delete(self.spark, f"{path}/day={day.isoformat()}/{own}")
             before = self._look([path])
             frames, parts = self._read_together({path: _FIRST_SEEN_SCHEMA})
             seen = batch if parts[path] else batch.unionByName(self.rollup(SUBSCRIBERS).select("subscriber_id", "day"))
@@ -415,6 +443,7 @@ class Store:
             after = self._look([path])
             if (before.committed, before.folds) == (after.committed, after.folds):
                 return
+            self._discard(path, batch_id)
 
     def write_quarantine(self, lines: DataFrame, batch_id: int) -> None:
         day = F.to_date("ingest_ts").alias("day")
@@ -503,10 +532,10 @@ class Store:
     def apply_retention(self, as_of: dt.date) -> dict[str, list[dt.date]]:
         """Drops whole days older than each table's retention; the day exactly at the limit stays.
 
-        Quarantined lines, collectors and records put aside are kept as long as records, the dictionary as long as any
-        rollup.
+        Quarantined lines, collectors, positions and records put aside are kept as long as records, the dictionary as long
+        as any rollup.
         """
-        limits = dict.fromkeys((self.records_path, self.path("collectors"), self.path("quarantine"), self.path("late")), schema.RECORD_RETENTION_DAYS)
+        limits = dict.fromkeys((self.records_path, self.path("collectors"), self.path("quarantine"), self.path("late"), self.path("deliveries")), schema.RECORD_RETENTION_DAYS)
         for rollup in ROLLUPS.values():
             limits |= dict.fromkeys(self._tables_of(rollup), rollup.retention_days)
         limits |= dict.fromkeys(map(self.series_path, series.UNITS), series.RETENTION_DAYS)
