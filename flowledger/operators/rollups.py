@@ -7,7 +7,7 @@ batch adds one part of additive measures and one part of distinct members (:func
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -134,7 +134,7 @@ def _derived() -> dict[str, Column]:
     }
 
 
-def _finished(table: DataFrame, rollup: Rollup) -> DataFrame:
+def finished(table: DataFrame, rollup: Rollup) -> DataFrame:
     derived = _derived()
     return table.select(
         *rollup.group_keys, *[derived[name].alias(name) if name in derived else F.col(name) for name in rollup.columns]
@@ -162,17 +162,18 @@ def build(records: DataFrame, rollup: Rollup, approx: bool = False) -> DataFrame
     """
     count_unique = F.approx_count_distinct if approx else F.count_distinct
     uniques = [count_unique(F.col(source)).alias(name) for name, source in rollup.uniques.items()]
-    return _finished(_grouped(records, rollup).agg(*_additive(rollup), *uniques), rollup)
+    return finished(_grouped(records, rollup).agg(*_additive(rollup), *uniques), rollup)
 
 
-def measures_part(records: DataFrame, rollup: Rollup, sketches: bool = False) -> DataFrame:
-    """Additive measures of one batch; with ``sketches`` also one HyperLogLog sketch per distinct count."""
+def measures_part(records: DataFrame, rollup: Rollup, sketches: bool = False, more: Iterable[Column] = ()) -> DataFrame:
+    """Additive measures of one batch; with ``sketches`` also one HyperLogLog sketch per distinct count. ``more``: further
+    aggregates."""
     sketched = [
         F.hll_sketch_agg(F.col(source).cast("string")).alias(f"{name}_sketch")
         for name, source in rollup.uniques.items()
         if sketches
     ]
-    return _grouped(records, rollup).agg(*_additive(rollup), *sketched)
+    return _grouped(records, rollup).agg(*_additive(rollup), *sketched, *more)
 
 
 def members_part(records: DataFrame, rollup: Rollup) -> DataFrame:
@@ -186,7 +187,7 @@ def members_part(records: DataFrame, rollup: Rollup) -> DataFrame:
     return records.select(rollup.bucket_start, *rollup.keys, F.inline(members)).distinct()
 
 
-def merge_measures(parts: DataFrame, rollup: Rollup) -> DataFrame:
+def merge_measures(parts: DataFrame, rollup: Rollup, more: Iterable[Column] = ()) -> DataFrame:
     """Parts of equal keys folded into one: sums added, maxima kept. Folding in any order gives the same rows."""
     sketches = [f"{name}_sketch" for name in rollup.uniques if f"{name}_sketch" in parts.columns]
     return parts.groupBy(*rollup.group_keys).agg(
@@ -194,6 +195,7 @@ def merge_measures(parts: DataFrame, rollup: Rollup) -> DataFrame:
         *[try_total(name).alias(name) for name in rollup.sums],
         *[F.max(name).alias(name) for name in rollup.maxima],
         *[F.hll_union_agg(name).alias(name) for name in sketches],
+        *more,
     )
 
 
@@ -210,16 +212,16 @@ def merge_parts(measures: DataFrame, rollup: Rollup, members: DataFrame | None =
     """
     merged = merge_measures(measures, rollup)
     if counts is not None:
-        return _finished(merged.join(counts, list(rollup.group_keys), "left"), rollup)
+        return finished(merged.join(counts, list(rollup.group_keys), "left"), rollup)
     if members is None:
         estimates = {name: F.hll_sketch_estimate(f"{name}_sketch") for name in rollup.uniques}
-        return _finished(merged.withColumns(estimates), rollup)
+        return finished(merged.withColumns(estimates), rollup)
     counts = (
         merge_members(members, rollup)
         .groupBy(*rollup.group_keys)
         .agg(*[F.count_if(F.col("measure") == name).alias(name) for name in rollup.uniques])
     )
-    return _finished(merged.join(counts, list(rollup.group_keys), "left"), rollup)
+    return finished(merged.join(counts, list(rollup.group_keys), "left"), rollup)
 
 
 def merge_rollups(

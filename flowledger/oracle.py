@@ -301,6 +301,7 @@ def _retained(name: str) -> str:
     return with_rollup(name, f"SELECT * FROM {name} WHERE {bucket}")
 
 
+_SKETCHED_SUB = "* EXCLUDE (unique_destinations, unique_apns), true AS unique_destinations_close, true AS unique_apns_close"
 _SKETCHED = "* EXCLUDE (unique_subscribers, unique_destinations), true AS unique_subscribers_close, true AS unique_destinations_close"
 _RECORD_COLUMNS = "* EXCLUDE (event_id)"
 
@@ -341,6 +342,11 @@ def all_sql() -> dict[str, str]:
         "W7_live_with_fast_clock": with_records(_live("second", f"count(*) AS sessions, {_s('bytes_total', 'bytes')}")),
         "P_quarantine_stored": QUARANTINE_SELECT,
         "A2_large_counters": LARGE_SELECT,
+        "R6_sketch_store_hourly_traffic": with_rollup(_H, f"SELECT {_SKETCHED} FROM {_H}"),
+        "R6_sketch_store_subscriber_bandwidth": with_rollup(_SUB, f"SELECT {_SKETCHED_SUB} FROM {_SUB}"),
+        "Q33_sketch_store_subscriber_count_trend_7d": with_rollup(_SUB, f"SELECT DISTINCT day, true AS active_subscribers_close FROM {_SUB} WHERE {_LAST_7}"),
+        "Q35_sketch_store_subscribers_30d": "SELECT true AS total_close",
+        "G3_sketch_store_new_and_returning_7d": with_rollup(_SUB, f"SELECT DISTINCT day, true AS new_subscribers_close, true AS returning_subscribers_close FROM {_SUB} WHERE {_LAST_7}"),
         "R6_merged_sketches_hourly_traffic": with_rollup(_H, f"SELECT {_SKETCHED} FROM {_H}"),
         "E3_adhoc_sql": with_records(ADHOC_SELECT),
     }

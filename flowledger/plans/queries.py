@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from flowledger.oracle import AS_OF, END, RETENTION_NOW, START
 from flowledger.functions.timestamps import Clock
 from flowledger.operators.parse import parse_records
-from flowledger.operators.rollups import DAILY, HOURLY, ROLLUPS, Rollup
+from flowledger.operators.rollups import DAILY, HOURLY, ROLLUPS, SUBSCRIBERS, Rollup
 from flowledger.plans import field_queries, stored_queries, views
 from flowledger.plans.event_lines import event_lines, read_events
 from flowledger.plans.reports import REPORTS
@@ -97,6 +97,16 @@ def _merged_rollup(rollup: Rollup) -> Query:
     return _of_records(lambda records: stored_queries.merged_halves(records, rollup))
 
 
+def _sketched_rollup(rollup: Rollup) -> Query:
+    return lambda spark, sf_dir: plain_times(stored_queries.sketched_rollup(spark, sf_dir, records_of(spark, sf_dir), rollup))
+
+
+def _sketched_report(plan: Callable[[Tables, Clock], DataFrame], keys: list[str]) -> Query:
+    return lambda spark, sf_dir: plain_times(
+        stored_queries.sketched_report(spark, sf_dir, records_of(spark, sf_dir), lambda tables: plan(tables, CLOCK), keys)
+    )
+
+
 FIELD_QUERIES: dict[str, Query] = {
     "S2_split_lines": _of_events(field_queries.lines_of_messages),
     "P_quarantine": _of_events(field_queries.quarantined_lines),
@@ -113,6 +123,10 @@ STORED_QUERIES: dict[str, Query] = {
     **{f"W2_streamed_{name}": _streamed_rollup(rollup) for name, rollup in ROLLUPS.items()},
     **{f"R6_merged_{name}": _merged_rollup(rollup) for name, rollup in ROLLUPS.items()},
     "R6_merged_sketches_hourly_traffic": _of_records(lambda records: stored_queries.merged_sketches(records, HOURLY)),
+    **{f"R6_sketch_store_{rollup.name}": _sketched_rollup(rollup) for rollup in (HOURLY, SUBSCRIBERS)},
+    "Q33_sketch_store_subscriber_count_trend_7d": _sketched_report(REPORTS["Q33_subscriber_count_trend_7d"], ["day"]),
+    "Q35_sketch_store_subscribers_30d": _sketched_report(REPORTS["Q35_subscribers_30d"], []),
+    "G3_sketch_store_new_and_returning_7d": _sketched_report(views.new_and_returning, ["day"]),
     "W5_retained_per_day": _of_records(lambda records: stored_queries.retained_per_day(records, RETENTION_NOW)),
     "W7_live_per_second": _stored(lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=True)),
     "W7_live_per_minute": _stored(lambda spark, sf_dir: stored_queries.live_rates(spark, sf_dir, per_second=False)),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowledger.functions.numeric import gib, mib, peak, safe_div, total, try_total
 from flowledger.functions.timestamps import Clock, bucket, hour_text, since
+from flowledger.operators import sketches
 from flowledger.plans.tables import Tables
 
 Report = Callable[[Tables, Clock], DataFrame]
@@ -321,6 +322,8 @@ def top_subscribers_week(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q33_subscriber_count_trend_7d")
 def subscriber_count_trend(tables: Tables, clock: Clock) -> DataFrame:
+    if tables.day_sketches is not None:
+        return sketches.active_per_day(_last_days(tables.day_sketches, clock, 7)).orderBy("day")
     daily = _last_days(tables.subscribers, clock, 7).groupBy("day")
     return daily.agg(F.count_distinct("subscriber_id").alias("active_subscribers")).orderBy("day")
 
@@ -340,6 +343,8 @@ def subscribers_with_errors(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q35_subscribers_30d")
 def subscribers_month(tables: Tables, clock: Clock) -> DataFrame:
+    if tables.day_sketches is not None:
+        return sketches.active_in_all(_last_days(tables.day_sketches, clock, 30))
     return _last_days(tables.subscribers, clock, 30).agg(F.count_distinct("subscriber_id").alias("total"))
 
 
@@ -356,6 +361,8 @@ def subscriber_usage_values(tables: Tables, clock: Clock) -> DataFrame:
 
 @report("Q38_subscriber_rows_daily_7d")
 def subscriber_rows_daily(tables: Tables, clock: Clock) -> DataFrame:
+    if tables.day_sketches is not None:
+        return sketches.active_per_day(_last_days(tables.day_sketches, clock, 7)).orderBy("day")
     daily = _last_days(tables.subscribers, clock, 7).groupBy("day")
     return daily.agg(F.count(F.lit(1)).alias("subscribers")).orderBy("day")
 

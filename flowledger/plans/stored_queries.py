@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowledger import schema
 from flowledger.oracle import AS_OF, RETENTION_EDGE
+from flowledger.operators import sketches
 from flowledger.operators.parse import parse_records, quarantine
 from flowledger.operators.retention import retained_records
 from flowledger.operators.rollups import SUBSCRIBERS, Rollup, build, measures_part, members_part, merge_parts, merge_rollups
@@ -132,10 +134,10 @@ def streamed_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFra
     return streamed_store(spark, sf_dir).rollup(rollup).select(*rollup.group_keys, *rollup.columns)
 
 
-def _half_stored(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
+def _half_stored(spark: SparkSession, sf_dir: str, distinct_counts: str = "exact") -> tuple[Store, DataFrame]:
     """A store with three quarters of the events, and the lines of the others, which have some for every day."""
     lines, part = event_lines(read_events(configure(spark), sf_dir)), F.col("event_id") % PARTS
-    store = Store(spark, f"{new_folder(spark, 'store')}/tables")
+    store = Store(spark, f"{new_folder(spark, 'store')}/tables", distinct_counts)
     write_batch(store, lines.filter(part > 0), 0, min_partitions=PARTS)
     return store, lines.filter(part == 0)
 
@@ -162,6 +164,38 @@ def rebuilt_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFram
     return store.rollup(rollup).select(*rollup.group_keys, *rollup.columns)
 
 
+def sketched_store(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with sketches: days open, folded and closed before lines for all of them came late, some of them folded or
+    closed again. Built once for the same input files."""
+    key = (spark.sparkContext.applicationId, "sketch", sf_dir, _state_of(spark, f"{sf_dir}/events.parquet"))
+    if key not in _STORES:
+        store, late = _half_stored(spark, sf_dir, "sketch")
+        days = store.days(store.records_path)
+        store.compact(days[::2])
+        store.close(days[::3])
+        write_batch(store, late, 1, min_partitions=PARTS)
+        store.compact(days[::4])
+        store.close(days[::6])
+        _STORES[key] = store
+    return _STORES[key]
+
+
+def sketched_rollup(spark: SparkSession, sf_dir: str, records: DataFrame, rollup: Rollup) -> DataFrame:
+    """A rollup of a store with sketches: exact measures, and whether each distinct count is close to the exact one."""
+    return _beside_exact(sketched_store(spark, sf_dir).rollup(rollup), records, rollup)
+
+
+def sketched_report(spark: SparkSession, sf_dir: str, records: DataFrame, plan: Callable[[Tables], DataFrame], keys: list[str]) -> DataFrame:
+    """A report on subscribers from a store with sketches: whether its counts are within three standard errors, taken of
+    all subscribers, of the report on the records."""
+    estimated, exact = plan(sketched_store(spark, sf_dir).tables()), plan(Tables.from_records(records))
+    counts = [name for name in exact.columns if name not in keys]
+    bound = records.agg((3 * sketches.STANDARD_ERROR * F.count_distinct("subscriber_id") + 1).alias("bound"))
+    beside = exact.select(*keys, *[F.col(name).alias(f"exact_{name}") for name in counts])
+    joined = (estimated.join(beside, keys, "full") if keys else estimated.join(beside)).join(bound)
+    return joined.select(*keys, *[F.coalesce(F.abs(F.col(name) - F.col(f"exact_{name}")) <= F.col("bound"), F.lit(False)).alias(f"{name}_close") for name in counts])
+
+
 def retained_stored_rollup(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFrame:
     """A stored rollup at a time when its retention ends inside the data."""
     now = F.expr(f"TIMESTAMP '{RETENTION_EDGE}' + INTERVAL {rollup.retention_days} DAYS")
@@ -211,7 +245,10 @@ def merged_sketches(records: DataFrame, rollup: Rollup) -> DataFrame:
     morning = records.filter(F.hour("timestamp") < 12)
     afternoon = records.filter(F.hour("timestamp") >= 12)
     parts = [measures_part(part, rollup, sketches=True) for part in (morning, afternoon)]
-    merged = merge_parts(parts[0].unionByName(parts[1]), rollup)
+    return _beside_exact(merge_parts(parts[0].unionByName(parts[1]), rollup), records, rollup)
+
+
+def _beside_exact(merged: DataFrame, records: DataFrame, rollup: Rollup) -> DataFrame:
     exact = build(records, rollup).select(*rollup.group_keys, *[F.col(name).alias(f"exact_{name}") for name in rollup.uniques])
     joined = merged.join(exact, list(rollup.group_keys))
     close = [(F.abs(F.col(name) - F.col(f"exact_{name}")) <= SKETCH_ERROR * F.col(f"exact_{name}") + 1).alias(f"{name}_close") for name in rollup.uniques]

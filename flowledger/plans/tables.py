@@ -21,11 +21,12 @@ class Tables:
     def __init__(
         self, records: DataFrame, rollup_of: Callable[[Rollup], DataFrame], collectors: DataFrame | None = None,
         latest: Callable[[int], DataFrame] | None = None, traffic: Callable[[Column, Column, str], DataFrame] | None = None,
-        newcomers: Callable[[Column], DataFrame | None] | None = None,
+        newcomers: Callable[[Column], DataFrame | None] | None = None, day_sketches: DataFrame | None = None,
     ):
         self.records = records
         self._rollup_of = rollup_of
         self._collectors, self._latest, self._traffic, self._newcomers = collectors, latest, traffic, newcomers
+        self.day_sketches = day_sketches  # (day, subscribers) where the store has sketches
 
     @classmethod
     def from_records(cls, records: DataFrame) -> Tables:

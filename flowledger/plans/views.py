@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowledger.functions.timestamps import Clock
+from flowledger.operators import sketches
 from flowledger.plans.reports import error_rate, peak_bandwidth, subscriber_usage_values, tcp_bandwidth_share
 from flowledger.plans.tables import Tables
 
@@ -44,9 +45,12 @@ def new_and_returning(tables: Tables, clock: Clock, days: int = 7) -> DataFrame:
 
     Where a store keeps first days, both are counted from the last days alone; then first means of all lines ever stored,
     expired or not. Else the rollup is reduced to one row per subscriber and day, so a window never holds more rows than
-    there are kept days, however busy the subscriber.
+    there are kept days, however busy the subscriber. A store with sketches takes differences and intersections of those of
+    the days.
     """
     since = clock.days_ago(days)
+    if tables.day_sketches is not None:
+        return sketches.new_and_returning(tables.day_sketches, since).orderBy("day")
     new = tables.newcomers(since)
     if new is not None:
         seen = tables.subscribers.filter(F.col("day") >= since).groupBy("day").agg(F.count_distinct("subscriber_id").alias("seen"))

@@ -5,6 +5,7 @@ Layout below one base folder:
     records/day=…/batch_id=…                      session records, sorted by subscriber and time
     rollups/<name>/measures/day=…/batch_id=…      additive measures; of folded days with lists of numbered members
     rollups/<name>/members/day=…/batch_id=…       distinct members: text rows of batches, bitmaps of folded days
+    rollups/subscribers/sketches/day=…/batch_id=… subscribers of each day, in a store with sketches
     rollups/per_<unit>/series/day=…/batch_id=…    traffic per second, minute and hour
     rollups/<name>/closed/day=…/batch_id=…        finished rows of closed days, distinct counts as numbers
     dictionary/day=…/batch_id=…                   numbers of the members of folded days, shared by all rollups
@@ -14,6 +15,7 @@ Layout below one base folder:
     quarantine/day=…/batch_id=…                   by day of arrival
     late/day=…/batch_id=…                         records that came for a closed day whose own records have gone
 
+    _log/sketches                                 says that distinct counts come from sketches
     _log/started/<batch_id>                       batches and foldings that have begun
     _log/committed/<batch_id>                     batches that are stored as a whole (of a stream, the last one)
     _log/folds/<group>/<day>/<batch_id>/<table>.<old>   a day's new parts and the parts they stand for
@@ -28,6 +30,9 @@ group of their own.
 
 A day's rollups are open (rows of batches), folded (numbered members) or closed (finished counts, no members). A batch
 that reaches a closed day reopens it from its records; if these have gone, its lines for that day are put aside.
+
+A store with sketches has neither members nor a dictionary nor first days: its measures carry a sketch for each distinct
+count, folding unites them, closing keeps the counts alone.
 """
 
 from __future__ import annotations
@@ -44,7 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
-from flowledger.operators import deliveries, distinct, newcomers, series
+from flowledger.operators import deliveries, distinct, newcomers, series, sketches
 from flowledger.operators.retention import retained_records, retained_rollup
 from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, SUBSCRIBERS, Rollup, measures_part, members_part, merge_parts
 from flowledger.plans.tables import Tables
@@ -68,9 +73,12 @@ def _additive_fields(rollup: Rollup) -> list[T.StructField]:
     return [T.StructField(name, _BIGINT) for name in (SESSIONS, *rollup.sums, *rollup.maxima)]
 
 
-def _measures_schema(rollup: Rollup) -> T.StructType:
-    lists = [T.StructField(distinct.list_name(name), T.ArrayType(_BIGINT)) for name in rollup.uniques]
-    return _with_partitions(_key_fields(rollup) + _additive_fields(rollup) + lists)
+def _measures_schema(rollup: Rollup, sketched: bool = False) -> T.StructType:
+    if sketched:
+        members = [T.StructField(sketches.sketch_name(name), T.BinaryType()) for name in rollup.uniques]
+    else:
+        members = [T.StructField(distinct.list_name(name), T.ArrayType(_BIGINT)) for name in rollup.uniques]
+    return _with_partitions(_key_fields(rollup) + _additive_fields(rollup) + members)
 
 
 def _members_schema(rollup: Rollup) -> T.StructType:
@@ -85,6 +93,7 @@ def _closed_schema(rollup: Rollup) -> T.StructType:
 _SERIES_SCHEMA = T.StructType([T.StructField("t", T.TimestampType()), *[T.StructField(name, _BIGINT) for name in (SESSIONS, *series.SUMS)], *_PARTITIONS])
 _DICTIONARY_SCHEMA = T.StructType([T.StructField("kind", _STRING), T.StructField("member", _STRING), T.StructField("number", _BIGINT), *_PARTITIONS])
 _FIRST_SEEN_SCHEMA = T.StructType([T.StructField("subscriber_id", _STRING), T.StructField("change", _BIGINT), *_PARTITIONS])
+_DAY_SKETCHES_SCHEMA = T.StructType([T.StructField("subscribers", T.BinaryType()), *_PARTITIONS])
 _DELIVERIES_SCHEMA = _with_partitions(deliveries.BLOCKS.fields)
 _RECORDS_SCHEMA = _with_partitions([*schema.RECORDS.fields, T.StructField("yyyymm", _STRING)])
 
@@ -102,11 +111,20 @@ class State(NamedTuple):
 
 
 class Store:
-    """Reads and writes the tables below ``base``."""
+    """Reads and writes the tables below ``base``.
+
+    ``distinct_counts``: "exact", from members, or "sketch", within the error of a theta sketch. A store keeps to the one
+    it began with.
+    """
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, distinct_counts: str = "exact"):
+        if distinct_counts not in ("exact", "sketch"):
+            raise ValueError(f"distinct_counts is 'exact' or 'sketch', not {distinct_counts!r}")
         self.spark = spark
         self.base = base.rstrip("/")
+        self.sketched = distinct_counts == "sketch"
+        if _exists(spark, self.path("_log", "started")) and _exists(spark, self.path("_log", "sketches")) != self.sketched:
+            raise ValueError(f"{self.base} was begun with other distinct counts than {distinct_counts!r}")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.base, *parts])
@@ -132,22 +150,24 @@ class Store:
     def first_seen_path(self) -> str:
         return self.path("first_seen")
 
+    @property
+    def day_sketches_path(self) -> str:
+        return self.path("rollups", "subscribers", "sketches")
+
     def series_path(self, unit: str) -> str:
         return self.path("rollups", f"per_{unit}", "series")
 
     def _rollup_tables(self) -> dict[str, T.StructType]:
         """Paths and columns of all tables a day's rollups consist of."""
-        tables = {self.dictionary_path: _DICTIONARY_SCHEMA} | dict.fromkeys(map(self.series_path, series.UNITS), _SERIES_SCHEMA)
+        shared = {self.day_sketches_path: _DAY_SKETCHES_SCHEMA} if self.sketched else {self.dictionary_path: _DICTIONARY_SCHEMA}
+        tables = shared | dict.fromkeys(map(self.series_path, series.UNITS), _SERIES_SCHEMA)
         for rollup in ROLLUPS.values():
             tables |= self._tables_of(rollup)
         return tables
 
     def _tables_of(self, rollup: Rollup) -> dict[str, T.StructType]:
-        return {
-            self.measures_path(rollup): _measures_schema(rollup),
-            self.members_path(rollup): _members_schema(rollup),
-            self.closed_path(rollup): _closed_schema(rollup),
-        }
+        members = {} if self.sketched else {self.members_path(rollup): _members_schema(rollup)}
+        return {self.measures_path(rollup): _measures_schema(rollup, self.sketched)} | members | {self.closed_path(rollup): _closed_schema(rollup)}
 
     # Reading
 
@@ -240,6 +260,8 @@ class Store:
         next one may write fewer days, since other batches have been stored meanwhile."""
         if self._committed(batch_id):
             return False
+        if self.sketched:
+            _make_folder(self.spark, self.path("_log", "sketches"))
         started = self.path("_log", "started", str(batch_id))
         if _exists(self.spark, started):
             paths = [self.records_path, self.first_seen_path, *map(self.path, ("collectors", "deliveries", "quarantine", "late"))]
@@ -279,26 +301,27 @@ class Store:
         return self._read(self.records_path, _RECORDS_SCHEMA)
 
     def measures(self, rollup: Rollup) -> DataFrame:
-        return self._read(self.measures_path(rollup), _measures_schema(rollup))
+        return self._read(self.measures_path(rollup), _measures_schema(rollup, self.sketched))
 
     def members(self, rollup: Rollup) -> DataFrame:
         return self._read(self.members_path(rollup), _members_schema(rollup))
 
     def rollup(self, rollup: Rollup) -> DataFrame:
         """The merged rollup. Filters on the keys reach the part files; unused distinct counts are not read."""
-        frames, parts = self._read_together(self._tables_of(rollup) | {self.dictionary_path: _DICTIONARY_SCHEMA})
+        frames, parts = self._read_together(self._tables_of(rollup) | ({} if self.sketched else {self.dictionary_path: _DICTIONARY_SCHEMA}))
         return self._merged(rollup, frames, parts)
 
     def _merged(self, rollup: Rollup, frames: dict[str, DataFrame], parts: dict[str, Parts]) -> DataFrame:
         """The rollup's rows from its parts, in whatever form a day has them."""
         # day is no key of an hourly rollup; it is kept through the merge so that filters on it prune partitions
         keyed = _keyed_by_day(rollup)
-        measures, members, closed = (frames[path] for path in self._tables_of(rollup))
-        members_parts, closed_parts = parts[self.members_path(rollup)], parts[self.closed_path(rollup)]
+        measures = frames[self.measures_path(rollup)]
+        closed = frames[self.closed_path(rollup)] if parts[self.closed_path(rollup)] else None
+        if self.sketched:
+            return sketches.counted(measures, keyed, closed)
+        members, members_parts = frames[self.members_path(rollup)], parts[self.members_path(rollup)]
         folded = sorted(parts[self.dictionary_path])
         late = [day for day in folded if any(i >= 0 for i in members_parts.get(day, ()))]
-        if not closed_parts:
-            closed = None
         counts = distinct.distinct_counts(measures, members, frames[self.dictionary_path], keyed, folded, late, closed)
         additive = [*keyed.group_keys, SESSIONS, *rollup.sums, *rollup.maxima]
         rows = measures.select(*additive) if closed is None else measures.select(*additive).unionByName(closed.select(*additive))
@@ -317,7 +340,7 @@ class Store:
     def tables(self, as_of: Column | None = None) -> Tables:
         """All six tables; with ``as_of`` without the rows whose retention has passed at that time."""
         if as_of is None:
-            return Tables(self.records(), self.rollup, self.collectors(), self.latest, self.traffic, self.newcomers)
+            return Tables(self.records(), self.rollup, self.collectors(), self.latest, self.traffic, self.newcomers, self.day_sketches())
         kept = lambda rollup: retained_rollup(self.rollup(rollup), rollup, as_of)
         latest = lambda count: retained_records(self.latest(count), as_of)
         oldest = F.date_trunc("second", as_of - F.make_dt_interval(F.lit(series.RETENTION_DAYS))) + F.expr("INTERVAL 1 SECOND")
@@ -332,6 +355,10 @@ class Store:
             return None
         return newcomers.per_day(frames[self.first_seen_path].filter(F.col("day") >= since))
 
+    def day_sketches(self) -> DataFrame | None:
+        """(day, subscribers): sketches of each day's subscribers, of one batch or several; None in an exact store."""
+        return self._read(self.day_sketches_path, _DAY_SKETCHES_SCHEMA).select("day", "subscribers") if self.sketched else None
+
     def collectors(self, as_of: Column | None = None) -> DataFrame:
         """The collectors that were ever stored, from a small table each batch adds its own to. With ``as_of`` those of
         records kept at that time: only the day in which the retention ends is looked up in the records."""
@@ -412,12 +439,20 @@ class Store:
         """
         jobs = []
         for rollup in ROLLUPS.values():
-            jobs.append((measures_part(records, rollup), rollup, self.measures_path(rollup), batch_id))
-            jobs.append((members_part(records, rollup), rollup, self.members_path(rollup), batch_id))
+            jobs += [(part, rollup, path, batch_id) for path, part in self._parts_from(records, rollup).items()]
         jobs = [lambda job=job: self._write_part(*job) for job in jobs]
+        if self.sketched:
+            per_day = sketches.days_of(records).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            jobs.append(lambda: self._write(per_day, self.day_sketches_path, ["day", "batch_id"]))
         jobs += [lambda unit=unit, part=part: self._write_series(part, unit, batch_id) for unit, part in series.all_series(records).items()]
         self._side_by_side(jobs)
 
+    def _parts_from(self, records: DataFrame, rollup: Rollup) -> dict[str, DataFrame]:
+        """What records add to the tables of a rollup, by path."""
+        if self.sketched:
+            return {self.measures_path(rollup): sketches.sketched_part(records, rollup)}
+        return {self.measures_path(rollup): measures_part(records, rollup), self.members_path(rollup): members_part(records, rollup)}
+
     def _write_series(self, part: DataFrame, unit: str, batch_id: int) -> None:
         rows = part.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", "day")
         self._write(rows.sortWithinPartitions("day", "batch_id", "t"), self.series_path(unit), ["day", "batch_id"])
@@ -427,11 +462,14 @@ class Store:
             list(pool.map(inheritable_thread_target(self.spark)(lambda job: job()), jobs))
 
     def write_first_seen(self, records: DataFrame, batch_id: int) -> None:
-        """Adds what the batch changes about first days; the first batch of a store without them brings all days up.
+        """Adds what the batch changes about first days; the first batch of a store without them brings all days up. A
+        store with sketches needs none.
 
         What is written depends on the state, so if another batch commits meanwhile, the changes are made again. Should two commit in the very same moment, a subscriber new in both counts
         twice until the next line about them, or until :meth:`rebuild_first_seen`.
         """
+        if self.sketched:
+            return
         path = self.first_seen_path
         batch = records.select("subscriber_id", F.to_date("timestamp").alias("day"))
         while True:
@@ -506,7 +544,7 @@ class Store:
 
     def _without_records(self, days: list[dt.date]) -> dict[dt.date, tuple[int, int]]:
         """Days whose rollups count more sessions than there are records: (sessions, records). Both from one state."""
-        tables = {self.records_path: _RECORDS_SCHEMA, self.measures_path(DAILY): _measures_schema(DAILY), self.closed_path(DAILY): _closed_schema(DAILY)}
+        tables = {self.records_path: _RECORDS_SCHEMA, self.measures_path(DAILY): _measures_schema(DAILY, self.sketched), self.closed_path(DAILY): _closed_schema(DAILY)}
         frames, _ = self._read_together(tables)
         records, measures, closed = (frames[path].filter(F.col("day").isin(days)) for path in tables)
         held = records.groupBy("day").agg(F.lit(0).cast("bigint").alias("sessions"), F.count(F.lit(1)).alias("records"))
@@ -539,6 +577,7 @@ class Store:
         for rollup in ROLLUPS.values():
             limits |= dict.fromkeys(self._tables_of(rollup), rollup.retention_days)
         limits |= dict.fromkeys(map(self.series_path, series.UNITS), series.RETENTION_DAYS)
+        limits[self.day_sketches_path] = SUBSCRIBERS.retention_days
         limits[self.dictionary_path] = max(rollup.retention_days for rollup in ROLLUPS.values())
         dropped = {}
         for path, keep in limits.items():
@@ -601,7 +640,9 @@ class Store:
 
     def rebuild_first_seen(self) -> None:
         """Makes the first days anew, as the subscriber rollup kept now has them. Days change one after the other; no batch
-        may be written meanwhile."""
+        may be written meanwhile. Nothing to do in a store with sketches."""
+        if self.sketched:
+            return
         path, firsts = self.first_seen_path, self.rollup(SUBSCRIBERS).groupBy("subscriber_id").agg(F.min("day").alias("day"))
         days = sorted({*self.days(path), *[row.day for row in firsts.select("day").distinct().collect()]})
         tables = {path: _FIRST_SEEN_SCHEMA}
@@ -619,7 +660,7 @@ class Store:
         held = {day for path in tables for day in parts[path]}
         is_closed = set(parts[self.closed_path(DAILY)])
         if closed:
-            work = {day for day in held if any(day in parts[path] for path in tables if not path.endswith(("/closed", "/series")))}
+            work = {day for day in held if any(day in parts[path] for path in tables if not path.endswith(("/closed", "/series", "/sketches")))}
         elif from_records:
             work = held | set(parts[self.records_path])
         else:  # a day with one folded part in each table has nothing to fold
@@ -629,22 +670,32 @@ class Store:
             return
         numbers = self._begin_folds(work)
         chosen = {path: _chosen(frame, {day: ids for day, ids in parts[path].items() if day in work}) for path, frame in frames.items()}
+        if from_records:
+            records = chosen[self.records_path].drop("day", "batch_id", "yyyymm")
+            for rollup in ROLLUPS.values():
+                for path, part in self._parts_from(records, rollup).items():
+                    chosen[path] = _padded(part.withColumn("day", _day_of(rollup)), tables[path])
         if closed:
             jobs = [lambda r=rollup: self._write_closed(r, chosen, parts, numbers) for rollup in ROLLUPS.values()]
+        elif self.sketched:
+            jobs = [lambda r=rollup: self._write_united(r, chosen, numbers) for rollup in ROLLUPS.values()]
         else:
             if from_records:
-                records = chosen[self.records_path].drop("day", "batch_id", "yyyymm")
-                for rollup in ROLLUPS.values():
-                    for path, part in ((self.measures_path(rollup), measures_part(records, rollup)), (self.members_path(rollup), members_part(records, rollup))):
-                        chosen[path] = _padded(part.withColumn("day", _day_of(rollup)), tables[path])
                 chosen[self.dictionary_path] = chosen[self.dictionary_path].limit(0)
             dictionary = self._write_dictionary(chosen, numbers)
             jobs = [lambda r=rollup: self._write_folded_rollup(r, chosen, dictionary, numbers) for rollup in ROLLUPS.values()]
         made = series.all_series(records) if from_records else {unit: series.added_up(chosen[self.series_path(unit)], unit) for unit in series.UNITS}
         jobs += [lambda unit=unit, rows=rows: self._write_folded(rows.hint("rebalance", "day"), self.series_path(unit), numbers, ["t"]) for unit, rows in made.items()]
+        if self.sketched:
+            per_day = sketches.days_of(records) if from_records else sketches.united_days(chosen[self.day_sketches_path])
+            jobs.append(lambda: self._write_folded(per_day, self.day_sketches_path, numbers, []))
         self._side_by_side(jobs)
         self._publish(tables, parts, numbers, keep_replaced)
 
+    def _write_united(self, rollup: Rollup, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> None:
+        rows = sketches.merge_sketched(chosen[self.measures_path(rollup)], _keyed_by_day(rollup))
+        self._write_folded(rows.hint("rebalance", "day"), self.measures_path(rollup), numbers, [key for key in rollup.group_keys if key != "day"])
+
     def _write_dictionary(self, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> DataFrame:
         """Numbers all members of the days; the dictionary as written."""
         seen = [distinct.seen_members(chosen[self.members_path(r)], r) for r in ROLLUPS.values()]
