@@ -2,7 +2,7 @@
 
 Layout below one base folder:
 
-    records/day=…/batch_id=…                      session records, sorted by subscriber and time
+    records/day=…/batch_id=…                      session records, of folded days clustered on subscriber and time
     rollups/<name>/measures/day=…/batch_id=…      additive measures; of folded days with lists of numbered members
     rollups/<name>/members/day=…/batch_id=…       distinct members: text rows of batches, bitmaps of folded days
     rollups/subscribers/sketches/day=…/batch_id=… subscribers of each day, in a store with sketches
@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
-from flowledger.operators import deliveries, distinct, newcomers, series, sketches
+from flowledger.operators import curve, deliveries, distinct, newcomers, series, sketches
 from flowledger.operators.retention import retained_records, retained_rollup
 from flowledger.operators.rollups import DAILY, ROLLUPS, SESSIONS, SUBSCRIBERS, Rollup, measures_part, members_part, merge_parts
 from flowledger.plans.tables import Tables
@@ -57,6 +57,7 @@ from flowledger.plans.tables import Tables
 _PARTITIONS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
 _BIGINT, _STRING = T.LongType(), T.StringType()
 Parts = dict[dt.date, set[int]]  # numbers of the parts a table has, by day
+ROW_GROUP_BYTES = 32 << 20  # of folded records; small enough that filters on time skip some inside a file
 STREAM = 1 << 32  # numbers of one stream's batches; batches written by hand are below, foldings are negative
 
 
@@ -386,9 +387,10 @@ class Store:
 
     # Writing
 
-    def _write(self, table: DataFrame, path: str, partitions: Iterable[str], mode: str = "overwrite") -> None:
+    def _write(self, table: DataFrame, path: str, partitions: Iterable[str], mode: str = "overwrite", options: dict[str, str] | None = None) -> None:
         (
             table.write.mode(mode)
+            .options(**(options or {}))
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)
             .parquet(path)
@@ -588,8 +590,8 @@ class Store:
         return dropped
 
     def compact(self, days: dt.date | Iterable[dt.date], keep_replaced: bool = False) -> None:
-        """Folds all committed batches of each day into one: records range-clustered by subscriber and time, rollups with
-        numbered members. Closed days stay closed.
+        """Folds all committed batches of each day into one: records clustered on subscriber and time alike, so that
+        filters on either skip row groups, rollups with numbered members. Closed days stay closed.
 
         Several days are folded by the same jobs. Batches may arrive meanwhile: a folding takes the batches it has listed
         and no others. A run that was cut off leaves nothing readers see, or a finished folding whose old parts the next
@@ -623,8 +625,10 @@ class Store:
         if not work:
             return
         numbers = self._begin_folds(work)
-        rows = _chosen(frames[self.records_path], work).repartitionByRange("day", "subscriber_id", "timestamp")
-        self._write_folded(rows, self.records_path, numbers, ["subscriber_id", "timestamp"])
+        time_of_day = F.pmod(F.unix_seconds("timestamp"), F.lit(24 * 3600))
+        rows = curve.with_curve(_chosen(frames[self.records_path], work), F.col("subscriber_id"), time_of_day)
+        order = ["curve", "subscriber_id", "timestamp"]
+        self._write_folded(rows.repartitionByRange("day", *order), self.records_path, numbers, order, leave_out=["curve"], row_group_bytes=ROW_GROUP_BYTES)
         self._publish(tables, parts, numbers, keep_replaced)
 
     def _fold_first_seen(self, days: list[dt.date], keep_replaced: bool) -> None:
@@ -754,10 +758,15 @@ class Store:
             _make_folder(self.spark, self.path("_log", "started", str(number)))
         return numbers
 
-    def _write_folded(self, table: DataFrame, path: str, numbers: dict[dt.date, int], order: list[str]) -> None:
+    def _write_folded(
+        self, table: DataFrame, path: str, numbers: dict[dt.date, int], order: list[str], leave_out: Iterable[str] = (),
+        row_group_bytes: int | None = None,
+    ) -> None:
+        """Writes the new parts in some order; columns to leave out only order the rows."""
         number = F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), F.col("day"))
         rows = table.withColumn("batch_id", number.cast("bigint"))
-        self._write(rows.sortWithinPartitions("day", "batch_id", *order), path, ["day", "batch_id"])
+        options = {"parquet.block.size": str(row_group_bytes)} if row_group_bytes else {}
+        self._write(rows.sortWithinPartitions("day", "batch_id", *order).drop(*leave_out), path, ["day", "batch_id"], options=options)
 
     def _publish(self, tables: Iterable[str], parts: dict[str, Parts], numbers: dict[dt.date, int], keep_replaced: bool) -> None:
         """Puts the new parts of each day in the place of the old ones of all tables, with one rename a day."""
