@@ -7,8 +7,9 @@ The driver never holds the groups. It works on cells, ranges of the hash with th
 cut anywhere inside a cell gives a lower bound of the capacity, one that cuts at cell borders only an upper bound. While
 they differ, just the cells in which a cut can fall are summed again at finer resolution. When they meet, the capacity
 is exactly the one a pass over all single groups would find. The greedy pass itself would leave what is missing to the
-last shard; the cuts are made inside the same capacity, each as near to an even share as it allows. A group above the
-fair share fills a shard of its own first, and the others are spread over the remaining shards.
+last shard; the cuts are made inside the same capacity, each as near to an even share as it allows. Every shard is one
+stretch of the group order. A group above the fair share stays in its place there: as a rule it is a shard alone, and
+the stretches before and behind it get as many shards each as their sizes come to.
 
 A null text has no bytes, CRC 0, and is a group of its own. Repeated rows are rows of one group. Fewer groups than
 shards leave shards empty. Empty tables give no rows.
@@ -30,6 +31,7 @@ KEY_BITS = 63
 FIRST_BITS = 14  # cells of the first pass: 2 ** 14
 MORE_BITS = 6  # a refined cell becomes 2 ** 6
 CELLS_A_ROUND = 2048
+PARTS_OF_A_SHARE = 64  # cells of several groups are refined until they are smaller than this part of a fair share
 ROWS_A_BIN = 10_000
 
 
@@ -67,20 +69,41 @@ class Cells:
             found.append(at)
         return at >= total, found
 
+    def heavy(self, shards: int) -> np.ndarray:
+        """Single groups above the fair share of what is left, taken from the largest on."""
+        found, left = np.zeros(len(self.size), bool), int(self.size.sum())
+        for taken, k in enumerate(np.argsort(-self.size, kind="stable")[: shards - 1].tolist()):
+            if not self.single[k] or int(self.size[k]) * (shards - taken) <= left:
+                break
+            found[k] = True
+            left -= int(self.size[k])
+        return found
+
     def even_cuts(self, capacity: int, shards: int) -> list[int]:
         """Positions where the shards but the last end: cell borders with no shard above the capacity.
 
-        Each shard ends as near to an even share of what is left as the capacity of those behind it allows.
+        A heavy group's shard ends with it. The cells up to the next heavy one are dealt evenly over as many shards as
+        their share of the light ones comes to; each cut is as near to that as the capacity of the shards behind allows.
         """
-        borders, total = np.r_[0, self.ends], int(self.ends[-1])
+        borders, total, heavy = np.r_[0, self.ends], int(self.ends[-1]), self.heavy(shards)
+        light = np.r_[0, np.cumsum(np.where(heavy, 0, self.size))]
         earliest = [total]
         for _ in range(shards - 1):
             earliest.append(int(borders[np.searchsorted(borders, max(earliest[-1] - capacity, 0))]))
         found, at = [], 0
         for left in range(shards - 1, 0, -1):
-            first = int(np.searchsorted(borders, max(earliest[left], at)))
+            here = int(np.searchsorted(borders, at))
+            if at == total:
+                break
+            if heavy[here]:
+                ideal = borders[here + 1]
+            else:
+                share = (light[-1] - light[here]) / max(left + 1 - int(heavy[here:].sum()), 1)
+                ahead = np.flatnonzero(heavy[here:])
+                stretch = int(borders[here + ahead[0]] if len(ahead) else total) - at
+                ideal = at + stretch / max(round(stretch / share), 1)
+            first = max(int(np.searchsorted(borders, max(earliest[left], at))), here + 1)
             last = int(np.searchsorted(borders, at + capacity, "right")) - 1
-            ideal = at + (total - at) / (left + 1)
             k = int(np.searchsorted(borders, ideal))
             if k > 0 and (k == len(borders) or ideal - borders[k - 1] <= borders[k] - ideal):
                 k -= 1
@@ -119,14 +142,15 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
     while True:
         cells = Cells.of(frame)
         low, high = cells.least(shards, loose=True), cells.least(shards, loose=False)
-        if low == high:
+        coarse = ~cells.single & (cells.size * shards * PARTS_OF_A_SHARE > cells.ends[-1])
+        if low == high and not coarse.any():
             ends = [end for end in cells.even_cuts(high, shards) if end < cells.ends[-1]]
             return high, [int(cells.start[np.searchsorted(cells.begins, end)]) for end in ends]
         firsts, lasts = cells.cuts(low, shards, loose=False)[1], cells.cuts(high, shards, loose=True)[1]
         open_ = np.zeros(len(cells.start), bool)
         for first, last in zip(firsts + [firsts[-1] if firsts else 0] * (len(lasts) - len(firsts)), lasts):
             open_ |= (cells.begins <= last) & (cells.ends >= first)
-        chosen = np.flatnonzero(open_ & ~cells.single)[:CELLS_A_ROUND]
+        chosen = np.flatnonzero((coarse if low == high else open_) & ~cells.single)[:CELLS_A_ROUND]
         if not len(chosen):  # cells that cannot be told apart by a cut: take the widest ones next
             chosen = np.flatnonzero(~cells.single)[:CELLS_A_ROUND]
         picked = frame.sort_values("start").iloc[chosen]
@@ -137,27 +161,12 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
         frame = pd.concat([frame.sort_values("start").drop(frame.sort_values("start").index[chosen]), *finer], ignore_index=True)
 
 
-def heavy_groups(groups: DataFrame, shards: int) -> list[tuple[int, int]]:
-    """(key, bytes) of the groups above the fair share of what is left, largest first; fewer than ``shards``."""
-    left, found = groups.agg(F.sum("bytes")).first()[0] or 0, []
-    for key, size in groups.orderBy(F.desc("bytes"), "key").limit(shards).collect():
-        if len(found) == shards - 1 or size * (shards - len(found)) <= left:
-            break
-        found.append((key, size))
-        left -= size
-    return found
-
-
 def shard_rule(groups: DataFrame, shards: int) -> Column:
     """The shard of column ``key``."""
-    heavy = heavy_groups(groups, shards)
-    rest = groups.filter(~F.col("key").isin([key for key, _ in heavy])) if heavy else groups
-    _, cuts = minimax_cuts(rest, shards - len(heavy))
-    shard = F.lit(len(heavy))
+    _, cuts = minimax_cuts(groups, shards)
+    shard = F.lit(0)
     for cut in cuts:
         shard = shard + (F.col("key") >= cut).cast("int")
-    for number, (key, _) in enumerate(heavy):
-        shard = F.when(F.col("key") == key, number).otherwise(shard)
     return shard.cast("int")
 
 

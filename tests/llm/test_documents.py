@@ -145,6 +145,28 @@ def test_minimax_is_the_least_capacity(spark, seed, monkeypatch):
     assert np.bincount(shard, weights=sizes).max() == capacity and len(cuts) <= 6
 
 
+@pytest.mark.parametrize("heavy", [{150: 50_000}, {0: 9_000, 299: 90_000}, {10: 4_000, 11: 4_000, 12: 7_000, 200: 100_000}, {k: 30_000 for k in range(100, 108)}])
+def test_heavy_groups_stay_in_their_places(spark, heavy, monkeypatch):
+    """Shards are stretches of the key order, none above the least capacity, the light ones near equal."""
+    monkeypatch.setattr(sharding, "FIRST_BITS", 3)
+    rng = np.random.default_rng(len(heavy))
+    keys = np.sort(rng.choice(1 << 62, 300, replace=False)) * 2
+    sizes = rng.integers(20, 40, 300)
+    for place, size in heavy.items():
+        sizes[place] = size
+    groups = spark.createDataFrame([(int(k), int(s)) for k, s in zip(keys, sizes)], "key long, bytes long")
+    rows = groups.withColumn("shard", sharding.shard_rule(groups, 20)).orderBy("key").collect()
+    shards = [r.shard for r in rows]
+    assert shards == sorted(shards) and set(shards) == set(range(20))
+    filled = Counter()
+    for r in rows:
+        filled[r.shard] += r["bytes"]
+    assert max(filled.values()) == brute.least_capacity(sizes.tolist(), 20)
+    held = {shards[place] for place in heavy}
+    light = [size for shard, size in filled.items() if shard not in held]
+    assert len(light) >= 20 - len(heavy) - 1 and max(light) <= 2 * min(light)
+
+
 def test_shards_with_a_hot_group(spark):
     docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 200, F.lit("x" * 500)).otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"))
     texts = {r.doc_id: r.text for r in docs.collect()}
