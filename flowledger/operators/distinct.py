@@ -42,7 +42,8 @@ def bitmaps(members: DataFrame) -> DataFrame:
 
 
 def seen_members(members: DataFrame, rollup: Rollup) -> DataFrame:
-    return texts(members).select("day", kind_of(rollup).alias("kind"), "member").distinct()
+    """(day, kind, member) of the rows of text, as often as they are there."""
+    return texts(members).select("day", kind_of(rollup).alias("kind"), "member")
 
 
 def extended(dictionary: DataFrame, seen: DataFrame) -> DataFrame:
@@ -74,32 +75,39 @@ def _listed(measures: DataFrame, rollup: Rollup) -> DataFrame:
     return measures.select(*rollup.group_keys, F.inline(lists)).select(*rollup.group_keys, "measure", F.explode("numbers").alias("number"))
 
 
-def numbers(measures: DataFrame, members: DataFrame, dictionary: DataFrame, rollup: Rollup) -> DataFrame:
-    """All distinct (keys, measure, number) that are not in bitmaps already; used several times by a folding."""
-    held = _numbered(members, dictionary, rollup, "inner").select(*rollup.group_keys, "measure", "number")
-    return held.unionByName(_listed(measures, rollup)).distinct()
+def sets(measures: DataFrame, members: DataFrame, dictionary: DataFrame, rollup: Rollup) -> DataFrame:
+    """(keys, measure, stretch, numbers): all members that are not in bitmaps already, as sets of at most ``BITS`` numbers.
+
+    Rows of text are looked up as they are, and what several batches or lists have in common is dropped where the sets are
+    made, so each member is shuffled once for its number and once for its set. A busy key has a set for each stretch.
+    """
+    rows = texts(members).select(*rollup.group_keys, "measure", "member").withColumn("kind", kind_of(rollup))
+    held = rows.join(dictionary.select(*_DICTIONARY, "number"), _DICTIONARY).select(*rollup.group_keys, "measure", "number")
+    place = [*rollup.group_keys, "measure", "stretch"]
+    dealt = held.unionByName(_listed(measures, rollup)).withColumn("stretch", F.bitmap_bucket_number("number")).repartition(*place)
+    return dealt.groupBy(*place).agg(F.collect_set("number").alias("numbers"))
 
 
-def _many(sparse: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
+def _many(sets: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
     """Keys and measures with too many members for a list."""
     keys = [*rollup.group_keys, "measure"]
-    large = sparse.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FEW).drop("n")
+    large = sets.groupBy(*keys).agg(F.sum(F.size("numbers")).alias("n")).filter(F.col("n") > FEW).drop("n")
     return large.unionByName(bitmaps(members).select(*keys)).distinct()
 
 
-def folded_members(sparse: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
+def folded_members(sets: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
     """Bitmaps (keys, measure, stretch, bits) of the keys and measures that are too large for lists."""
     keys = [*rollup.group_keys, "measure"]
-    rows = sparse.join(_many(sparse, members, rollup), keys, "left_semi")
-    made = rows.groupBy(*keys, F.bitmap_bucket_number("number").alias("stretch")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+    rows = sets.join(_many(sets, members, rollup), keys, "left_semi").select(*keys, "stretch", F.explode("numbers").alias("number"))
+    made = rows.groupBy(*keys, "stretch").agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
     both = made.unionByName(bitmaps(members).select(*keys, "stretch", "bits"))
     return both.groupBy(*keys, "stretch").agg(F.bitmap_or_agg("bits").alias("bits")).withColumn("member", F.lit(None).cast("string"))
 
 
-def folded_measures(measures: DataFrame, sparse: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
+def folded_measures(measures: DataFrame, sets: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
     """Measures of equal keys put together, with the lists of their members. A list has at most ``FEW`` numbers."""
-    small = sparse.join(_many(sparse, members, rollup), [*rollup.group_keys, "measure"], "left_anti")
-    lists = [F.sort_array(F.collect_list(F.when(F.col("measure") == name, F.col("number")))).alias(list_name(name)) for name in rollup.uniques]
+    small = sets.join(_many(sets, members, rollup), [*rollup.group_keys, "measure"], "left_anti")
+    lists = [F.sort_array(F.flatten(F.collect_list(F.when(F.col("measure") == name, F.col("numbers"))))).alias(list_name(name)) for name in rollup.uniques]
     return merge_measures(measures, rollup).join(small.groupBy(*rollup.group_keys).agg(*lists), list(rollup.group_keys), "left")
 
 

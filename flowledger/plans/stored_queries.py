@@ -35,6 +35,11 @@ def _state_of(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
 
+def _dealt(events: DataFrame) -> DataFrame:
+    """The events over all cores, so that lines are not made by one task where the table is one row group."""
+    return events.select("event_id", "ts", "user_id", "event_type").repartition(events.sparkSession.sparkContext.defaultParallelism)
+
+
 def _lines_in_parts(lines: DataFrame, part: Column, folder: str) -> DataFrame:
     """A stream over the lines; nothing is in its source until :func:`_deliver` puts a part of them there.
 
@@ -58,7 +63,7 @@ def streamed_store(spark: SparkSession, sf_dir: str) -> Store:
     """All events ingested in several micro-batches, each of which has late lines for every day. All days but the last
     ones are folded before the last batch arrives, so it is late for them too; one day is folded once more. In the end all
     batches are delivered again. Built once for the same input files."""
-    events = read_events(configure(spark), sf_dir)
+    events = _dealt(read_events(configure(spark), sf_dir))
     key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, f"{sf_dir}/events.parquet"))
     if key not in _STORES:
         folder, lines, part = new_folder(spark, "store"), event_lines(events), F.col("event_id") % PARTS

@@ -21,6 +21,7 @@ Layout below one base folder:
     _log/folds/<group>/<day>/<batch_id>/<table>.<old>   a day's new parts and the parts they stand for
     _log/last_fold/<batch_id>                     the last number a folding got
     _log/checkpoints/<hash>/<first>               where the numbers of a stream begin
+    _folding/<name>                               sets of numbered members while a folding runs
 
 A batch only ever replaces its own ``batch_id`` partitions, and once committed it is never written again, so neither a
 retry nor a replay changes anything, compacted or not. Readers leave out batches that are not committed and parts that
@@ -46,7 +47,6 @@ from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.storagelevel import StorageLevel
 
 from flowledger import schema
 from flowledger.operators import curve, deliveries, distinct, newcomers, series, sketches
@@ -58,6 +58,7 @@ _PARTITIONS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.L
 _BIGINT, _STRING = T.LongType(), T.StringType()
 Parts = dict[dt.date, set[int]]  # numbers of the parts a table has, by day
 ROW_GROUP_BYTES = 32 << 20  # of folded records; small enough that filters on time skip some inside a file
+SIDE_BY_SIDE = 16  # jobs or folder operations at a time
 STREAM = 1 << 32  # numbers of one stream's batches; batches written by hand are below, foldings are negative
 
 
@@ -460,7 +461,9 @@ class Store:
         self._write(rows.sortWithinPartitions("day", "batch_id", "t"), self.series_path(unit), ["day", "batch_id"])
 
     def _side_by_side(self, jobs: list[Callable[[], None]]) -> None:
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        if not jobs:
+            return
+        with ThreadPoolExecutor(max_workers=min(len(jobs), SIDE_BY_SIDE)) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(lambda job: job()), jobs))
 
     def write_first_seen(self, records: DataFrame, batch_id: int) -> None:
@@ -711,12 +714,17 @@ class Store:
         keyed = _keyed_by_day(rollup)
         measures, members = chosen[self.measures_path(rollup)], chosen[self.members_path(rollup)]
         order = [key for key in rollup.group_keys if key != "day"]
-        sparse = distinct.numbers(measures, members, dictionary, keyed).persist(StorageLevel.MEMORY_AND_DISK)
+        staged = self.path("_folding", rollup.name)
+        made = distinct.sets(measures, members, dictionary, keyed)
+        made.write.mode("overwrite").parquet(staged)
         try:
-            self._write_folded(distinct.folded_members(sparse, members, keyed).hint("rebalance", "day"), self.members_path(rollup), numbers, order)
-            self._write_folded(distinct.folded_measures(measures, sparse, members, keyed).hint("rebalance", "day"), self.measures_path(rollup), numbers, order)
+            sets = self.spark.read.schema(made.schema).parquet(staged)
+            self._side_by_side([
+                lambda: self._write_folded(distinct.folded_members(sets, members, keyed).hint("rebalance", "day"), self.members_path(rollup), numbers, order),
+                lambda: self._write_folded(distinct.folded_measures(measures, sets, members, keyed).hint("rebalance", "day"), self.measures_path(rollup), numbers, order),
+            ])
         finally:
-            sparse.unpersist()
+            _delete(self.spark, staged)
 
     def _write_closed(self, rollup: Rollup, chosen: dict[str, DataFrame], parts: dict[str, Parts], numbers: dict[dt.date, int]) -> None:
         own = {path: {day: ids for day, ids in parts[path].items() if day in numbers} for path in parts}
@@ -740,10 +748,15 @@ class Store:
         for group in {self._group(path) for path in tables}:
             self._clean(group, days)
         unfinished = self._unfinished()
-        for path in tables:
+        cut_off = {i for i in unfinished if i < 0}
+
+        def remove(path: str) -> None:
             for day, ids in self._parts_of(path, days).items():
-                for part in ids & {i for i in unfinished if i < 0}:
+                for part in ids & cut_off:
                     _delete(self.spark, f"{path}/day={day.isoformat()}/batch_id={part}")
+
+        if cut_off:
+            self._side_by_side([lambda path=path: remove(path) for path in tables])
         frames, parts = self._read_together(tables)
         return frames, {path: {day: ids for day, ids in found.items() if day in days} for path, found in parts.items()}
 
@@ -766,25 +779,29 @@ class Store:
         number = F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), F.col("day"))
         rows = table.withColumn("batch_id", number.cast("bigint"))
         options = {"parquet.block.size": str(row_group_bytes)} if row_group_bytes else {}
-        self._write(rows.sortWithinPartitions("day", "batch_id", *order).drop(*leave_out), path, ["day", "batch_id"], options=options)
+        self._write(rows.sortWithinPartitions("day", "batch_id", *order).drop(*leave_out), path, ["day", "batch_id"], "overwrite", options)
 
     def _publish(self, tables: Iterable[str], parts: dict[str, Parts], numbers: dict[dt.date, int], keep_replaced: bool) -> None:
         """Puts the new parts of each day in the place of the old ones of all tables, with one rename a day."""
         group = self._group(next(iter(tables)))
-        for day, new in numbers.items():
-            pending = self.path("_log", "pending", group, day.isoformat())
+
+        def publish(day: dt.date) -> None:
+            pending, new = self.path("_log", "pending", group, day.isoformat()), numbers[day]
             _delete(self.spark, pending)
             _make_folder(self.spark, f"{pending}/{new}")
             for path in tables:
                 for part in parts[path].get(day, ()):
                     _make_folder(self.spark, f"{pending}/{new}/{self._table(path)}.{part}")
             _rename(self.spark, pending, f"{self._folds_path(group)}/{day.isoformat()}")
+
+        self._side_by_side([lambda day=day: publish(day) for day in numbers])
         if not keep_replaced:
             self._clean(group, numbers)
 
     def _clean(self, group: str, days: Iterable[dt.date]) -> None:
         """Finishes published foldings: removes the parts they stand for, then their entries in the log."""
-        for day in days:
+
+        def finish(day: dt.date) -> None:
             entry = f"{self._folds_path(group)}/{day.isoformat()}"
             for new in _child_folders(self.spark, entry):
                 for name in _child_folders(self.spark, f"{entry}/{new}"):
@@ -793,6 +810,8 @@ class Store:
                 _delete(self.spark, self.path("_log", "started", new))
             _delete(self.spark, entry)
 
+        self._side_by_side([lambda day=day: finish(day) for day in days])
+
 
 def _listed(days: dt.date | Iterable[dt.date]) -> list[dt.date]:
     return [days] if isinstance(days, dt.date) else sorted(set(days))

@@ -17,14 +17,14 @@ def write_batch(
     """Parses one batch once, writes it to all tables and commits it; a batch that is stored already is left alone.
 
     The parsed batch is kept on the executors while its outputs are written. Lost blocks are recomputed from the
-    source, whose lines and load times do not change. ``min_partitions`` deals the lines over so many tasks, for
-    sources that come in a few large pieces. Of lines with a position in a topic (topic, partition, offset) those stay
+    source, whose lines and load times do not change. ``min_partitions`` deals the lines over so many tasks, or as
+    many as there are cores, for sources that come in a few large pieces. Of lines with a position in a topic (topic, partition, offset) those stay
     out that were delivered before.
     """
     if not store.begin(batch_id):
         return
     lines = store.new_deliveries(lines, batch_id)
-    dealt = lines.repartition(min_partitions) if min_partitions else lines
+    dealt = lines.repartition(max(min_partitions, store.spark.sparkContext.defaultParallelism)) if min_partitions else lines
     parsed = parse_lines(dealt, status_mode, strip_header).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records, late = store.make_room(records_in(parsed))

@@ -312,3 +312,30 @@ def test_clocks_ahead_of_time_are_counted_apart(spark):
 def test_topic_reader_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic(spark, "broker:9092", topic="sessions")
+
+
+def test_a_batch_is_dealt_over_all_cores(spark, lines, tmp_path, monkeypatch):
+    from flowledger.streaming import ingest as module
+
+    parse, dealt = module.parse_lines, []
+    monkeypatch.setattr(module, "parse_lines", lambda rows, *rest: dealt.append(rows.rdd.getNumPartitions()) or parse(rows, *rest))
+    write_batch(Store(spark, str(tmp_path)), lines.limit(20), 0, min_partitions=1)
+    assert dealt == [spark.sparkContext.defaultParallelism]
+
+
+def test_a_folding_runs_as_many_tasks_as_its_rows_need(spark, lines, tmp_path):
+    store, context, before = Store(spark, str(tmp_path)), spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+    for number, half in enumerate(halves(lines)):
+        write_batch(store, half, number)
+    days, tracker = [dt.date.fromisoformat(day) for day in DAYS], context.statusTracker()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "48")
+        context.setJobGroup("folding", "folding")
+        store._fold_rollups(days)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("folding") for s in tracker.getJobInfo(job).stageIds]
+    # two stages only deal members to their slices, for the numbers of the dictionary
+    assert len([s for s in stages if s and s.numCompletedTasks >= 48]) <= 2, [(s.name, s.numTasks) for s in stages if s]
+    same_as_batch(store, lines)
