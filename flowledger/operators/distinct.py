@@ -75,16 +75,42 @@ def _listed(measures: DataFrame, rollup: Rollup) -> DataFrame:
     return measures.select(*rollup.group_keys, F.inline(lists)).select(*rollup.group_keys, "measure", F.explode("numbers").alias("number"))
 
 
-def sets(measures: DataFrame, members: DataFrame, dictionary: DataFrame, rollup: Rollup) -> DataFrame:
-    """(keys, measure, stretch, numbers): all members that are not in bitmaps already, as sets of at most ``BITS`` numbers.
+def _place(rollup: Rollup) -> Column:
+    """A number for a key and measure. Several may share one, so it tells rows apart only where that does no harm."""
+    return F.xxhash64(*rollup.group_keys, "measure").alias("place")
+
+
+def crowded(measures: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
+    """(place) of the keys and measures that may have too many members for a list: every row of text and every number
+    of a list counts, whether it comes again or not, and those with bitmaps are among them.
+
+    Only numbers are shuffled, added up before, so a busy key sends one row a task.
+    """
+    lists = F.array(*[F.struct(F.lit(name).alias("measure"), F.size(list_name(name)).alias("n")) for name in rollup.uniques])
+    listed = measures.select(*rollup.group_keys, F.inline(lists)).filter("n > 0").select(_place(rollup), "n")
+    rows = texts(members).select(_place(rollup), F.lit(1).alias("n")).unionByName(listed)
+    rows = rows.unionByName(bitmaps(members).select(_place(rollup), F.lit(FEW + 1).alias("n")))
+    return rows.groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") > FEW).select("place")
+
+
+def _held(measures: DataFrame, members: DataFrame, dictionary: DataFrame, places: DataFrame, how: str, rollup: Rollup) -> DataFrame:
+    """(keys, measure, number) of the members in rows of text and in lists, of some places only or without these."""
+    rows = texts(members).select(*rollup.group_keys, "measure", "member", _place(rollup)).join(places, "place", how)
+    numbered = rows.withColumn("kind", kind_of(rollup)).join(dictionary.select(*_DICTIONARY, "number"), _DICTIONARY)
+    listed = _listed(measures, rollup).withColumn("place", _place(rollup)).join(places, "place", how)
+    return numbered.select(*rollup.group_keys, "measure", "number").unionByName(listed.drop("place"))
+
+
+def sets(measures: DataFrame, members: DataFrame, dictionary: DataFrame, places: DataFrame, rollup: Rollup) -> DataFrame:
+    """(keys, measure, stretch, numbers): the members at crowded places that are not in bitmaps already, as sets of at most
+    ``BITS`` numbers.
 
     Rows of text are looked up as they are, and what several batches or lists have in common is dropped where the sets are
     made, so each member is shuffled once for its number and once for its set. A busy key has a set for each stretch.
     """
-    rows = texts(members).select(*rollup.group_keys, "measure", "member").withColumn("kind", kind_of(rollup))
-    held = rows.join(dictionary.select(*_DICTIONARY, "number"), _DICTIONARY).select(*rollup.group_keys, "measure", "number")
+    held = _held(measures, members, dictionary, places, "left_semi", rollup)
     place = [*rollup.group_keys, "measure", "stretch"]
-    dealt = held.unionByName(_listed(measures, rollup)).withColumn("stretch", F.bitmap_bucket_number("number")).repartition(*place)
+    dealt = held.withColumn("stretch", F.bitmap_bucket_number("number")).repartition(*place)
     return dealt.groupBy(*place).agg(F.collect_set("number").alias("numbers"))
 
 
@@ -104,11 +130,16 @@ def folded_members(sets: DataFrame, members: DataFrame, rollup: Rollup) -> DataF
     return both.groupBy(*keys, "stretch").agg(F.bitmap_or_agg("bits").alias("bits")).withColumn("member", F.lit(None).cast("string"))
 
 
-def folded_measures(measures: DataFrame, sets: DataFrame, members: DataFrame, rollup: Rollup) -> DataFrame:
-    """Measures of equal keys put together, with the lists of their members. A list has at most ``FEW`` numbers."""
-    small = sets.join(_many(sets, members, rollup), [*rollup.group_keys, "measure"], "left_anti")
-    lists = [F.sort_array(F.flatten(F.collect_list(F.when(F.col("measure") == name, F.col("numbers"))))).alias(list_name(name)) for name in rollup.uniques]
-    return merge_measures(measures, rollup).join(small.groupBy(*rollup.group_keys).agg(*lists), list(rollup.group_keys), "left")
+def folded_measures(measures: DataFrame, sets: DataFrame, members: DataFrame, dictionary: DataFrame, places: DataFrame, rollup: Rollup) -> DataFrame:
+    """Measures of equal keys put together, with the lists of their members. A list has at most ``FEW`` numbers.
+
+    Members away from crowded places go straight to their key's lists; of the sets those follow that turned out small.
+    """
+    keys = [*rollup.group_keys, "measure"]
+    small = sets.join(_many(sets, members, rollup), keys, "left_anti").select(*keys, F.explode("numbers").alias("number"))
+    rows = _held(measures, members, dictionary, places, "left_anti", rollup).unionByName(small).repartition(*rollup.group_keys)
+    lists = [F.sort_array(F.collect_set(F.when(F.col("measure") == name, F.col("number")))).alias(list_name(name)) for name in rollup.uniques]
+    return merge_measures(measures, rollup).join(rows.groupBy(*rollup.group_keys).agg(*lists), list(rollup.group_keys), "left")
 
 
 def _new_rows(measures: DataFrame, members: DataFrame, dictionary: DataFrame, rollup: Rollup) -> DataFrame:

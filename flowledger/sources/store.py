@@ -21,7 +21,7 @@ Layout below one base folder:
     _log/folds/<group>/<day>/<batch_id>/<table>.<old>   a day's new parts and the parts they stand for
     _log/last_fold/<batch_id>                     the last number a folding got
     _log/checkpoints/<hash>/<first>               where the numbers of a stream begin
-    _folding/<name>                               sets of numbered members while a folding runs
+    _folding/<name>                               what a folding puts aside while it runs: crowded places, their sets
 
 A batch only ever replaces its own ``batch_id`` partitions, and once committed it is never written again, so neither a
 retry nor a replay changes anything, compacted or not. Readers leave out batches that are not committed and parts that
@@ -447,7 +447,7 @@ class Store:
         if self.sketched:
             per_day = sketches.days_of(records).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             jobs.append(lambda: self._write(per_day, self.day_sketches_path, ["day", "batch_id"]))
-        jobs += [lambda unit=unit, part=part: self._write_series(part, unit, batch_id) for unit, part in series.all_series(records).items()]
+        jobs.append(lambda: self._write_all_series(records, batch_id))
         self._side_by_side(jobs)
 
     def _parts_from(self, records: DataFrame, rollup: Rollup) -> dict[str, DataFrame]:
@@ -456,6 +456,15 @@ class Store:
             return {self.measures_path(rollup): sketches.sketched_part(records, rollup)}
         return {self.measures_path(rollup): measures_part(records, rollup), self.members_path(rollup): members_part(records, rollup)}
 
+    def _write_all_series(self, records: DataFrame, batch_id: int) -> None:
+        """Each series from the finer one as just written, so records are read and added up by second once."""
+        finer = series.as_series(records)
+        for unit in series.UNITS:
+            self._write_series(series.added_up(finer, unit), unit, batch_id)
+            if not _exists(self.spark, self.series_path(unit)):  # a batch without records
+                return
+            finer = self.spark.read.schema(_SERIES_SCHEMA).parquet(self.series_path(unit)).filter(F.col("batch_id") == batch_id)
+
     def _write_series(self, part: DataFrame, unit: str, batch_id: int) -> None:
         rows = part.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", "day")
         self._write(rows.sortWithinPartitions("day", "batch_id", "t"), self.series_path(unit), ["day", "batch_id"])
@@ -715,17 +724,22 @@ class Store:
         measures, members = chosen[self.measures_path(rollup)], chosen[self.members_path(rollup)]
         order = [key for key in rollup.group_keys if key != "day"]
         staged = self.path("_folding", rollup.name)
-        made = distinct.sets(measures, members, dictionary, keyed)
-        made.write.mode("overwrite").parquet(staged)
         try:
-            sets = self.spark.read.schema(made.schema).parquet(staged)
+            places = self._staged(distinct.crowded(measures, members, keyed), f"{staged}/places")
+            sets = self._staged(distinct.sets(measures, members, dictionary, places, keyed), f"{staged}/sets")
+            bitmaps = distinct.folded_members(sets, members, keyed)
+            lists = distinct.folded_measures(measures, sets, members, dictionary, places, keyed)
             self._side_by_side([
-                lambda: self._write_folded(distinct.folded_members(sets, members, keyed).hint("rebalance", "day"), self.members_path(rollup), numbers, order),
-                lambda: self._write_folded(distinct.folded_measures(measures, sets, members, keyed).hint("rebalance", "day"), self.measures_path(rollup), numbers, order),
+                lambda: self._write_folded(bitmaps.hint("rebalance", "day"), self.members_path(rollup), numbers, order),
+                lambda: self._write_folded(lists.hint("rebalance", "day"), self.measures_path(rollup), numbers, order),
             ])
         finally:
             _delete(self.spark, staged)
 
+    def _staged(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def _write_closed(self, rollup: Rollup, chosen: dict[str, DataFrame], parts: dict[str, Parts], numbers: dict[dt.date, int]) -> None:
         own = {path: {day: ids for day, ids in parts[path].items() if day in numbers} for path in parts}
         rows = self._merged(rollup, chosen, own).select(*[f.name for f in _closed_schema(rollup).fields if f.name != "batch_id"])

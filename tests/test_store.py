@@ -339,3 +339,33 @@ def test_a_folding_runs_as_many_tasks_as_its_rows_need(spark, lines, tmp_path):
     # two stages only deal members to their slices, for the numbers of the dictionary
     assert len([s for s in stages if s and s.numCompletedTasks >= 48]) <= 2, [(s.name, s.numTasks) for s in stages if s]
     same_as_batch(store, lines)
+
+
+def test_a_folding_makes_sets_of_crowded_keys_only(spark, lines, tmp_path, monkeypatch):
+    from flowledger.operators import distinct
+
+    store, make, made = Store(spark, str(tmp_path)), distinct.sets, []
+    for number, half in enumerate(halves(lines)):
+        write_batch(store, half, number)
+    monkeypatch.setattr(distinct, "sets", lambda *rest: made.append(make(*rest)) or made[-1].persist())
+    store._fold_rollups([dt.date.fromisoformat(day) for day in DAYS])
+    assert len(made) == 5 and sum(rows.count() for rows in made) == 0  # no key has more members than a list takes
+    for rows in made:
+        rows.unpersist()
+    same_as_batch(store, lines)
+
+
+def test_a_batch_makes_each_series_from_the_finer_one(spark, lines, tmp_path, monkeypatch):
+    read, write = {}, Store._write_series
+
+    def write_series(self, part, unit, batch_id):
+        read[unit] = {file.split("/")[-4] for file in part.inputFiles()}
+        write(self, part, unit, batch_id)
+
+    monkeypatch.setattr(Store, "_write_series", write_series)
+    store = Store(spark, str(tmp_path))
+    for number, half in enumerate(halves(lines)):
+        write_batch(store, half, number)
+    assert read["minute"] == read["hour"] == {"series"}
+    for unit in ("second", "minute", "hour"):
+        assert store.series(unit).agg({"session_count": "sum"}).first()[0] == store.records().count()
