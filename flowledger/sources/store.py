@@ -433,22 +433,29 @@ class Store:
         balanced = placed.hint("rebalance", "day").sortWithinPartitions("day", "batch_id", *keys)
         self._write(balanced, path, ["day", "batch_id"])
 
+    def write_outputs(self, records: DataFrame, batch_id: int) -> None:
+        """Writes what a batch's records add to all tables: records, first days, rollups and series.
+
+        The outputs are independent jobs over the same rows and run side by side, so none waits for the last tasks of
+        another; those of several steps begin first.
+        """
+        jobs = [lambda: self.write_first_seen(records, batch_id), lambda: self.write_records(records, batch_id)]
+        self._side_by_side(jobs + self._rollup_jobs(records, batch_id))
+
     def write_rollup_parts(self, records: DataFrame, batch_id: int) -> None:
         """Adds the batch's share to all five rollups and the series; the work grows with the batch, not with the stored
-        day.
+        day."""
+        self._side_by_side(self._rollup_jobs(records, batch_id))
 
-        The parts are independent jobs over the same rows and run side by side, so none waits for the last tasks
-        of another.
-        """
-        jobs = []
+    def _rollup_jobs(self, records: DataFrame, batch_id: int) -> list[Callable[[], None]]:
+        jobs = [lambda: self._write_all_series(records, batch_id)]
         for rollup in ROLLUPS.values():
-            jobs += [(part, rollup, path, batch_id) for path, part in self._parts_from(records, rollup).items()]
-        jobs = [lambda job=job: self._write_part(*job) for job in jobs]
+            parts = self._parts_from(records, rollup)
+            jobs += [lambda part=part, rollup=rollup, path=path: self._write_part(part, rollup, path, batch_id) for path, part in parts.items()]
         if self.sketched:
             per_day = sketches.days_of(records).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             jobs.append(lambda: self._write(per_day, self.day_sketches_path, ["day", "batch_id"]))
-        jobs.append(lambda: self._write_all_series(records, batch_id))
-        self._side_by_side(jobs)
+        return jobs
 
     def _parts_from(self, records: DataFrame, rollup: Rollup) -> dict[str, DataFrame]:
         """What records add to the tables of a rollup, by path."""
@@ -610,9 +617,9 @@ class Store:
         run removes. ``keep_replaced`` leaves them to the next run too, for readers that planned their scan before.
         """
         days = _listed(days)
-        self._fold_records(days, keep_replaced)
-        self._fold_rollups(days, keep_replaced=keep_replaced)
-        self._fold_first_seen(days, keep_replaced)
+        # all are listed and numbered before the first one writes; then none waits for another
+        foldings = [self._records_folding(days, keep_replaced), self._rollups_folding(days, keep_replaced=keep_replaced), self._first_seen_folding(days, keep_replaced)]
+        self._side_by_side([folding for folding in foldings if folding])
 
     def rebuild_rollups(self, days: dt.date | Iterable[dt.date], fewer: bool = False) -> None:
         """Recomputes the rollups of whole days from their records, for backfills and repairs.
@@ -630,29 +637,47 @@ class Store:
             raise ValueError(f"rollups of days without all their records cannot be rebuilt ({told})")
         self._fold_rollups(days, from_records=True)
 
+    # A folding is listed and numbered at once; what is returned writes and publishes it, None if there is nothing to do.
+
     def _fold_records(self, days: list[dt.date], keep_replaced: bool) -> None:
+        if folding := self._records_folding(days, keep_replaced):
+            folding()
+
+    def _records_folding(self, days: list[dt.date], keep_replaced: bool) -> Callable[[], None] | None:
         tables = {self.records_path: _RECORDS_SCHEMA}
         frames, parts = self._prepared(tables, days)
         work = {day: ids for day, ids in parts[self.records_path].items() if len(ids) > 1 or min(ids) >= 0}
         if not work:
-            return
+            return None
         numbers = self._begin_folds(work)
-        time_of_day = F.pmod(F.unix_seconds("timestamp"), F.lit(24 * 3600))
-        rows = curve.with_curve(_chosen(frames[self.records_path], work), F.col("subscriber_id"), time_of_day)
-        order = ["curve", "subscriber_id", "timestamp"]
-        self._write_folded(rows.repartitionByRange("day", *order), self.records_path, numbers, order, leave_out=["curve"], row_group_bytes=ROW_GROUP_BYTES)
-        self._publish(tables, parts, numbers, keep_replaced)
+
+        def fold() -> None:
+            time_of_day = F.pmod(F.unix_seconds("timestamp"), F.lit(24 * 3600))
+            rows = curve.with_curve(_chosen(frames[self.records_path], work), F.col("subscriber_id"), time_of_day)
+            order = ["curve", "subscriber_id", "timestamp"]
+            self._write_folded(rows.repartitionByRange("day", *order), self.records_path, numbers, order, leave_out=["curve"], row_group_bytes=ROW_GROUP_BYTES)
+            self._publish(tables, parts, numbers, keep_replaced)
+
+        return fold
 
     def _fold_first_seen(self, days: list[dt.date], keep_replaced: bool) -> None:
+        if folding := self._first_seen_folding(days, keep_replaced):
+            folding()
+
+    def _first_seen_folding(self, days: list[dt.date], keep_replaced: bool) -> Callable[[], None] | None:
         tables = {self.first_seen_path: _FIRST_SEEN_SCHEMA}
         frames, parts = self._prepared(tables, days)
         work = {day: ids for day, ids in parts[self.first_seen_path].items() if len(ids) > 1 or min(ids) >= 0}
         if not work:
-            return
+            return None
         numbers = self._begin_folds(work)
-        rows = newcomers.added_up(_chosen(frames[self.first_seen_path], work)).hint("rebalance", "day")
-        self._write_folded(rows, self.first_seen_path, numbers, ["subscriber_id"])
-        self._publish(tables, parts, numbers, keep_replaced)
+
+        def fold() -> None:
+            rows = newcomers.added_up(_chosen(frames[self.first_seen_path], work)).hint("rebalance", "day")
+            self._write_folded(rows, self.first_seen_path, numbers, ["subscriber_id"])
+            self._publish(tables, parts, numbers, keep_replaced)
+
+        return fold
 
     def rebuild_first_seen(self) -> None:
         """Makes the first days anew, as the subscriber rollup kept now has them. Days change one after the other; no batch
@@ -670,6 +695,10 @@ class Store:
         self._publish(tables, parts, numbers, keep_replaced=False)
 
     def _fold_rollups(self, days: list[dt.date], from_records: bool = False, closed: bool = False, keep_replaced: bool = False) -> None:
+        if folding := self._rollups_folding(days, from_records, closed, keep_replaced):
+            folding()
+
+    def _rollups_folding(self, days: list[dt.date], from_records: bool = False, closed: bool = False, keep_replaced: bool = False) -> Callable[[], None] | None:
         """New parts of whole days for all rollups: folded from the visible parts or from the records, or closed."""
         tables = self._rollup_tables()
         frames, parts = self._prepared(tables | ({self.records_path: _RECORDS_SCHEMA} if from_records else {}), days)
@@ -683,35 +712,42 @@ class Store:
             open_days = {day for path in tables for day, ids in parts[path].items() if len(ids) > 1 or min(ids) >= 0}
             work = open_days - is_closed
         if not work:
-            return
+            return None
         numbers = self._begin_folds(work)
-        chosen = {path: _chosen(frame, {day: ids for day, ids in parts[path].items() if day in work}) for path, frame in frames.items()}
-        if from_records:
-            records = chosen[self.records_path].drop("day", "batch_id", "yyyymm")
-            for rollup in ROLLUPS.values():
-                for path, part in self._parts_from(records, rollup).items():
-                    chosen[path] = _padded(part.withColumn("day", _day_of(rollup)), tables[path])
-        if closed:
-            jobs = [lambda r=rollup: self._write_closed(r, chosen, parts, numbers) for rollup in ROLLUPS.values()]
-        elif self.sketched:
-            jobs = [lambda r=rollup: self._write_united(r, chosen, numbers) for rollup in ROLLUPS.values()]
-        else:
+
+        def fold() -> None:
+            chosen = {path: _chosen(frame, {day: ids for day, ids in parts[path].items() if day in work}) for path, frame in frames.items()}
             if from_records:
-                chosen[self.dictionary_path] = chosen[self.dictionary_path].limit(0)
-            dictionary = self._write_dictionary(chosen, numbers)
-            jobs = [lambda r=rollup: self._write_folded_rollup(r, chosen, dictionary, numbers) for rollup in ROLLUPS.values()]
-        made = series.all_series(records) if from_records else {unit: series.added_up(chosen[self.series_path(unit)], unit) for unit in series.UNITS}
-        jobs += [lambda unit=unit, rows=rows: self._write_folded(rows.hint("rebalance", "day"), self.series_path(unit), numbers, ["t"]) for unit, rows in made.items()]
-        if self.sketched:
-            per_day = sketches.days_of(records) if from_records else sketches.united_days(chosen[self.day_sketches_path])
-            jobs.append(lambda: self._write_folded(per_day, self.day_sketches_path, numbers, []))
-        self._side_by_side(jobs)
-        self._publish(tables, parts, numbers, keep_replaced)
+                records = chosen[self.records_path].drop("day", "batch_id", "yyyymm")
+                for rollup in ROLLUPS.values():
+                    for path, part in self._parts_from(records, rollup).items():
+                        chosen[path] = _padded(part.withColumn("day", _day_of(rollup)), tables[path])
+            if closed:
+                jobs = [lambda r=rollup: self._write_closed(r, chosen, parts, numbers) for rollup in ROLLUPS.values()]
+            elif self.sketched:
+                jobs = [lambda r=rollup: self._write_united(r, chosen, numbers) for rollup in ROLLUPS.values()]
+            else:
+                if from_records:
+                    chosen[self.dictionary_path] = chosen[self.dictionary_path].limit(0)
+                jobs = [lambda: self._write_numbered(chosen, numbers)]
+            made = series.all_series(records) if from_records else {unit: series.added_up(chosen[self.series_path(unit)], unit) for unit in series.UNITS}
+            jobs += [lambda unit=unit, rows=rows: self._write_folded(rows.hint("rebalance", "day"), self.series_path(unit), numbers, ["t"]) for unit, rows in made.items()]
+            if self.sketched:
+                per_day = sketches.days_of(records) if from_records else sketches.united_days(chosen[self.day_sketches_path])
+                jobs.append(lambda: self._write_folded(per_day, self.day_sketches_path, numbers, []))
+            self._side_by_side(jobs)
+            self._publish(tables, parts, numbers, keep_replaced)
+
+        return fold
 
     def _write_united(self, rollup: Rollup, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> None:
         rows = sketches.merge_sketched(chosen[self.measures_path(rollup)], _keyed_by_day(rollup))
         self._write_folded(rows.hint("rebalance", "day"), self.measures_path(rollup), numbers, [key for key in rollup.group_keys if key != "day"])
 
+    def _write_numbered(self, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> None:
+        dictionary = self._write_dictionary(chosen, numbers)
+        self._side_by_side([lambda r=rollup: self._write_folded_rollup(r, chosen, dictionary, numbers) for rollup in ROLLUPS.values()])
+
     def _write_dictionary(self, chosen: dict[str, DataFrame], numbers: dict[dt.date, int]) -> DataFrame:
         """Numbers all members of the days; the dictionary as written."""
         seen = [distinct.seen_members(chosen[self.members_path(r)], r) for r in ROLLUPS.values()]

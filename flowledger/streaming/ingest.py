@@ -16,8 +16,8 @@ def write_batch(
 ) -> None:
     """Parses one batch once, writes it to all tables and commits it; a batch that is stored already is left alone.
 
-    The parsed batch is kept on the executors while its outputs are written. Lost blocks are recomputed from the
-    source, whose lines and load times do not change. ``min_partitions`` deals the lines over so many tasks, or as
+    The parsed batch is made first and kept on the executors while its outputs are written, side by side. Lost blocks are
+    recomputed from the source, whose lines and load times do not change. ``min_partitions`` deals the lines over so many tasks, or as
     many as there are cores, for sources that come in a few large pieces. Of lines with a position in a topic (topic, partition, offset) those stay
     out that were delivered before.
     """
@@ -28,12 +28,11 @@ def write_batch(
     parsed = parse_lines(dealt, status_mode, strip_header).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records, late = store.make_room(records_in(parsed))
-        store.write_records(records, batch_id)
-        store.write_rollup_parts(records, batch_id)
+        parsed.count()  # outputs that began before it is kept would each parse the lines
+        store.write_outputs(records, batch_id)
         if late is not None:
             store.write_late(late, batch_id)
         store.write_quarantine(quarantine_in(parsed), batch_id)
-        store.write_first_seen(records, batch_id)
         store.commit(batch_id)
         store.settle()  # for days that were closed while the batch was written
     finally:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -367,3 +368,28 @@ def test_a_batch_makes_each_series_from_the_finer_one(spark, lines, tmp_path, mo
     assert read["minute"] == read["hour"] == {"series"}
     for unit in ("second", "minute", "hour"):
         assert store.series(unit).agg({"session_count": "sum"}).first()[0] == store.records().count()
+
+
+def meeting(monkeypatch, *names):
+    """Lets the named steps of a store begin only once all of them have begun."""
+    together = threading.Barrier(len(names), timeout=120)
+    for name in names:
+        own = getattr(Store, name)
+        monkeypatch.setattr(Store, name, lambda self, *rest, own=own: together.wait() >= 0 and own(self, *rest))
+
+
+def test_the_outputs_of_a_batch_do_not_wait_for_each_other(spark, lines, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    meeting(monkeypatch, "write_first_seen", "write_records", "_write_all_series")
+    write_batch(store, lines, 0)
+    same_as_batch(store, lines)
+
+
+def test_the_foldings_of_a_day_do_not_wait_for_each_other(spark, lines, tmp_path, monkeypatch):
+    store, publish, together = Store(spark, str(tmp_path)), Store._publish, threading.Barrier(3, timeout=120)
+    for number, half in enumerate(halves(lines)):
+        write_batch(store, half, number)
+
+    monkeypatch.setattr(Store, "_publish", lambda self, *rest: together.wait() >= 0 and publish(self, *rest))
+    store.compact([dt.date.fromisoformat(day) for day in DAYS])
+    same_as_batch(store, lines)
