@@ -617,9 +617,10 @@ class Store:
         run removes. ``keep_replaced`` leaves them to the next run too, for readers that planned their scan before.
         """
         days = _listed(days)
-        # all are listed and numbered before the first one writes; then none waits for another
-        foldings = [self._records_folding(days, keep_replaced), self._rollups_folding(days, keep_replaced=keep_replaced), self._first_seen_folding(days, keep_replaced)]
+        # both are listed and numbered before the first one writes; then none waits for the other
+        foldings = [self._records_folding(days, keep_replaced), self._rollups_folding(days, keep_replaced=keep_replaced)]
         self._side_by_side([folding for folding in foldings if folding])
+        self._fold_first_seen(days, keep_replaced)  # alone: a batch that arrives meanwhile reads them
 
     def rebuild_rollups(self, days: dt.date | Iterable[dt.date], fewer: bool = False) -> None:
         """Recomputes the rollups of whole days from their records, for backfills and repairs.
@@ -637,7 +638,8 @@ class Store:
             raise ValueError(f"rollups of days without all their records cannot be rebuilt ({told})")
         self._fold_rollups(days, from_records=True)
 
-    # A folding is listed and numbered at once; what is returned writes and publishes it, None if there is nothing to do.
+    # Of a folding of records or rollups, listed and numbered at once, what is returned writes and publishes it; None if there
+    # is nothing to do.
 
     def _fold_records(self, days: list[dt.date], keep_replaced: bool) -> None:
         if folding := self._records_folding(days, keep_replaced):
@@ -661,23 +663,15 @@ class Store:
         return fold
 
     def _fold_first_seen(self, days: list[dt.date], keep_replaced: bool) -> None:
-        if folding := self._first_seen_folding(days, keep_replaced):
-            folding()
-
-    def _first_seen_folding(self, days: list[dt.date], keep_replaced: bool) -> Callable[[], None] | None:
         tables = {self.first_seen_path: _FIRST_SEEN_SCHEMA}
         frames, parts = self._prepared(tables, days)
         work = {day: ids for day, ids in parts[self.first_seen_path].items() if len(ids) > 1 or min(ids) >= 0}
         if not work:
-            return None
+            return
         numbers = self._begin_folds(work)
-
-        def fold() -> None:
-            rows = newcomers.added_up(_chosen(frames[self.first_seen_path], work)).hint("rebalance", "day")
-            self._write_folded(rows, self.first_seen_path, numbers, ["subscriber_id"])
-            self._publish(tables, parts, numbers, keep_replaced)
-
-        return fold
+        rows = newcomers.added_up(_chosen(frames[self.first_seen_path], work)).hint("rebalance", "day")
+        self._write_folded(rows, self.first_seen_path, numbers, ["subscriber_id"])
+        self._publish(tables, parts, numbers, keep_replaced)
 
     def rebuild_first_seen(self) -> None:
         """Makes the first days anew, as the subscriber rollup kept now has them. Days change one after the other; no batch
