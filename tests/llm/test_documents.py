@@ -498,6 +498,57 @@ def test_shared_probabilities_add_up_to_one(spark):
     assert sums and all(0 < r.p <= 1 + 1e-9 for r in sums)
 
 
+def plain_log_ratios(words):
+    """log P(toxic) / P(ordinary) of every n-gram and, unseen, of every context, from (word, toxic, ordinary)."""
+    counts, discount = {}, toxicity.DISCOUNT
+    for word, *both in words:
+        padded = "^^^^" + word + "$"
+        for at in range(len(word) + 1):
+            held = counts.setdefault(padded[at : at + 5], [0, 0])
+            counts[padded[at : at + 5]] = [a + b for a, b in zip(held, both)]
+
+    def after(grams, context):
+        return {gram: n for gram, n in grams.items() if gram[:-1] == context}
+
+    def shared(grams, gram):
+        own = after(grams, gram[:-1])
+        if len(gram) == 1:
+            return grams[gram] / sum(grams.values())
+        return max(grams[gram] - discount, 0) / sum(own.values()) + discount * len(own) / sum(own.values()) * shared(lower(grams), gram[1:])
+
+    def lower(grams):
+        rests = {gram[1:] for gram in grams}
+        return {rest: sum(n if rest[0] == "^" else 1 for gram, n in grams.items() if gram[1:] == rest) for rest in rests}
+
+    def parts(context, k):
+        own = [both[k] for both in after(counts, context).values() if both[k]]
+        return (sum(own), discount * len(own) / sum(own)) if own else (0, 1.0)
+
+    four, ratios = lower({gram: sum(both) for gram, both in counts.items()}), {}
+    for gram, both in counts.items():
+        (toxic, left), (ordinary, right) = parts(gram[:-1], 0), parts(gram[:-1], 1)
+        chance = [max(n - discount, 0) / total if total else 0 for n, total in ((both[0], toxic), (both[1], ordinary))]
+        ratios[gram] = np.log((chance[0] + left * shared(four, gram[1:])) / (chance[1] + right * shared(four, gram[1:])))
+        ratios[gram[:-1]] = np.log(left / right)
+    return ratios
+
+
+def test_op10_counts_every_n_gram_and_every_context(spark):
+    rows = [("ab", 3, 1), ("abc", 0, 2), ("ba", 1, 0), ("cab", 2, 5)]
+    expected = plain_log_ratios(rows)
+    found = toxicity.log_ratios(spark.createDataFrame(rows, "word string, toxic long, ordinary long")).cache()
+    assert {r.gram: r.ratio for r in found.collect()} == pytest.approx(expected)
+    of_word = []
+    for word in ("ab", "abx", "zz", "cab"):
+        padded = "^^^^" + word + "$"
+        of_word.append(sum(expected.get(padded[at : at + 5], expected.get(padded[at : at + 4], 0)) for at in range(len(word) + 1)))
+    measure = np.log(np.mean(np.exp(of_word)))
+    texts = ["AB abx, zz cab!", "", "12"]
+    assert toxicity._table(found).measures(texts) == pytest.approx([np.sign(measure) * np.log1p(abs(measure)), 0, 0], rel=1e-5)
+    one_class = spark.createDataFrame([("ab", 0, 3), ("ba", 0, 1)], "word string, toxic long, ordinary long")
+    assert toxicity.log_ratios(one_class).count() == 0
+
+
 def test_op10_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (5, 1, 0), (7, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     rows = toxicity.toxicity_report(odd_docs, labels).collect()
