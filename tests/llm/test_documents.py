@@ -549,6 +549,40 @@ def test_op10_counts_every_n_gram_and_every_context(spark):
     assert toxicity.log_ratios(one_class).count() == 0
 
 
+def test_op10_looks_up_n_grams_that_shared_a_hash_slot(spark):
+    # under the former 24-bit hash both words of a pair fell on one slot, and only the more frequent one had its ratio
+    pairs = [("geaee", "eyaze"), ("memde", "kymye"), ("bwhxe", "qonfe"), ("iphse", "xhnae")]
+    rows = [(word, *n) for pair in pairs for word, n in zip(pair, ((9, 1), (1, 5)))]
+    expected = plain_log_ratios(rows)
+    found = toxicity.log_ratios(spark.createDataFrame(rows, "word string, toxic long, ordinary long"))
+    measures = toxicity._table(found).measures([word for word, *_ in rows])
+    of_word = [sum(expected[f"^^^^{word}$"[at : at + 5]] for at in range(6)) for word, *_ in rows]
+    assert measures == pytest.approx(np.sign(of_word) * np.log1p(np.abs(of_word)), rel=1e-5)
+
+
+@pytest.mark.parametrize("sent", [0, 6, 25])
+def test_op10_tells_words_by_n_grams_that_were_not_sent(spark, sent):
+    rows = [("ab", 3, 1), ("abc", 0, 2), ("ba", 1, 0), ("cab", 2, 5), ("дом", 4, 1), ("東京", 1, 6)]
+    ratios = toxicity.log_ratios(spark.createDataFrame(rows, "word string, toxic long, ordinary long")).cache()
+    texts = ["AB abx, zz cab!", "ab ab ab zz zz cab", "Дом, 東京都 абв", "zzz", "ab", "ab", "", None, "12", "abc " * 50 + "cab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole, part = toxicity._table(ratios), toxicity._table(ratios, sent)
+    assert whole.whole and not part.whole and len(part.ratios) <= sent < len(whole.ratios) == ratios.count()
+    measures = {r.doc_id: r.measure for r in toxicity.measured(docs, part, ratios).collect()}
+    assert [measures[k] for k in range(len(texts))] == pytest.approx(list(whole.measures([text or "" for text in texts])), rel=1e-12, abs=1e-12)
+    assert measures[4] == measures[5] and [measures[k] for k in (6, 7, 8)] == [0, 0, 0]
+    with pytest.raises(ValueError):
+        part.measures(texts[:1])
+
+
+def test_op10_scores_do_not_depend_on_what_is_sent(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(5).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)))
+    whole, part = (toxicity.toxicity_report(docs, labels, sent).orderBy("doc_id", "score").collect() for sent in (toxicity.SENT, 300))
+    assert len(part) == docs.count() and [(r.doc_id, r.held_out, r.predicted) for r in whole] == [(r.doc_id, r.held_out, r.predicted) for r in part]
+    assert [r.score for r in part] == pytest.approx([r.score for r in whole], rel=1e-9)
+
+
 def test_op10_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (5, 1, 0), (7, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     rows = toxicity.toxicity_report(odd_docs, labels).collect()
